@@ -36,7 +36,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _POW, _INV
     if len(_POW) < n:
-        size = max(n, 1 << 21)
+        size = 1 << max(21, (n - 1).bit_length())
         inv = pow(_R, -1, 2**64)
         for base, name in ((_R, "_POW"), (inv, "_INV")):
             step = np.full(size, base, dtype=U)

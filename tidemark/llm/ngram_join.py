@@ -14,7 +14,9 @@ A document is the set of its distinct k-word shingles. Two documents link when
    rest of that set can't hold the others. To keep combinations few in long texts, a frequent class is cut by hash
    into as many subclasses as suit the set's size stratum; a set is signed for its own stratum and the next, as
    partners differ by one stratum at most.
-4. Sets that share a signature are compared: all pairs of a list of up to ``SMALL_LIST``; in a longer list each
+   Prefixes are longer by ``SHARED - 1``, so linked sets share a combination or ``SHARED`` single shingles (sets below ``SMALL_SET``: one).
+4. Sets that share enough signatures are compared. Of lists of up to ``SMALL_LIST`` all pairs are counted, and those with enough shared
+   signatures are candidates (a pair that shares a longer list is found there as well); in a longer list each
    member with pivots, in rounds, until the members that were no pivot are all in one component. A
    pair within one component needs no comparison, as only components are asked for; no other pair is left out.
 5. Candidates are verified on whole sets (64-bit shingle hashes).
@@ -40,7 +42,10 @@ SKETCH_BITS = 22
 SKETCH_CHUNK = 1 << 16
 SMALL_LIST = 32
 PIVOTS = 64
+SHARED = 3
+SMALL_SET = 32
 U = np.uint64
+_NONE = np.zeros(0, U)
 
 
 def _sets(raw, off, k):
@@ -104,19 +109,19 @@ def stratum(n: np.ndarray, percent: int) -> np.ndarray:
     return np.floor(np.log(np.maximum(n, 1)) / -np.log(percent / 100) + 1e-9).astype(np.int64)
 
 
-def signatures(v: np.ndarray, level: np.ndarray, second: int, third: int, percent: int) -> np.ndarray:
-    """Signatures of one set: ``v`` its hashes, ``level`` the ranks of their counts, by which they are ordered."""
+def signatures(v: np.ndarray, level: np.ndarray, second: int, third: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Single shingles and combinations that sign one set: ``v`` its hashes, ``level`` the ranks of their counts, by which they are ordered."""
     n = len(v)
-    need = n - -(-percent * n // 100) + 1
+    need = n - -(-percent * n // 100) + (SHARED if n >= SMALL_SET else 1)
     if 100 * n < percent * (n + 1):
-        return np.zeros(0, U)  # only equal sets can link
+        return _NONE, _NONE  # only equal sets can link
     order = np.lexsort((v, level))
     v, level = v[order], level[order]
     cls = (level >= second).astype(np.int8) + (level >= third)
     rare = v[cls == 0]
     if len(rare) >= need:
-        return K.mix(rare[:need] + K.MULT[40])
-    out, rest = [K.mix(rare + K.MULT[40])], need - len(rare)
+        return K.mix(rare[:need] + K.MULT[40]), _NONE
+    out, rest = [], need - len(rare)
     own = int(stratum(np.array([n]), percent)[0])
     for variant in (own, own + 1):
         left, groups = rest, max(1, int((percent / 100) ** -variant) // 48)
@@ -139,11 +144,11 @@ def signatures(v: np.ndarray, level: np.ndarray, second: int, third: int, percen
                 for j in range(c + 1):
                     h = K.mix(h + m[:, j] * K.MULT[42 + j])
                 out.append(h)
-    return np.unique(np.concatenate(out))
+    return K.mix(rare + K.MULT[40]), np.unique(np.concatenate(out)) if out else _NONE
 
 
 def _profile(docs: DataFrame, k: int, percent: int, sketch) -> DataFrame:
-    """(doc_id, n, d1, d2, sigs) of every row."""
+    """(doc_id, n, d1, d2, sigs, combos) of every row."""
 
     def run(batches):
         rank, second, third = sketch.value
@@ -154,17 +159,19 @@ def _profile(docs: DataFrame, k: int, percent: int, sketch) -> DataFrame:
                 c = rank[(v >> U(64 - SKETCH_BITS)).astype(np.int64)]
                 edge = np.concatenate(([0], np.cumsum(m))).tolist()
                 sigs = [signatures(v[x:y], c[x:y], second, third, percent) for x, y in zip(edge[:-1], edge[1:])]
-                sizes = np.array([len(s) for s in sigs])
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()),
-                    pa.array((np.concatenate(sigs) if len(sigs) else np.zeros(0, U)).view(np.int64), pa.int64()),
-                )
+                lists = [
+                    pa.ListArray.from_arrays(
+                        pa.array(np.concatenate(([0], np.cumsum([len(s[i]) for s in sigs]))), pa.int32()),
+                        pa.array(np.concatenate([s[i] for s in sigs]).view(np.int64), pa.int64()),
+                    )
+                    for i in (0, 1)
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(m, pa.int64()), pa.array(K.sums(v, m).view(np.int64)), pa.array(K.sums(K.mix(v ^ K.MULT[50]), m).view(np.int64)), lists],
-                    ["doc_id", "n", "d1", "d2", "sigs"],
+                    [ids.slice(a, b - a), pa.array(m, pa.int64()), pa.array(K.sums(v, m).view(np.int64)), pa.array(K.sums(K.mix(v ^ K.MULT[50]), m).view(np.int64)), *lists],
+                    ["doc_id", "n", "d1", "d2", "sigs", "combos"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sigs array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sigs array<long>, combos array<long>")
 
 
 def _set_table(docs: DataFrame, k: int) -> DataFrame:
@@ -224,24 +231,27 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     key = ["n", "d1", "d2"]
     live = profile.where("n > 0 and doc_id is not null")
     classes = ws.put(live.groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
-    reps = classes.join(live.select("doc_id", "sigs"), F.col("rep") == F.col("doc_id")).select("rep", "n", "sigs")
-    posts = reps.select("rep", "n", F.explode("sigs").alias("sig"))
+    reps = classes.join(live.select("doc_id", "sigs", "combos"), F.col("rep") == F.col("doc_id")).dropDuplicates(["rep"])
+    weight = F.when(F.col("n") >= SMALL_SET, F.lit(1)).otherwise(F.lit(SHARED))
+    signed = F.concat(F.transform("sigs", lambda x: F.struct(x.alias("sig"), weight.alias("w"))), F.transform("combos", lambda x: F.struct(x.alias("sig"), F.lit(SHARED).alias("w"))))
+    posts = reps.withColumn("n", F.col("n").cast("int")).select("rep", "n", F.inline(signed))
     lists = posts.groupBy("sig").agg(F.count("*").alias("members")).where("members > 1")
-    posts = ws.put(posts.join(lists, "sig").distinct(), "posts")
-
-    wanted = posts.select(F.col("rep").alias("doc_id")).distinct()
-    wanted = ws.put(wanted, "wanted")
-    sets = ws.put(_set_table(rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), k), "sets")
+    posts = ws.put(posts.join(lists, "sig"), "posts")
 
     near = F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)")
-    small = posts.where(f"members <= {SMALL_LIST}").select("sig", "rep", "n")
+    small = posts.where(f"members <= {SMALL_LIST}").select("sig", "rep", "n", "w")
     pairs = (
-        small.join(small.select("sig", F.col("rep").alias("other"), F.col("n").alias("m")), "sig")
-        .where(near & (F.col("rep") < F.col("other"))).select(F.col("rep").alias("a"), F.col("other").alias("b"))
+        small.join(small.select("sig", F.col("rep").alias("other"), F.col("n").alias("m"), F.col("w").alias("w2")), "sig")
+        .where(near & (F.col("rep") < F.col("other"))).groupBy(F.col("rep").alias("a"), F.col("other").alias("b"))
+        .agg(F.sum(F.greatest("w", "w2")).alias("shared")).where(f"shared >= {SHARED}").select("a", "b")
     )
+    pairs = ws.put(pairs, "pairs")
     large = ws.put(posts.where(f"members > {SMALL_LIST}").select("sig", "rep", "n"), "large0")
-    links, rnd = None, 0
-    comp = None
+    ws.drop("posts")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(large.select("rep")).distinct()
+    wanted = ws.put(wanted, "wanted")
+    sets = ws.put(_set_table(rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), k), "sets")
+    links, rnd, comp = None, 0, None
     while True:
         # Members of a long list meet its pivots: the smallest hashes among those that are still open.
         if rnd:
@@ -270,7 +280,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("rep", "doc_id").alias("class_id")
     )
     out = ws.put(out, "result")
-    ws.drop("posts", "sets", "profile", "classes", "wanted", f"large{rnd}")
+    ws.drop("pairs", "sets", "profile", "classes", "wanted", f"large{rnd}")
     return out
 
 
