@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, exact_dedup, html_text, mixing, ngram_join, secrets, token_store, url_filter
+from tidemark.llm import chat, decontaminate, exact_dedup, html_text, mixing, ngram_join, quality, secrets, token_store, url_filter
 from tidemark.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -30,6 +34,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "score", "kept")
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
@@ -54,7 +62,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_ngram_join, op3_mixing, op4_token_files, op6_secrets, op7_exact_dedup, op8_chat, op9_url_filter, op10_html_text)
+    every = (op1_ngram_join, op2_decontamination, op3_mixing, op4_token_files, op5_quality, op6_secrets, op7_exact_dedup, op8_chat, op9_url_filter, op10_html_text)
     return {f.__name__: f for f in every}
 
 
