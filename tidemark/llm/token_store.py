@@ -12,7 +12,7 @@ of each; u32 place in the sequence of each, and the end; u32 ids of each; u32 le
 Symbols below ``2**24`` are token ids, others rules.
 
 Texts are encoded by units: a text is cut before every single space between two other characters, where the
-byte-level pre-tokenizer always cuts, and each different unit is encoded once for a batch and kept (up to ``CACHE_UNITS``). The ids
+byte-level pre-tokenizer always cuts, and each different unit is encoded once for a batch and kept (up to ``CACHE_IDS`` ids). The ids
 are those of the whole text.
 
 Null texts are empty: the end id alone. Null ids sort first and are stored as the smallest long. Repeated rows are documents of their own. Other columns are ignored.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,11 @@ MAGIC = b"TMRP0001"
 BLOCK_IDS = 1 << 20
 BASE = 1 << 24
 END_ID = 0
-CACHE_UNITS = 1_000_000
+SLOT_BITS = 21
+CACHE_IDS = 1 << 24
 ROUNDS = 3
-LEAST = 8
+LEAST = 6
+PAIR_BITS = 20
 NO_ID = -(2**63)
 U = np.uint64
 
@@ -56,16 +59,15 @@ class Encoder:
         self._clear()
 
     def _clear(self):
-        self.known = np.zeros(0, U)
-        self.at = np.zeros(0, np.int64)
-        self.n = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
+        self.slots = np.zeros((1 << SLOT_BITS, 2), U)  # hash; place and number of ids. Of units that share a slot, the last stays
+        self.ids = np.zeros(1 << 20, np.int32)
+        self.used = 1
 
-    def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, and how many each has."""
+    def encode(self, raw: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, each text's followed by the end id, and how many each has with it."""
         part, own = raw[off[0] : off[-1]], off - off[0]
         if not len(part):
-            return np.zeros(0, np.int32), np.zeros(len(off) - 1, np.int64)
+            return np.full(len(off) - 1, end_id, np.int32), np.ones(len(off) - 1, np.int64)
         ink = (part < 128) & ~K.SPACE[part]
         two = (part >= 0xC3) & (part <= 0xDF)  # first bytes of two-byte characters without white space among them
         before, after = ink.copy(), ink | two
@@ -79,31 +81,37 @@ class Encoder:
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(part))
         h = K.span_hash(part, starts, ends, K.BYTE_EXACT)
-        unit, where, back = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.known) > CACHE_UNITS:
+        slot = (h >> U(64 - SLOT_BITS)).astype(np.int64)
+        if self.used > CACHE_IDS:
             self._clear()
-        spot = np.searchsorted(self.known, unit)
-        spot[spot == len(self.known)] = 0
-        new = unit != self.known[spot] if len(self.known) else np.ones(len(unit), bool)
-        if new.any():
+        row = self.slots[slot]
+        miss = np.flatnonzero(row[:, 0] != h)
+        at, n = (row[:, 1] >> U(16)).astype(np.int64), (row[:, 1] & U(0xFFFF)).astype(np.int64)
+        if len(miss):
+            unit, where, back = np.unique(h[miss], return_index=True, return_inverse=True)
+            where = miss[where]
             raw_bytes = part.tobytes()
-            texts = [raw_bytes[s:e].decode() for s, e in zip(starts[where[new]].tolist(), ends[where[new]].tolist())]
+            texts = [raw_bytes[s:e].decode() for s, e in zip(starts[where].tolist(), ends[where].tolist())]
             got = []
             for i in range(0, len(texts), 20_000):
                 got += [x.ids for x in self.tokenizer.encode_batch_fast(texts[i : i + 20_000], add_special_tokens=False)]
-            n = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((y for x in got for y in x), np.int32, int(n.sum()))
-            at = len(self.ids) + np.concatenate(([0], np.cumsum(n)[:-1]))
-            self.ids = np.concatenate((self.ids, flat))
-            merged = np.concatenate((self.known, unit[new]))
-            order = np.argsort(merged, kind="stable")
-            self.known, self.at, self.n = merged[order], np.concatenate((self.at, at))[order], np.concatenate((self.n, n))[order]
-            spot = np.searchsorted(self.known, unit)
-        n = self.n[spot][back]
-        first = np.concatenate(([0], np.cumsum(n)))
-        ids = self.ids[np.repeat(self.at[spot][back] - first[:-1], n) + np.arange(first[-1])]
+            new_n = np.fromiter(map(len, got), np.int64, len(got))
+            flat = np.fromiter(chain.from_iterable(got), np.int32, int(new_n.sum()))
+            new_at = self.used + np.concatenate(([0], np.cumsum(new_n)[:-1]))
+            while self.used + len(flat) > len(self.ids):
+                self.ids = np.concatenate((self.ids, np.zeros(len(self.ids), np.int32)))
+            self.ids[self.used : self.used + len(flat)] = flat
+            self.used += len(flat)
+            kept = new_n < 1 << 16
+            self.slots[slot[where[kept]]] = np.column_stack([unit[kept], (new_at[kept] << 16 | new_n[kept]).astype(U)])
+            at[miss], n[miss] = new_at[back], new_n[back]
         lead = np.searchsorted(starts, own)
-        return ids, first[lead[1:]] - first[lead[:-1]]
+        self.ids[0] = end_id  # the first place is held for it
+        at, n = np.insert(at, lead[1:], 0), np.insert(n, lead[1:], 1)
+        first = np.concatenate(([0], np.cumsum(n)))
+        where = np.repeat((at - first[:-1]).astype(np.int32), n)
+        where += np.arange(len(where), dtype=np.int32)
+        return np.take(self.ids, where), np.diff(first[lead + np.arange(len(lead))])
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -121,36 +129,38 @@ def repair(ids: np.ndarray, lengths: np.ndarray, rounds: int = ROUNDS, least: in
     last = np.zeros(len(seq), bool)
     last[np.cumsum(lengths)[lengths > 0] - 1] = True
     left, right, size = [], [], np.zeros(0, np.int64)
-    for _ in range(rounds):
+    for turn in range(rounds):
         if len(seq) < 2:
             break
         code = (seq[:-1] << 32) | seq[1:]
-        code[last[:-1]] = -1
-        bin_ = ((code.view(U) * K.MULT[61]) >> U(44)).astype(np.int32)
-        spots = np.flatnonzero((np.bincount(bin_, minlength=1 << 20)[bin_] >= least) & (code >= 0))
-        pair, back, n = np.unique(code[spots], return_inverse=True, return_counts=True)
-        spots = spots[n[back] >= least]
+        slot = ((code.view(U) * K.MULT[61 + turn % 3]) >> U(64 - PAIR_BITS)).astype(np.int32)
+        often = np.bincount(slot, minlength=1 << PAIR_BITS) >= least
+        spots = np.flatnonzero(often[slot] & ~last[:-1])
+        # a slot names one pair; another pair of the same slot waits for a later round, with other slots
+        pair = np.zeros(1 << PAIR_BITS, np.int64)
+        here, own = slot[spots], code[spots]
+        pair[here] = own
+        same = pair[here] == own
+        spots, here = spots[same], here[same]
         if not len(spots):
             break
         # of overlapping spots every other one stays, from the left
         run = np.concatenate(([True], np.diff(spots) > 1))
         head = spots[np.maximum.accumulate(np.where(run, np.arange(len(spots)), 0))]
-        spots = spots[(spots - head) % 2 == 0]
-        pair, back, n = np.unique(code[spots], return_inverse=True, return_counts=True)
-        used = n > 2
-        name = np.cumsum(used) - 1 + BASE + len(size)
-        keep = used[back]
-        spots, back = spots[keep], back[keep]
+        stays = (spots - head) % 2 == 0
+        spots, here = spots[stays], here[stays]
+        used = np.bincount(here, minlength=1 << PAIR_BITS) >= least
+        keep = used[here]
+        spots, here = spots[keep], here[keep]
         if not len(spots):
             break
-        pair = pair[used]
-        a, b = pair >> 32, pair & 0xFFFFFFFF
-        full = np.concatenate((size, np.zeros(0, np.int64)))
-        length = lambda s: np.where(s >= BASE, full[np.where(s >= BASE, s - BASE, 0)] if len(full) else 1, 1)  # noqa: B023, E731
+        name = np.cumsum(used) - 1 + BASE + len(size)
+        a, b = pair[used] >> 32, pair[used] & 0xFFFFFFFF
+        length = lambda s: np.where(s >= BASE, size[np.where(s >= BASE, s - BASE, 0)], 1) if len(size) else np.ones(len(s), np.int64)  # noqa: B023, E731
         left.append(a)
         right.append(b)
         size = np.concatenate((size, length(a) + length(b)))
-        seq[spots] = name[back]
+        seq[spots] = name[here]
         last[spots] = last[spots + 1]
         gone = np.ones(len(seq), bool)
         gone[spots + 1] = False
@@ -236,13 +246,11 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID)
             names = np.asarray(batch.column(0).fill_null(NO_ID)).astype(np.int64)
             raw, off = text_buffers(batch.column(1))
             for a, b in blocks(off, 1 << 21):
-                ids, n = enc.encode(raw, off[a : b + 1])
-                out = np.full(len(ids) + b - a, end_id, np.int32)
-                out[np.arange(len(ids)) + np.repeat(np.arange(b - a), n)] = ids
+                ids, n = enc.encode(raw, off[a : b + 1], end_id)
                 held_docs.append(names[a:b])
-                held_ids.append(out)
-                held_n.append(n + 1)
-                held += len(out)
+                held_ids.append(ids)
+                held_n.append(n)
+                held += len(ids)
                 if held >= BLOCK_IDS:
                     yield flush()
         if held_docs:
