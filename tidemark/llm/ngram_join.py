@@ -14,11 +14,13 @@ A document is the set of its distinct k-word shingles. Two documents link when
    rest of that set can't hold the others. To keep combinations few in long texts, a frequent class is cut by hash
    into as many subclasses as suit the set's size stratum; a set is signed for its own stratum and the next, as
    partners differ by one stratum at most.
-   Prefixes are longer by ``SHARED - 1``, so linked sets share a combination or ``SHARED`` single shingles (sets below ``SMALL_SET``: one).
-4. Sets that share enough signatures are compared. Of lists of up to ``SMALL_LIST`` all pairs are counted, and those with enough shared
-   signatures are candidates (a pair that shares a longer list is found there as well); in a longer list each
-   member with pivots, in rounds, until the members that were no pivot are all in one component. A
-   pair within one component needs no comparison, as only components are asked for; no other pair is left out.
+   A set of ``SMALL_SET`` or more with enough rare shingles for a prefix longer by ``SHARED - 1`` shares ``SHARED`` of them with
+   each partner whose prefix ends later; for other sets one shared signature is enough.
+4. Of lists of sets with one signature of up to ``SMALL_LIST`` all pairs are counted, and those with enough shared signatures are
+   candidates (a pair that shares a longer list is found there as well). In a longer list each member meets pivots, in rounds: first the
+   member of most lists, then those outside the list's largest component, until the members that were no pivot are all in one component. A pair
+   within one component needs no comparison, as only components are asked for; no other pair is left out. Sizes and 256-bit
+   parity bitmaps rule out pairs inside the joins: they differ in no more bits than the sets differ in items.
 5. Candidates are verified on whole sets (64-bit shingle hashes).
 
 Null, empty and blank texts have no set: n_shingles 0, linked with nothing, each its own component. Repeated rows
@@ -41,9 +43,10 @@ from tidemark.llm.graph import components
 SKETCH_BITS = 22
 SKETCH_CHUNK = 1 << 16
 SMALL_LIST = 32
-PIVOTS = 64
+PIVOTS = 1024
 SHARED = 3
 SMALL_SET = 32
+BITS = ("b0", "b1", "b2", "b3")
 U = np.uint64
 _NONE = np.zeros(0, U)
 
@@ -110,17 +113,19 @@ def stratum(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def signatures(v: np.ndarray, level: np.ndarray, second: int, third: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Single shingles and combinations that sign one set: ``v`` its hashes, ``level`` the ranks of their counts, by which they are ordered."""
+    """Signatures of one set, those of which ``SHARED`` must be shared and those of which one is enough: ``v`` its hashes, ``level`` the ranks of their counts, by which they are ordered."""
     n = len(v)
-    need = n - -(-percent * n // 100) + (SHARED if n >= SMALL_SET else 1)
+    need = n - -(-percent * n // 100) + 1
     if 100 * n < percent * (n + 1):
         return _NONE, _NONE  # only equal sets can link
     order = np.lexsort((v, level))
     v, level = v[order], level[order]
     cls = (level >= second).astype(np.int8) + (level >= third)
     rare = v[cls == 0]
+    if n >= SMALL_SET and len(rare) >= need + SHARED - 1:
+        return K.mix(rare[: need + SHARED - 1] + K.MULT[40]), _NONE
     if len(rare) >= need:
-        return K.mix(rare[:need] + K.MULT[40]), _NONE
+        return _NONE, K.mix(rare[:need] + K.MULT[40])
     out, rest = [], need - len(rare)
     own = int(stratum(np.array([n]), percent)[0])
     for variant in (own, own + 1):
@@ -144,7 +149,7 @@ def signatures(v: np.ndarray, level: np.ndarray, second: int, third: int, percen
                 for j in range(c + 1):
                     h = K.mix(h + m[:, j] * K.MULT[42 + j])
                 out.append(h)
-    return K.mix(rare + K.MULT[40]), np.unique(np.concatenate(out)) if out else _NONE
+    return _NONE, np.unique(np.concatenate([K.mix(rare + K.MULT[40]), *out]))
 
 
 def _profile(docs: DataFrame, k: int, percent: int, sketch) -> DataFrame:
@@ -166,12 +171,15 @@ def _profile(docs: DataFrame, k: int, percent: int, sketch) -> DataFrame:
                     )
                     for i in (0, 1)
                 ]
+                cell = np.repeat(np.arange(b - a), m) * 256 + ((v * K.MULT[51]) >> U(56)).astype(np.int64)
+                odd = (np.bincount(cell, minlength=(b - a) * 256) & 1).astype(np.uint8)
+                bits = np.packbits(odd.reshape(b - a, 256), axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(m, pa.int64()), pa.array(K.sums(v, m).view(np.int64)), pa.array(K.sums(K.mix(v ^ K.MULT[50]), m).view(np.int64)), *lists],
-                    ["doc_id", "n", "d1", "d2", "sigs", "combos"],
+                    [ids.slice(a, b - a), pa.array(m, pa.int64()), *[pa.array(bits[:, i].copy()) for i in range(4)], pa.array(K.sums(v, m).view(np.int64)), pa.array(K.sums(K.mix(v ^ K.MULT[50]), m).view(np.int64)), *lists],
+                    ["doc_id", "n", *BITS, "d1", "d2", "sigs", "combos"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sigs array<long>, combos array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n long, {', '.join(f'{b} long' for b in BITS)}, d1 long, d2 long, sigs array<long>, combos array<long>")
 
 
 def _set_table(docs: DataFrame, k: int) -> DataFrame:
@@ -232,21 +240,23 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     live = profile.where("n > 0 and doc_id is not null")
     classes = ws.put(live.groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
     reps = classes.join(live.select("doc_id", "sigs", "combos"), F.col("rep") == F.col("doc_id")).dropDuplicates(["rep"])
-    weight = F.when(F.col("n") >= SMALL_SET, F.lit(1)).otherwise(F.lit(SHARED))
-    signed = F.concat(F.transform("sigs", lambda x: F.struct(x.alias("sig"), weight.alias("w"))), F.transform("combos", lambda x: F.struct(x.alias("sig"), F.lit(SHARED).alias("w"))))
+    signed = F.concat(F.transform("sigs", lambda x: F.struct(x.alias("sig"), F.lit(1).alias("w"))), F.transform("combos", lambda x: F.struct(x.alias("sig"), F.lit(SHARED).alias("w"))))
     posts = reps.withColumn("n", F.col("n").cast("int")).select("rep", "n", F.inline(signed))
     lists = posts.groupBy("sig").agg(F.count("*").alias("members")).where("members > 1")
     posts = ws.put(posts.join(lists, "sig"), "posts")
 
-    near = F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)")
-    small = posts.where(f"members <= {SMALL_LIST}").select("sig", "rep", "n", "w")
+    bits = ws.put(classes.join(live.select("doc_id", *BITS), F.col("rep") == F.col("doc_id")).select("rep", *BITS).dropDuplicates(["rep"]), "bits")
+    near = _near(percent)
+    small = posts.where(f"members <= {SMALL_LIST}").select("sig", "rep", "n", "w").join(bits, "rep")
+    other = small.select("sig", F.col("rep").alias("other"), F.col("n").alias("m"), F.col("w").alias("w2"), *[F.col(b).alias(f"c{b}") for b in BITS])
     pairs = (
-        small.join(small.select("sig", F.col("rep").alias("other"), F.col("n").alias("m"), F.col("w").alias("w2")), "sig")
-        .where(near & (F.col("rep") < F.col("other"))).groupBy(F.col("rep").alias("a"), F.col("other").alias("b"))
+        small.join(other, "sig").where(near & (F.col("rep") < F.col("other"))).groupBy(F.col("rep").alias("a"), F.col("other").alias("b"))
         .agg(F.sum(F.greatest("w", "w2")).alias("shared")).where(f"shared >= {SHARED}").select("a", "b")
     )
     pairs = ws.put(pairs, "pairs")
-    large = ws.put(posts.where(f"members > {SMALL_LIST}").select("sig", "rep", "n"), "large0")
+    large = posts.where(f"members > {SMALL_LIST}").select("sig", "rep", "n")
+    degree = large.groupBy("rep").agg(F.count("*").alias("degree"))
+    large = ws.put(large.join(degree, "rep").join(bits, "rep").select("sig", "rep", "n", "degree", *BITS), "large0")
     ws.drop("posts")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(large.select("rep")).distinct()
     wanted = ws.put(wanted, "wanted")
@@ -261,7 +271,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
             pivots = None
         else:
             pivots = ws.put(_pivots(large, rnd), f"pivots{rnd}")
-            met = large.select("sig", "rep", "n", *(["c"] if rnd else [])).join(pivots, "sig").where(near & (F.col("rep") != F.col("pivot")))
+            met = large.join(pivots, "sig").where(near & (F.col("rep") != F.col("pivot")))
             met = met.where("c <> pc") if rnd else met
             met = met.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
             pairs = met if rnd else pairs.union(met)
@@ -272,7 +282,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         comp = ws.put(components(ws, links, f"cc{rnd}_"), f"comp{rnd}")
         if pivots is None:
             break
-        large = large.select("sig", "rep", "n").join(pivots.select("sig", F.col("pivot").alias("rep")), ["sig", "rep"], "left_anti")
+        large = large.select("sig", "rep", "n", "degree", *BITS).join(pivots.select("sig", F.col("pivot").alias("rep")), ["sig", "rep"], "left_anti")
         rnd += 1
 
     member = profile.select("doc_id", *key).join(classes, key, "left")
@@ -280,28 +290,38 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("rep", "doc_id").alias("class_id")
     )
     out = ws.put(out, "result")
-    ws.drop("pairs", "sets", "profile", "classes", "wanted", f"large{rnd}")
+    ws.drop("pairs", "sets", "profile", "classes", "wanted", "bits", f"large{rnd}")
     return out
 
 
 def _open(large: DataFrame, comp: DataFrame) -> DataFrame:
     """Members of lists that still span components, with their components."""
-    named = large.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("sig", "rep", "n", F.coalesce("component", "rep").alias("c"))
+    named = large.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
     spans = named.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
     return named.join(spans, "sig")
 
 
 def _pivots(large: DataFrame, rnd: int) -> DataFrame:
-    """The pivots of each list: at first two members, the smallest by (n, hash) of two salts. Later, of those outside
-    the list's largest component, all where they are at most ``PIVOTS``, else the smallest hash for each of so many salts."""
+    """The pivots of each list: at first the member of most long lists. Later, of those outside the list's largest component, all
+    where they are at most ``PIVOTS``, else the first for each of so many salts."""
+    who = F.struct((-F.col("degree")).alias("d"), F.xxhash64("rep").alias("r"), "rep", "n", *BITS, *(["c"] if rnd else []))
+    cols = [F.col("w.rep").alias("pivot"), F.col("w.n").alias("m"), *[F.col(f"w.{b}").alias(f"c{b}") for b in BITS]]
     if not rnd:
-        who = F.struct("n", F.xxhash64("rep").alias("r"), "rep")
-        best = large.groupBy("sig", F.pmod(F.xxhash64("rep"), F.lit(2)).alias("salt")).agg(F.min(who).alias("w"))
-        return best.select("sig", F.col("w.rep").alias("pivot"), F.col("w.n").alias("m"))
+        return large.groupBy("sig").agg(F.min(who).alias("w")).select("sig", *cols)
     sizes = large.groupBy("sig", "c").agg(F.count("*").alias("k"))
     main = sizes.groupBy("sig").agg(F.max(F.struct("k", "c")).alias("big"), F.sum("k").alias("all"))
     main = main.select("sig", F.col("big.c").alias("mc"), (F.col("all") - F.col("big.k")).alias("outside"))
     salt = F.when(F.col("outside") <= PIVOTS, F.col("rep")).otherwise(F.pmod(F.xxhash64("rep"), F.lit(PIVOTS)))
-    who = F.struct(F.xxhash64("rep").alias("r"), "n", "rep", "c")
     best = large.join(main, "sig").where("c <> mc").groupBy("sig", salt.alias("salt")).agg(F.min(who).alias("w"))
-    return best.select("sig", F.col("w.rep").alias("pivot"), F.col("w.n").alias("m"), F.col("w.c").alias("pc"))
+    return best.select("sig", *cols, F.col("w.c").alias("pc"))
+
+
+def _near(percent: int):
+    """What two sets (n, bits) and (m, cbits) must fulfil to link, cheap to test: sizes, and the parity bitmaps, which differ in no more bits than
+    the sets differ in items."""
+    differ = F.lit(0)
+    for b in BITS:
+        differ = differ + F.bit_count(F.col(b).bitwiseXOR(F.col(f"c{b}")))
+    sizes = F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)")
+    # 100 i >= percent (n + m - i): i is at least the ceiling, so the sets differ in at most n + m - 2 i items
+    return sizes & (differ <= F.expr(f"n + m - 2 * ceil({percent} * (n + m) / {100.0 + percent} - 1e-9)"))
