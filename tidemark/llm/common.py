@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +21,27 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, once for each Spark context, so that they need no copy of it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="tidemark-")) / "tidemark.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    sc.addPyFile(str(path))
+    sc._tidemark_shipped = True
+
+
 class Workspace:
     """Tables of one query in the shared folder; a written table cuts lineage and survives lost executors."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-        self._paths: dict[str, str] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -45,6 +61,7 @@ class Workspace:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
