@@ -1,10 +1,388 @@
-"""Queries of the reference operators and their SQL, by name."""
+"""Queries of the operators over the supplied tables, and their SQL, by name.
+
+The tables hold no records of the model, so look-alikes stand in: events for search results (relevance in props), labels for the
+tracked subset of documents, customers for (state, number), sources for sessions, orders for dated records.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions import near as N
+from tidemark.functions import scalar as X
+from tidemark.operators import relops as R
+from tidemark.operators import upsert as U
+from tidemark.plans.parse import parse_documents
+from tidemark.plans.schema import RECORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+DAY = date(1996, 1, 1)
+
+
+def query(sql: str):
+    def add(f):
+        QUERIES[f.__name__] = f
+        ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def _search(spark, sf):
+    relevance = X.whole_number(F.get_json_object("props", "$.k")).cast("int")
+    return t(spark, sf, "events").select("event_id", "user_id", "event_type", relevance.alias("relevance"))
+
+
+_K = "CASE WHEN regexp_full_match(json_extract_string(props, '$.k'), '[+-]?[0-9]+') THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END"
+
+
+@query(f"""WITH s AS (SELECT event_id, user_id, event_type, {_K} AS relevance FROM events),
+c AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS ord FROM s WHERE coalesce(relevance, 0) >= 50)
+SELECT event_id, user_id AS doc_id, relevance FROM c WHERE ord < 500 AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = c.user_id)""")
+def incremental_candidates(spark, sf):
+    """Relevant search rows, in order up to the limit, that are not tracked yet."""
+    x = R.with_ordinal(R.min_relevance(_search(spark, sf), 50), "event_id")
+    x = R.prefix_limit(x, 500).select("event_id", F.col("user_id").alias("doc_id"), "relevance")
+    return R.new_of(x, t(spark, sf, "labels"), "doc_id").select("event_id", "doc_id", "relevance")
+
+
+@query(f"SELECT event_id, {_K} AS relevance FROM events WHERE coalesce({_K}, 0) >= 85")
+def relevance_filter(spark, sf):
+    return R.min_relevance(_search(spark, sf), 85).select("event_id", "relevance")
+
+
+@query("SELECT event_id, user_id FROM events WHERE event_type = (SELECT min(event_type) FROM events)")
+def state_filter(spark, sf):
+    first = t(spark, sf, "events").agg(F.min("event_type").alias("event_type"))
+    return t(spark, sf, "events").join(F.broadcast(first), "event_type").select("event_id", "user_id")
+
+
+@query("SELECT c_custkey, upper(c_mktsegment) || ' ' || c_nationkey AS key, (upper(c_mktsegment) || ' ' || c_nationkey) IN (SELECT upper(c_mktsegment) || ' ' || c_nationkey FROM customer WHERE c_acctbal > 9000) AS is_known FROM customer WHERE c_mktsegment <> ''")
+def candidate_filter_flags(spark, sf):
+    """Formatted candidates with the membership flag of their key."""
+    c = t(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("state"), F.col("c_nationkey").cast("string").alias("bill_number"), "c_acctbal")
+    known = c.where("c_acctbal > 9000").select(X.number_key(F.upper("state"), F.col("bill_number")).alias("key"))
+    x = R.candidate_filter(c, known, raw=False)
+    return x.select("c_custkey", X.number_key(F.upper("state"), F.col("bill_number")).alias("key"), "is_known")
+
+
+@query("SELECT count(*) AS n FROM customer")
+def candidate_filter_raw(spark, sf):
+    return R.candidate_filter(t(spark, sf, "customer"), None).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS bill_id FROM events WHERE regexp_full_match(json_extract_string(props, '$.k'), '[+-]?[0-9]+')")
+def valid_id_filter(spark, sf):
+    return R.valid_ids(t(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").alias("bill_id")))
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS version_date FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1996-01-01'")
+def since_filter(spark, sf):
+    x = t(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("version_date"))
+    return R.since(x, DAY)
+
+
+@query("""SELECT CASE WHEN d IS NULL THEN 'none' WHEN d > DATE '1996-01-01' THEN 'after' ELSE 'before' END AS part, count(*) AS n
+FROM (SELECT CASE WHEN o_orderkey % 10 <> 0 THEN CAST(o_orderdate AS DATE) END AS d FROM orders) GROUP BY 1""")
+def date_three_way_split(spark, sf):
+    x = t(spark, sf, "orders").select(F.when(F.col("o_orderkey") % 10 != 0, F.to_date("o_orderdate")).alias("d"))
+    return R.day_split(x, DAY, "d")
+
+
+@query("SELECT DISTINCT e.user_id AS doc_id FROM events e WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = e.user_id)")
+def existing_ids_semi(spark, sf):
+    return R.existing_of(t(spark, sf, "events").select(F.col("user_id").alias("doc_id")), t(spark, sf, "labels"), "doc_id")
+
+
+@query("SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def new_candidates_anti(spark, sf):
+    return R.new_of(t(spark, sf, "documents").select("doc_id", "source"), t(spark, sf, "labels"), "doc_id")
+
+
+@query("SELECT e.event_id, e.user_id AS doc_id, d.source, d.n_chars FROM events e JOIN documents d ON d.doc_id = e.user_id")
+def lookup_detail(spark, sf):
+    x = t(spark, sf, "events").select("event_id", F.col("user_id").alias("doc_id"))
+    return R.lookup(x, t(spark, sf, "documents").select("doc_id", "source", "n_chars"), "doc_id").select("event_id", "doc_id", "source", "n_chars")
+
+
+_HASHES = "SELECT doc_id, source, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE md5(text) END AS old, CASE WHEN doc_id % 7 = 0 THEN md5(text || 'x') WHEN doc_id % 77 = 1 THEN NULL ELSE md5(text) END AS new FROM documents"
+
+
+def _hashes(spark, sf):
+    d = t(spark, sf, "documents")
+    stored = d.select("source", "doc_id", F.when(F.col("doc_id") % 11 != 0, F.md5("text")).alias("change_hash"))
+    new = F.when(F.col("doc_id") % 7 == 0, F.md5(F.concat("text", F.lit("x")))).when(F.col("doc_id") % 77 != 1, F.md5("text"))
+    return stored, d.select("source", "doc_id", new.alias("change_hash"))
+
+
+@query(f"SELECT doc_id, source, coalesce(old, '') AS old_hash, new AS new_hash FROM ({_HASHES}) WHERE coalesce(old, '') IS DISTINCT FROM new")
+def hash_diff(spark, sf):
+    """Changed records of all sessions in one join."""
+    return R.changed(*_hashes(spark, sf), ["source", "doc_id"]).select("doc_id", "source", "old_hash", "new_hash")
+
+
+def _bills(d: DataFrame, condition: str, key) -> DataFrame:
+    cols = {"id": F.concat(F.lit("u"), F.lpad(F.col("doc_id").cast("string"), 12, "0")), "external_id": F.concat_ws(" ", F.upper("lang"), F.col("doc_id").cast("string")), "legiscan_id": key, "title": F.md5("text"), "state": F.upper("lang"), "year": F.lit(2024), "bill_number": F.col("doc_id").cast("string"), "body": F.lit("house"), "change_hash": F.md5("text")}
+    return d.where(condition).select(*[cols.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RECORD])
+
+
+@query("""WITH b AS (SELECT 'u' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS id, upper(lang) || ' ' || doc_id AS external_id, CASE WHEN doc_id % 6 <> 0 THEN doc_id END AS legiscan_id FROM documents WHERE doc_id % 2 = 0)
+SELECT d.doc_id, coalesce(l.id, e.id) AS matched FROM documents d LEFT JOIN b l ON l.legiscan_id = d.doc_id LEFT JOIN b e ON e.external_id = upper(d.lang) || ' ' || d.doc_id""")
+def two_key_match(spark, sf):
+    d = t(spark, sf, "documents")
+    target = _bills(d, "doc_id % 2 = 0", F.when(F.col("doc_id") % 6 != 0, F.col("doc_id")))
+    x = d.select("doc_id", F.col("doc_id").alias("legiscan_id"), F.concat_ws(" ", F.upper("lang"), F.col("doc_id").cast("string")).alias("external_id"))
+    return R.two_key_match(x, target).select("doc_id", F.coalesce("id_l", "id_e").alias("matched"))
+
+
+_CLASSES = """SELECT o.o_orderkey, CASE WHEN s.k IS NULL THEN 'INSERT' WHEN s.d IS NOT DISTINCT FROM CAST(o.o_orderdate AS DATE) THEN 'SKIP' ELSE 'UPDATE' END AS action
+FROM orders o LEFT JOIN (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN DATE '1990-01-01' ELSE CAST(o_orderdate AS DATE) END AS d FROM orders WHERE o_orderkey % 3 <> 0) s ON s.k = o.o_orderkey"""
+
+
+def _classes(spark, sf):
+    o = t(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    stored = o.where("o_orderkey % 3 <> 0").withColumn("day", F.when(F.col("o_orderkey") % 5 == 0, F.lit(date(1990, 1, 1))).otherwise(F.col("day")))
+    return R.classify(o, stored, "o_orderkey", "day")
+
+
+@query(_CLASSES)
+def upsert_classify(spark, sf):
+    return _classes(spark, sf).select("o_orderkey", "action")
+
+
+@query(f"""SELECT count(*) FILTER (action = 'INSERT') AS inserted, count(*) FILTER (action = 'UPDATE') AS updated, count(*) FILTER (action = 'SKIP') AS skipped, count(*) AS total FROM ({_CLASSES})""")
+def action_counts(spark, sf):
+    return R.action_counts(_classes(spark, sf))
+
+
+@query(_CLASSES.replace("SELECT o.o_orderkey, ", "SELECT o_orderkey FROM (SELECT o.o_orderkey, ") + ") WHERE action = 'INSERT'")
+def insert_listing_anti(spark, sf):
+    o = t(spark, sf, "orders").select("o_orderkey")
+    return R.new_of(o, o.where("o_orderkey % 3 <> 0"), "o_orderkey")
+
+
+_INDEX = "SELECT c_mktsegment || ' ' || c_nationkey AS key, string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY c_custkey) AS members, count(*) AS n FROM customer GROUP BY 1"
+
+
+def _index(spark, sf):
+    c = t(spark, sf, "customer")
+    return R.existing_index(c, X.number_key(F.col("c_mktsegment"), F.col("c_nationkey").cast("string")), ["c_custkey", "c_name"])
+
+
+@query(_INDEX)
+def existing_index(spark, sf):
+    ids = F.transform("members", lambda m: m["c_custkey"].cast("string"))
+    return _index(spark, sf).select("key", F.array_join(ids, ",").alias("members"), F.size("members").cast("long").alias("n"))
+
+
+@query(f"SELECT count(*) AS keys, CAST(sum(n) AS BIGINT) AS members FROM ({_INDEX})")
+def index_counts(spark, sf):
+    return R.index_counts(_index(spark, sf))
+
+
+@query("SELECT DISTINCT source FROM documents WHERE source IS NOT NULL")
+def distinct_sessions(spark, sf):
+    return R.distinct_values(t(spark, sf, "documents"), "source")
+
+
+@query("SELECT user_id, min(event_id) AS ord FROM events GROUP BY 1")
+def ordered_dedupe(spark, sf):
+    return R.ordered_dedupe(t(spark, sf, "events").withColumnRenamed("event_id", "ord"), "user_id", "ord")
+
+
+@query("SELECT user_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1")
+def last_wins_map(spark, sf):
+    return R.last_wins(t(spark, sf, "events"), "user_id", "event_type", "event_id")
+
+
+@query("SELECT max(ts) AS last_run FROM events")
+def last_run(spark, sf):
+    return R.last_run(t(spark, sf, "events"), "ts")
+
+
+@query("SELECT s_nationkey, min(s_suppkey) AS s_suppkey FROM supplier GROUP BY 1 HAVING count(*) = 1")
+def unique_resolution(spark, sf):
+    return R.exactly_one(t(spark, sf, "supplier"), ["s_nationkey"], "s_suppkey")
+
+
+@query("SELECT c_name, c_custkey FROM customer WHERE c_name > 'Customer#000000100' ORDER BY c_name LIMIT 1000")
+def keyset_page(spark, sf):
+    return R.keyset_page(t(spark, sf, "customer").select("c_name", "c_custkey"), "c_name", "Customer#000000100")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey > 0 ORDER BY o_orderkey LIMIT 1000")
+def keyset_page_int(spark, sf):
+    return R.keyset_page(t(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 0)
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 1000 OFFSET 500")
+def offset_page(spark, sf):
+    return R.offset_page(t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], 500)
+
+
+@query("SELECT conv_id, turn FROM (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS ord FROM conversations) WHERE ord < 100")
+def ordered_limit(spark, sf):
+    x = R.with_ordinal(t(spark, sf, "conversations").select("conv_id", "turn"), "conv_id", "turn")
+    return R.prefix_limit(x, 100).select("conv_id", "turn")
+
+
+@query("SELECT conv_id, turn FROM (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS ord, count(*) OVER () AS n FROM conversations) WHERE ord <= n - 40")
+def ordered_limit_negative(spark, sf):
+    x = R.with_ordinal(t(spark, sf, "conversations").select("conv_id", "turn"), "conv_id", "turn")
+    return R.prefix_limit(x, -40).select("conv_id", "turn")
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders ORDER BY day DESC NULLS LAST, o_orderkey LIMIT 10")
+def topk_recent(spark, sf):
+    x = t(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    return R.most_recent(x, "day", "o_orderkey", 10)
+
+
+@query("SELECT c_custkey, substr(c_name, 1, 6) AS preview FROM customer ORDER BY c_custkey LIMIT 5")
+def dry_run_preview(spark, sf):
+    return t(spark, sf, "customer").select("c_custkey", F.substring("c_name", 1, 6).alias("preview")).orderBy("c_custkey").limit(5)
+
+
+@query("""SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 'Introduced' WHEN 2 THEN 'Engrossed' WHEN 3 THEN 'Enrolled' WHEN 4 THEN 'Passed' WHEN 5 THEN 'Vetoed' WHEN 6 THEN 'Failed' END AS status,
+CASE l_returnflag WHEN 'A' THEN NULL ELSE l_returnflag END AS passed FROM lineitem""")
+def status_decode(spark, sf):
+    doc = lambda c: F.parse_json(F.to_json(F.struct(c.alias("status"))))
+    x = t(spark, sf, "lineitem")
+    said = F.when(F.col("l_returnflag") == "A", F.lit("")).otherwise(F.col("l_returnflag"))
+    return x.select("l_orderkey", "l_linenumber", X.status_of(doc(F.col("l_linenumber"))).alias("status"), X.status_of(doc(said)).alias("passed"))
+
+
+@query("""SELECT p_partkey, CASE WHEN contains(c, 'HOUSE') THEN 'house' WHEN contains(c, 'ASSEMBLY') THEN 'assembly' WHEN contains(c, 'SENATE') THEN 'senate'
+WHEN starts_with(n, 'H') THEN 'house' WHEN starts_with(n, 'S') THEN 'senate' WHEN starts_with(n, 'A') THEN 'assembly' ELSE 'house' END AS body
+FROM (SELECT p_partkey, upper(CASE WHEN p_partkey % 5 = 0 THEN 'House of ' || p_brand WHEN p_partkey % 5 = 1 THEN 'senate' WHEN p_partkey % 5 = 2 THEN 'State Assembly' ELSE '' END) AS c, upper(p_type) AS n FROM part)""")
+def body_map(spark, sf):
+    k = F.col("p_partkey") % 5
+    chamber = F.when(k == 0, F.concat(F.lit("House of "), "p_brand")).when(k == 1, "senate").when(k == 2, "State Assembly").otherwise("")
+    return t(spark, sf, "part").select("p_partkey", X.body_of(chamber, F.col("p_type")).alias("body"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN CAST(1990 + o_orderkey % 30 AS INTEGER) WHEN o_orderkey % 4 = 1 THEN CAST(year(o_orderdate) AS INTEGER) ELSE 2024 END AS year FROM orders""")
+def year_extract(spark, sf):
+    k = F.col("o_orderkey") % 4
+    year = F.when(k == 0, (F.lit(1990) + F.col("o_orderkey") % 30).cast("string")).when(k == 1, "0")
+    title = F.when(k == 1, F.concat(F.lit("Session "), F.year("o_orderdate").cast("string"), F.lit("-2099"))).when(k == 2, "no digits")
+    return t(spark, sf, "orders").select("o_orderkey", X.year_of(year, title, F.lit(2024)).alias("year"))
+
+
+_DATES = "SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN 'invalid' WHEN 2 THEN strftime(o_orderdate, '%Y-%-m-%-d') WHEN 3 THEN ' ' || strftime(o_orderdate, '%Y-%m-%d') END AS s, '1999-02-20' AS h FROM orders"
+
+
+@query(f"SELECT o_orderkey, coalesce(CASE WHEN regexp_full_match(s, '[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}') THEN CAST(s AS DATE) END, CAST(h AS DATE)) AS version_date FROM ({_DATES})")
+def date_parse_fallback(spark, sf):
+    k, d = F.col("o_orderkey") % 5, F.col("o_orderdate")
+    s = F.when(k == 0, F.date_format(d, "yyyy-MM-dd")).when(k == 1, "invalid").when(k == 2, F.date_format(d, "yyyy-M-d")).when(k == 3, F.concat(F.lit(" "), F.date_format(d, "yyyy-MM-dd")))
+    return t(spark, sf, "orders").select("o_orderkey", X.version_day(s, F.lit("1999-02-20")).alias("version_date"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey = 0 THEN '' WHEN o_orderstatus <> 'P' AND o_orderkey % 7 <> 0 THEN o_orderstatus || ' ' || o_custkey || ' ' || strftime(o_orderdate, '%Y-%m-%d') || ' ' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS external_id FROM orders""")
+def external_id(spark, sf):
+    state = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).otherwise("")
+    day = F.when(F.col("o_orderkey") % 7 != 0, F.to_date("o_orderdate"))
+    return t(spark, sf, "orders").select("o_orderkey", X.external_id(state, F.col("o_custkey").cast("string"), day, F.col("o_orderkey")).alias("external_id"))
+
+
+_URL = "example\\.[a-z]+/([^/]+)/([0-9]+)"
+
+
+@query(rf"""SELECT page_id, CASE WHEN regexp_matches(url, '{_URL}') THEN upper(regexp_extract(url, '{_URL}', 1)) END AS state, CAST(nullif(regexp_extract(url, '{_URL}', 2), '') AS BIGINT) AS number FROM pages""")
+def url_parse(spark, sf):
+    x = t(spark, sf, "pages")
+    state = F.when(F.col("url").rlike(_URL), F.upper(F.regexp_extract("url", _URL, 1)))
+    return x.select("page_id", state.alias("state"), X.blank_to_null(F.regexp_extract("url", _URL, 2)).try_cast("bigint").alias("number"))
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'https://legiscan.com/CA/bill/' || page_id ELSE url END AS site, CASE WHEN page_id % 5 = 0 THEN 'link' WHEN page_id % 3 = 0 THEN 'https://legiscan.com/CA/bill/' || page_id ELSE url END AS url FROM pages WHERE page_id > 0""")
+def url_fallback(spark, sf):
+    x = t(spark, sf, "pages").where("page_id > 0")
+    site = X.page_url(F.when(F.col("page_id") % 3 != 0, F.col("url")), F.lit("CA"), F.col("page_id"))
+    return x.select("page_id", site.alias("site"), X.first_true(F.when(F.col("page_id") % 5 == 0, "link"), site).alias("url"))
+
+
+@query("""SELECT c_custkey, upper(c_mktsegment) = upper('building') AS hit FROM customer""")
+def case_insensitive_match(spark, sf):
+    return t(spark, sf, "customer").select("c_custkey", X.same_text(F.col("c_mktsegment"), F.lit("building")).alias("hit"))
+
+
+def _doc_json():
+    """A nested document of each row of documents."""
+    k = F.col("doc_id")
+    return F.to_json(
+        F.struct(
+            k.alias("bill_id"), F.col("lang").alias("state"), F.concat(F.lit("HB"), k.cast("string")).alias("bill_number"), F.md5("text").alias("title"), F.col("source").alias("description"),
+            F.when(k % 3 == 0, F.lit(2020)).alias("year"), F.when(k % 4 == 0, F.lit("2024-01-15")).alias("status_date"), (k % 8).alias("status"), F.md5("text").alias("change_hash"),
+            F.struct((k % 20).alias("session_id"), F.lit("2023-2024 Regular Session").alias("session_title")).alias("session"),
+            F.array(F.struct(F.lit("2024-2-20").alias("date"), F.lit("read").alias("action"))).alias("history"),
+        )
+    )
+
+
+@query("""SELECT doc_id, upper(lang) || ' HB' || doc_id || ' ' || CASE WHEN doc_id % 4 = 0 THEN '2024-01-15' ELSE '2024-02-20' END || ' ' || doc_id AS external_id, md5(text) AS title, upper(lang) AS state,
+CASE WHEN doc_id % 3 = 0 THEN 2020 ELSE 2023 END AS year, 'house' AS body, source AS summary, 'https://legiscan.com/' || upper(lang) || '/bill/' || doc_id AS url, doc_id AS legiscan_id,
+CASE WHEN doc_id % 4 = 0 THEN DATE '2024-01-15' ELSE DATE '2024-02-20' END AS version_date, CASE doc_id % 8 WHEN 1 THEN 'Introduced' WHEN 2 THEN 'Engrossed' WHEN 3 THEN 'Enrolled' WHEN 4 THEN 'Passed' WHEN 5 THEN 'Vetoed' WHEN 6 THEN 'Failed' END AS bill_status,
+md5(text) AS change_hash, doc_id % 20 AS legiscan_session_id FROM documents WHERE doc_id > 0""")
+def parse_record(spark, sf):
+    """Nested JSON to the flat record."""
+    docs = t(spark, sf, "documents").where("doc_id > 0").select("doc_id", _doc_json().alias("doc"))
+    cols = ("external_id", "title", "state", "year", "body", "summary", "url", "legiscan_id", "version_date", "bill_status", "change_hash", "legiscan_session_id")
+    return parse_documents(docs, F.lit("2024-06-01").cast("timestamp")).select("doc_id", *cols)
+
+
+@query("""WITH target AS (SELECT doc_id, md5(text) AS h FROM documents WHERE doc_id % 2 = 0),
+inc AS (SELECT doc_id, md5(text || 'x') AS h FROM documents WHERE doc_id % 3 = 0 AND doc_id % 9 <> 0 UNION ALL SELECT doc_id, NULL FROM documents WHERE doc_id % 9 = 0)
+SELECT coalesce(t.doc_id, i.doc_id) AS doc_id, CASE WHEN t.doc_id IS NULL THEN 'INSERT' WHEN i.h IS NOT NULL THEN 'PATCH' ELSE 'NOOP' END AS action, coalesce(i.h, t.h) AS change_hash
+FROM target t FULL JOIN inc i ON t.doc_id = i.doc_id""")
+def upsert_apply(spark, sf):
+    """A store of incoming rows over a target (U1, U3): the next snapshot."""
+    ts = F.lit("2024-06-01").cast("timestamp")
+    d = t(spark, sf, "documents")
+    target = _bills(d, "doc_id % 2 = 0", F.col("doc_id"))
+    new = _bills(d, "doc_id % 3 = 0", F.col("doc_id")).withColumn("change_hash", F.when(F.col("legiscan_id") % 9 != 0, "y"))
+    texts = d.select(F.col("doc_id").alias("legiscan_id"), F.md5(F.concat("text", F.lit("x"))).alias("_h"))
+    new = new.join(texts, "legiscan_id").withColumn("change_hash", F.when(F.col("change_hash").isNotNull(), F.col("_h"))).drop("_h").withColumn("ord", F.col("legiscan_id")).withColumn("external_id", F.lit(None).cast("string"))
+    out = U.apply_store(target, U.plan_store(new.select(*RECORD.names, "ord"), target), ts)
+    action = F.when(F.col("created_at").isNotNull(), "INSERT").when(F.col("updated_at").isNotNull(), "PATCH").otherwise("NOOP")
+    return out.select(F.col("legiscan_id").alias("doc_id"), action.alias("action"), "change_hash")
+
+
+@query("""SELECT d.doc_id, CASE WHEN d.doc_id % 4 = 0 THEN d.source ELSE md5(d.text) END AS title, d.doc_id % 2 = 0 AS hit FROM documents d""")
+def coalesce_update(spark, sf):
+    """A full update by key: nulls never overwrite."""
+    ts = F.lit("2024-06-01").cast("timestamp")
+    d = t(spark, sf, "documents")
+    target = _bills(d, "true", F.col("doc_id"))
+    patch = d.where("doc_id % 2 = 0").select(F.col("doc_id").alias("legiscan_id"), F.when(F.col("doc_id") % 4 == 0, F.col("source")).alias("title"))
+    patch = patch.select(*[(F.col(f.name) if f.name in ("legiscan_id", "title") else F.lit(None)).cast(f.dataType).alias(f.name) for f in RECORD])
+    return U.apply_update(target, patch, ts).select(F.col("legiscan_id").alias("doc_id"), "title", F.col("updated_at").isNotNull().alias("hit"))
+
+
+@query("SELECT d.doc_id, d.source FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE l.doc_id IS NULL AND d.doc_id > 0")
+def backfill_targets(spark, sf):
+    """Records that lack a value, with their documents."""
+    d = t(spark, sf, "documents").select("doc_id", "source")
+    bills = d.join(t(spark, sf, "labels").select("doc_id", F.lit(1).alias("session")), "doc_id", "left")
+    due = bills.where("session is null and doc_id > 0").select("doc_id")
+    return R.lookup(due, d, "doc_id")
+
+
+_NEAR = "(ti NEAR ble) OR (thea NEAR nder) OR (trash)"
+
+
+@query("SELECT doc_id FROM documents WHERE " + " OR ".join(f"regexp_matches(text, '{N.clause_pattern(c, 3)}')" for c in N.parse_query(_NEAR)))
+def near_match(spark, sf):
+    """Boolean NEAR over local text."""
+    d = t(spark, sf, "documents")
+    return d.where(N.near(F.col("text"), _NEAR, 3)).select("doc_id")
