@@ -23,7 +23,11 @@ from tidemark.llm.common import Workspace
 
 FILES_PER_TRIGGER = 1000
 NO_ID = 2**63 - 1
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk, without space reserved ahead: there is one small store for each partition.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -44,8 +48,9 @@ def state_of(spark: SparkSession, source: str, ws: Workspace, files_per_trigger:
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    old = {k: spark.conf.get(k, None) for k in ("spark.sql.streaming.stateStore.providerClass",)}
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    old = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         query = seen.writeStream.outputMode("update").option("checkpointLocation", ws.path("state")).trigger(availableNow=True).foreachBatch(keep).start()
         query.awaitTermination()
