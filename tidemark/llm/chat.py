@@ -61,11 +61,11 @@ def chosen_paths(messages: DataFrame, ws: Workspace, branches: int = 1) -> DataF
     rounds = 0
     while not cur.where("up is not null").isEmpty():
         far = cur.select("c", F.col("message_id").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("total").alias("total2"))
-        step = cur.join(far, ["c", "up"], "left")
-        cur = ws.put(
-            step.select("c", "message_id", F.col("up2").alias("up"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total")),
-            f"jump{rounds + 1}",
+        step = cur.where("up is not null").join(far, ["c", "up"])  # an ancestor is always there
+        step = (
+            step.select("c", "message_id", F.col("up2").alias("up"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"))
         )
+        cur = ws.put(step.union(cur.where("up is null")), f"jump{rounds + 1}")
         rounds += 1
     jumps = [ws.spark.read.schema(cur.schema).parquet(ws.path(f"jump{i}")) for i in range(rounds)]
     parents = (jumps[0] if jumps else cur).where("up is not null").select("c", F.col("up").alias("message_id")).distinct()
