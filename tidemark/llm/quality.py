@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import kernel as K
 from tidemark.llm.common import Workspace, blocks, text_buffers
 
-SAMPLE = 6000
+SAMPLE = 4000
 HASH_BITS = 18
 STEMS = (4, 5)
 EPOCHS = 150
@@ -143,8 +143,11 @@ def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], dense: np.ndarray, y:
     """Weights of the hashed features, of the dense ones, and the intercept, by full-batch Adam on soft labels."""
     nnz = [len(i) for i, _ in rows]
     idx, val = np.concatenate([i for i, _ in rows]), np.concatenate([x for _, x in rows])
-    row = np.repeat(np.arange(len(rows)), nnz)
-    live, idx = np.unique(idx, return_inverse=True)
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), nnz)
+    live = np.flatnonzero(np.bincount(idx, minlength=1 << HASH_BITS))
+    spot = np.zeros(1 << HASH_BITS, np.int32)
+    spot[live] = np.arange(len(live))
+    idx = spot[idx]
     d = np.column_stack([dense, np.ones(len(dense))])
     w = np.zeros(len(live) + d.shape[1])
     m1, m2 = np.zeros_like(w), np.zeros_like(w)
