@@ -42,6 +42,7 @@ class Workspace:
         ship(spark)
         self.spark = spark
         self.root = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -49,16 +50,21 @@ class Workspace:
     def put(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as Parquet and read it back."""
         path = self.path(name)
+        self.names.add(name)
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
-        """Delete tables that no later step reads; without names, the whole workspace."""
-        jvm = self.spark._jvm
-        for p in [self.path(n) for n in names] or [self.root]:
-            hp = jvm.org.apache.hadoop.fs.Path(p)
+        """Delete tables that no later step reads."""
+        self.names -= set(names)
+        for n in names:
+            hp = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(n))
             hp.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hp, True)
 
+    def keep(self, *names: str) -> None:
+        """Delete all other tables written here."""
+        self.drop(*(self.names - set(names)))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)

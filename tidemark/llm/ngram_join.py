@@ -290,7 +290,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("rep", "doc_id").alias("class_id")
     )
     out = ws.put(out, "result")
-    ws.drop("pairs", "sets", "profile", "classes", "wanted", "bits", f"large{rnd}")
+    ws.keep("result")
     return out
 
 
