@@ -242,6 +242,18 @@ def test_slots_must_be_consistent(spark):
     assert {r.doc_id for r in decontaminate.matches(frame(spark, rows), bench).collect()} == {1}
 
 
+def contaminated(spark, items, docs):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in decontaminate.matches(frame(spark, [(i, t, "a") for i, t in enumerate(docs)]), bench).collect()}
+
+
+def test_short_items_inside_documents(spark):
+    filler = "some plain words that belong to nothing in particular and go on for a while"
+    items = ["six words that are never alone", "three blue lamps", "seven quick foxes jump over Vienna tonight", "lamps"]
+    docs = [f"{filler} six words that are never alone {filler}", f"{filler}. Three blue lamps, {filler} three blue lamps", f"{filler} seven quick foxes jump over Berlin tonight", "three blue", f"{filler} three red lamps"]
+    assert contaminated(spark, items, docs) == {(0, 0), (1, 1), (1, 3), (2, 2), (4, 3)}
+
+
 def test_exact_dedup(spark, tmp_path):
     rows = odd_rows(5) + [(50, "one ", "a"), (51, "one\n", "a"), (52, " one", "a"), (53, "  one", "a")]
     src = str(tmp_path / "docs.parquet")

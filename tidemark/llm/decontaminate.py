@@ -4,7 +4,8 @@ A text is a sequence of tokens: words without punctuation at their ends, in lowe
 is ss, as upper-casing makes it). Words without a letter or digit are left out. Tokens are then typed: a number (digits, no
 letters) becomes ``<num>``, a name (capitalised but not in capitals, not at the start of a sentence) ``<name>``, a unit right after
 a number ``<unit>``. A template window is ``WINDOW`` typed tokens with at least ``LITERALS`` untyped ones; a shorter benchmark
-item is one window of all its tokens.
+item is one window of all its tokens, and documents have windows of each such item's length too (``WINDOW`` - 1 lengths at most), so
+that a short item is found anywhere in a text. An item of one token is found in every document that holds it.
 
 Windows of benchmark and documents are equi-joined by hash. A bitmap of fixed size (``BITMAP_BITS``) of the benchmark's windows is
 broadcast first, so that few other windows are shuffled. A match carries the fillers of its slots. Matches of one
@@ -104,47 +105,80 @@ def typed(raw: np.ndarray, off: np.ndarray):
     return t, h, kind, np.bincount(text_of, minlength=len(counts))
 
 
-def windows(t, kind, counts, size: int, whole: bool):
-    """(hash, token place in all, text, place in text) of windows with enough literals."""
+def places(counts, size: int, which=None):
+    """(token place in all, text, place in text) of every window of ``size`` tokens."""
     edge = np.concatenate(([0], np.cumsum(counts)))
     n = np.maximum(counts - size + 1, 0)
-    if whole:
-        n = np.where((n == 0) & (counts > 0), 1, n)
-    total = int(n.sum())
+    if which is not None:
+        n = np.where(which, n, 0)
     lead = np.concatenate(([0], np.cumsum(n)[:-1]))
     text = np.repeat(np.arange(len(counts)), n)
-    place = np.arange(total) - np.repeat(lead, n)
-    at = edge[:-1][text] + place
-    length = np.minimum(counts[text], size)
-    pad = np.concatenate((t, np.zeros(size, U)))
-    h = length.astype(U) * K.MULT[23]
+    place = np.arange(int(n.sum())) - np.repeat(lead, n)
+    return edge[:-1][text] + place, text, place
+
+
+def window_hash(t, at, size: int):
+    """Hashes of the windows of ``size`` tokens at ``at``; the size enters the hash."""
+    h = np.full(len(at), size, U) * K.MULT[23]
     for j in range(size):
-        h = h + np.where(j < length, pad[at + j] * K.MULT[j], U(0))
-    literal = np.concatenate(([0], np.cumsum(kind == 0), np.zeros(size, np.int64)))
-    literal[len(kind) + 1 :] = literal[len(kind)]
-    keep = literal[at + length] - literal[at] >= np.minimum(LITERALS, length)
-    return K.mix(h)[keep], at[keep], text[keep], place[keep], length[keep]
+        h = h + t[at + j] * K.MULT[j]
+    return K.mix(h)
+
+
+def literals(kind, at, size: int):
+    """Number of untyped tokens of windows."""
+    run = np.concatenate(([0], np.cumsum(kind == 0)))
+    return run[at + size] - run[at]
 
 
-def _rows(key: str, whole: bool, bitmap=None):
+def _fillers(own, kind, at, size: int) -> list[list[int]]:
+    return [[int(x) for x in own[i : i + size][kind[i : i + size] > 0].view(np.int64)] for i in at.tolist()]
+
+
+def _item_rows(batches):
+    """Windows of benchmark items: of ``WINDOW`` tokens, or of the whole item where it is shorter."""
+    for batch in batches:
+        ids = np.asarray(batch.column(0)).astype(np.int64)
+        raw, off = text_buffers(batch.column(1))
+        for a, b in blocks(off):
+            t, own, kind, counts = typed(raw, off[a : b + 1])
+            for size in range(1, WINDOW + 1):
+                at, text, place = places(counts, size, np.minimum(counts, WINDOW) == size)
+                keep = literals(kind, at, size) >= min(LITERALS, size)
+                at, text, place = at[keep], text[keep], place[keep]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[a:b][text]), pa.array(window_hash(t, at, size).view(np.int64)), pa.array(place.astype(np.int64)), pa.array(np.full(len(at), size, np.int32)), pa.array(_fillers(own, kind, at, size), pa.list_(pa.int64()))],
+                    ["item", "w", "item_at", "size", "item_slots"],
+                )
+
+
+def _doc_rows(bitmap, sizes: list[int]):
+    """Windows of documents, of each size that the benchmark holds, as far as the bitmap has them."""
+
     def run(batches):
-        live = bitmap.value if bitmap is not None else None
+        live = bitmap.value
         for batch in batches:
             ids = np.asarray(batch.column(0)).astype(np.int64)
             raw, off = text_buffers(batch.column(1))
             for a, b in blocks(off):
                 t, own, kind, counts = typed(raw, off[a : b + 1])
-                w, at, text, place, length = windows(t, kind, counts, WINDOW, whole)
-                if live is not None:
+                for size in sizes:
+                    at, text, place = places(counts, size)
+                    w = window_hash(t, at, size)
                     spot = (w >> U(64 - BITMAP_BITS)).astype(np.int64)
-                    hit = (live[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
-                    w, at, text, place, length = w[hit], at[hit], text[hit], place[hit], length[hit]
-                slots = [[int(x) for x in own[i : i + n][kind[i : i + n] > 0].view(np.int64)] for i, n in zip(at.tolist(), length.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a:b][text]), pa.array(w.view(np.int64)), pa.array(place.astype(np.int64)), pa.array(slots, pa.list_(pa.int64()))], [key, "w", f"{key}_at", f"{key}_slots"]
-                )
+                    hit = np.flatnonzero((live[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1)
+                    if size < WINDOW:  # the whole item: of a text's windows without slots one is enough
+                        plain = literals(kind, at[hit], size) == size
+                        _, first = np.unique(np.column_stack([text[hit].astype(U), w[hit]]), axis=0, return_index=True)
+                        once = ~plain
+                        once[first] = True
+                        hit = hit[once]
+                    w, at, text, place = w[hit], at[hit], text[hit], place[hit]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[a:b][text]), pa.array(w.view(np.int64)), pa.array(place.astype(np.int64)), pa.array(_fillers(own, kind, at, size), pa.list_(pa.int64()))], ["doc", "w", "doc_at", "doc_slots"]
+                    )
 
-    return run, f"{key} long, w long, {key}_at long, {key}_slots array<long>"
+    return run
 
 
 def _bitmap(rows: DataFrame) -> np.ndarray:
@@ -177,13 +211,12 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ws = Workspace(spark, "decontaminate")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
-    run, kind = _rows("item", True)
-    bench = ws.put(items.mapInArrow(run, kind), "bench")
+    bench = ws.put(items.mapInArrow(_item_rows, "item long, w long, item_at long, size int, item_slots array<long>"), "bench")
     bitmap = spark.sparkContext.broadcast(_bitmap(bench))
+    lengths = sorted(r.size for r in bench.select("size").distinct().collect())
     sizes = bench.groupBy("item").agg(F.countDistinct("item_at").alias("windows"))
-    run, kind = _rows("doc", True, bitmap)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    hits = texts.mapInArrow(run, kind)
+    hits = texts.mapInArrow(_doc_rows(bitmap, lengths), "doc long, w long, doc_at long, doc_slots array<long>")
     met = hits.join(bench, "w").select("doc", "item", (F.col("doc_at") - F.col("item_at")).alias("shift"), "item_at", F.arrays_zip("item_slots", "doc_slots").alias("pairs"))
     found = met.groupBy("doc", "item", "shift").agg(F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     fillers = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
