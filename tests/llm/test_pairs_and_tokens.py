@@ -254,6 +254,20 @@ def test_short_items_inside_documents(spark):
     assert contaminated(spark, items, docs) == {(0, 0), (1, 1), (1, 3), (2, 2), (4, 3)}
 
 
+def test_items_rich_in_slots(spark):
+    filler = "some plain words that belong to nothing in particular and go on for a while"
+    items = [
+        "Solve 3 x + 12 = 48 - 6 x", "Anna Smith met Bob Jones in Paris on 12 May 2020",  # too few literals for a template: exact
+        "Count 3 and 4 then 5 and 6 by 7 or 8 now",  # the whole item as a template
+        " ".join(f"w{i}a {i} {i + 50} {i + 100} w{i}b {i + 150} {i + 200}" for i in range(7)),  # windows of 16 tokens
+        "Paris has 5 boroughs",
+    ]
+    far = " ".join(f"w{i}a {i + 300} {i + 350} {i + 400} w{i}b {i + 450} {i + 500}" for i in range(7))
+    docs = [f"{filler}. {x}. {filler}" for x in items]
+    docs += [f"{filler}. Solve 4 x + 13 = 49 - 7 x", f"{filler}. Count 13 and 14 then 15 and 16 by 17 or 18 now", f"{filler}. Count 13 and 14 then 15 and 16 by 17 {filler}", f"{filler}. {far}.", f"{filler}. Paris has 6 boroughs"]
+    assert contaminated(spark, items, docs) == {(i, i) for i in range(5)} | {(6, 2), (8, 3)}
+
+
 def test_exact_dedup(spark, tmp_path):
     rows = odd_rows(5) + [(50, "one ", "a"), (51, "one\n", "a"), (52, " one", "a"), (53, "  one", "a")]
     src = str(tmp_path / "docs.parquet")

@@ -3,7 +3,9 @@
 A text is a sequence of tokens: words without punctuation at their ends, in lower case (ASCII and Latin-1 letters; sharp s
 is ss, as upper-casing makes it). Words without a letter or digit are left out. Tokens are then typed: a number (digits, no
 letters) becomes ``<num>``, a name (capitalised but not in capitals, not at the start of a sentence) ``<name>``, a unit right after
-a number ``<unit>``. A template window is ``WINDOW`` typed tokens with at least ``LITERALS`` untyped ones; a shorter benchmark
+a number ``<unit>``. A template window is ``WINDOW`` typed tokens with at least ``LITERALS`` untyped ones; an item without one has
+windows of the least doubled size that holds as many, else all its tokens as one template (its first and last tokens, met together), and
+also windows of exact tokens, which are all that an item with fewer than ``LITERALS`` untyped tokens has. A shorter benchmark
 item is one window of all its tokens, and documents have windows of each such item's length too (``WINDOW`` - 1 lengths at most), so
 that a short item is found anywhere in a text. An item of one token is found in every document that holds it.
 
@@ -11,7 +13,7 @@ Windows of benchmark and documents are equi-joined by hash. A bitmap of fixed si
 broadcast first, so that few other windows are shuffled. A match carries the fillers of its slots. Matches of one
 document and item at one shift are an occurrence; it is consistent if each filler of the item stands for one filler of the
 document throughout. A document is contaminated by an item if consistent occurrences cover at least half of the item's
-windows, or ``ENOUGH`` of them.
+template windows or of its windows of ``WINDOW`` tokens, or ``ENOUGH`` of either; the better of the two covers is reported.
 
 Null and empty texts have no windows. Repeated rows and repeated passages count once. Empty tables give an empty result. Other columns are
 ignored. Rows with a null doc_id are never contaminated.
@@ -118,7 +120,16 @@ def places(counts, size: int, which=None):
 
 
 def window_hash(t, at, size: int):
-    """Hashes of the windows of ``size`` tokens at ``at``; the size enters the hash."""
+    """Hashes of the windows of ``size`` tokens at ``at``; the size enters the hash. Beyond ``WINDOW`` it is doubled ones."""
+    if size > WINDOW:
+        g, m = np.zeros(len(t), U), WINDOW
+        pad = np.concatenate((t, np.zeros(WINDOW, U)))
+        for j in range(WINDOW):
+            g = g + pad[j : j + len(t)] * K.MULT[j]
+        while m < size:
+            g = K.mix(g * K.MULT[24] + np.concatenate((g[m:], np.zeros(m, U)))[: len(g)] * K.MULT[25])
+            m *= 2
+        return K.mix(g[at] + np.full(len(at), size, U) * K.MULT[23])
     h = np.full(len(at), size, U) * K.MULT[23]
     for j in range(size):
         h = h + t[at + j] * K.MULT[j]
@@ -136,21 +147,56 @@ def _fillers(own, kind, at, size: int) -> list[list[int]]:
 
 
 def _item_rows(batches):
-    """Windows of benchmark items: of ``WINDOW`` tokens, or of the whole item where it is shorter."""
+    """Windows of benchmark items. ``cover``: bit 0 counts as a window of exact tokens, bit 1 as a template window; ``need``: the
+    template windows that one occurrence must have at least; ``item_fixed``: typed tokens that stand as they are."""
     for batch in batches:
         ids = np.asarray(batch.column(0)).astype(np.int64)
         raw, off = text_buffers(batch.column(1))
         for a, b in blocks(off):
             t, own, kind, counts = typed(raw, off[a : b + 1])
-            for size in range(1, WINDOW + 1):
-                at, text, place = places(counts, size, np.minimum(counts, WINDOW) == size)
-                keep = literals(kind, at, size) >= min(LITERALS, size)
-                at, text, place = at[keep], text[keep], place[keep]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a:b][text]), pa.array(window_hash(t, at, size).view(np.int64)), pa.array(place.astype(np.int64)), pa.array(np.full(len(at), size, np.int32)), pa.array(_fillers(own, kind, at, size), pa.list_(pa.int64()))],
-                    ["item", "w", "item_at", "size", "item_slots"],
+            none = np.zeros(len(kind), np.int64)
+
+            def rows(t, slot, fixed, at, text, place, size, cover, need=1):
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(ids[a:b][text]), pa.array(window_hash(t, at, size).view(np.int64)), pa.array(place.astype(np.int64)), pa.array(np.full(len(at), size, np.int32))]  # noqa: B023
+                    + [pa.array(np.broadcast_to(x, len(at)).astype(np.int32)) for x in (cover, need)]
+                    + [pa.array(_fillers(own, x, at, size), pa.list_(pa.int64())) for x in (slot, fixed)],  # noqa: B023
+                    ["item", "w", "item_at", "size", "cover", "need", "item_slots", "item_fixed"],
                 )
 
+            poor = counts > 0  # items without a template window yet
+            for size in range(1, WINDOW + 1):
+                mine = np.minimum(counts, WINDOW) == size
+                at, text, place = places(counts, size, mine)
+                n = literals(kind, at, size)
+                rich = n >= min(LITERALS, size)
+                yield rows(t, kind, none, at[rich], text[rich], place[rich], size, 3)
+                poor[text[rich]] = False
+                bare = (n < size) & poor[text]
+                yield rows(own, none, kind, at[bare], text[bare], place[bare], size, 1)
+            # longer windows where those of WINDOW tokens have too few literals; sizes double, so that documents need few of them
+            run = np.concatenate(([0], np.cumsum(kind == 0)))
+            edge = np.concatenate(([0], np.cumsum(counts)))
+            poor &= (counts >= WINDOW) & (run[edge[1:]] - run[edge[:-1]] >= LITERALS)
+            size, top = 2 * WINDOW, int(counts[poor].max(initial=0))
+            while size <= top:
+                at, text, place = places(counts, size, poor)
+                rich = literals(kind, at, size) >= LITERALS
+                at, text, place = at[rich], text[rich], place[rich]
+                yield rows(t, kind, none, at, text, place, size, 2)
+                poor[text] = False
+                size *= 2
+            # else the whole item, as its first and its last tokens, which must be met together
+            size = WINDOW
+            while size <= top:
+                text = np.flatnonzero(poor & (counts >= size) & (counts < 2 * size))
+                tail = counts[text] - size
+                need = 1 + (tail > 0)
+                yield rows(t, kind, none, edge[text], text, np.zeros(len(text), np.int64), size, 2, need)
+                more = tail > 0
+                yield rows(t, kind, none, (edge[text] + tail)[more], text[more], tail[more], size, 2, need[more])
+                size *= 2
+
 
 def _doc_rows(bitmap, sizes: list[int]):
     """Windows of documents, of each size that the benchmark holds, as far as the bitmap has them."""
@@ -163,20 +209,22 @@ def _doc_rows(bitmap, sizes: list[int]):
             for a, b in blocks(off):
                 t, own, kind, counts = typed(raw, off[a : b + 1])
                 for size in sizes:
-                    at, text, place = places(counts, size)
-                    w = window_hash(t, at, size)
-                    spot = (w >> U(64 - BITMAP_BITS)).astype(np.int64)
-                    hit = np.flatnonzero((live[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1)
-                    if size < WINDOW:  # the whole item: of a text's windows without slots one is enough
-                        plain = literals(kind, at[hit], size) == size
-                        _, first = np.unique(np.column_stack([text[hit].astype(U), w[hit]]), axis=0, return_index=True)
-                        once = ~plain
-                        once[first] = True
-                        hit = hit[once]
-                    w, at, text, place = w[hit], at[hit], text[hit], place[hit]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[a:b][text]), pa.array(w.view(np.int64)), pa.array(place.astype(np.int64)), pa.array(_fillers(own, kind, at, size), pa.list_(pa.int64()))], ["doc", "w", "doc_at", "doc_slots"]
-                    )
+                    every = places(counts, size)
+                    slotted = literals(kind, every[0], size) < size if size <= WINDOW else np.zeros(len(every[0]), bool)
+                    for exact in (False, True):
+                        at, text, place = [x[slotted] for x in every] if exact else every
+                        w = window_hash(own if exact else t, at, size)
+                        spot = (w >> U(64 - BITMAP_BITS)).astype(np.int64)
+                        hit = np.flatnonzero((live[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1)
+                        w, at, text, place = w[hit], at[hit], text[hit], place[hit]
+                        if size < WINDOW:  # the whole item: of a text's windows without slots one is enough
+                            once = np.zeros(len(at), bool) if exact else literals(kind, at, size) < size
+                            once[np.unique(np.column_stack([text.astype(U), w]), axis=0, return_index=True)[1]] = True
+                            w, at, text, place = w[once], at[once], text[once], place[once]
+                        slots = [[]] * len(at) if exact else _fillers(own, kind, at, size)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(ids[a:b][text]), pa.array(w.view(np.int64)), pa.array(place.astype(np.int64)), pa.array(slots, pa.list_(pa.int64()))], ["doc", "w", "doc_at", "doc_slots"]
+                        )
 
     return run
 
@@ -211,16 +259,24 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ws = Workspace(spark, "decontaminate")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
-    bench = ws.put(items.mapInArrow(_item_rows, "item long, w long, item_at long, size int, item_slots array<long>"), "bench")
+    bench = ws.put(items.mapInArrow(_item_rows, "item long, w long, item_at long, size int, cover int, need int, item_slots array<long>, item_fixed array<long>"), "bench")
     bitmap = spark.sparkContext.broadcast(_bitmap(bench))
     lengths = sorted(r.size for r in bench.select("size").distinct().collect())
-    sizes = bench.groupBy("item").agg(F.countDistinct("item_at").alias("windows"))
+    exact, template = (F.when(F.col("cover").bitwiseAND(bit) > 0, F.col("item_at")) for bit in (1, 2))
+    sizes = bench.groupBy("item").agg(F.countDistinct(exact).alias("n0"), F.countDistinct(template).alias("n1"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     hits = texts.mapInArrow(_doc_rows(bitmap, lengths), "doc long, w long, doc_at long, doc_slots array<long>")
-    met = hits.join(bench, "w").select("doc", "item", (F.col("doc_at") - F.col("item_at")).alias("shift"), "item_at", F.arrays_zip("item_slots", "doc_slots").alias("pairs"))
-    found = met.groupBy("doc", "item", "shift").agg(F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    fixed = F.transform("item_fixed", lambda x: F.struct(x.alias("item_slots"), x.alias("doc_slots")))
+    met = hits.join(bench, "w").select("doc", "item", (F.col("doc_at") - F.col("item_at")).alias("shift"), "item_at", "cover", "need", F.concat(F.arrays_zip("item_slots", "doc_slots"), fixed).alias("pairs"))
+    found = met.groupBy("doc", "item", "shift").agg(F.collect_set(exact).alias("p0"), F.collect_set(template).alias("p1"), F.max("need").alias("need"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     fillers = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
-    found = found.where(F.size("pairs") == fillers)
-    whole = found.groupBy("doc", "item").agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched")).join(sizes, "item")
-    enough = (F.col("matched") * 2 >= F.col("windows")) | (F.col("matched") >= ENOUGH)
-    return whole.where(enough).select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "matched", "windows", (F.col("matched") / F.col("windows")).alias("coverage"))
+    found = found.where(F.size("pairs") == fillers).withColumn("p1", F.when(F.size("p1") >= F.col("need"), F.col("p1")))
+    count = lambda p: F.size(F.array_distinct(F.flatten(F.collect_set(p)))).cast("long")
+    whole = found.groupBy("doc", "item").agg(count("p0").alias("m0"), count("p1").alias("m1")).join(sizes, "item")
+
+    def cover(m, n):
+        m, n = F.col(m), F.col(n)
+        return F.struct(((n > 0) & (m > 0) & ((m * 2 >= n) | (m >= ENOUGH))).alias("enough"), F.when(n > 0, m / n).otherwise(0.0).alias("coverage"), m.alias("matched"), n.alias("windows"))
+
+    best = whole.select("doc", "item", F.greatest(cover("m0", "n0"), cover("m1", "n1")).alias("c")).where("c.enough")
+    return best.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "c.matched", "c.windows", "c.coverage")
