@@ -268,6 +268,14 @@ def test_items_rich_in_slots(spark):
     assert contaminated(spark, items, docs) == {(i, i) for i in range(5)} | {(6, 2), (8, 3)}
 
 
+def test_copies_in_another_case(spark):
+    filler = "some plain words that belong to nothing in particular and go on for a while"
+    items = ["Which river flows through Vienna and Budapest before it reaches Belgrade", "What is the height of tower 12 downtown", "How many of the 30 trains from Graz stop here", "Few cats chase 3 dogs 4 mice 5"]
+    docs = [f"{filler}. {items[0].lower()} {filler}", f"{filler}. {items[0].upper()} {filler}", f"see also {items[1]}, {filler}", f"see also {items[1].replace('12', '14')}, {filler}", f"{filler}. {items[2].lower().replace('30', '40')} {filler}"]
+    docs += [f"see also {items[3].replace('3', '7')} {filler}", f"see also {items[3].replace('Few', 'Big').replace('3', '7')} {filler}", f"{filler}. {items[2].lower().replace('graz', 'linz')} {filler}"]
+    assert contaminated(spark, items, docs) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 2), (5, 3)}
+
+
 def test_exact_dedup(spark, tmp_path):
     rows = odd_rows(5) + [(50, "one ", "a"), (51, "one\n", "a"), (52, " one", "a"), (53, "  one", "a")]
     src = str(tmp_path / "docs.parquet")

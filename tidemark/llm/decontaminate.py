@@ -4,8 +4,10 @@ A text is a sequence of tokens: words without punctuation at their ends, in lowe
 is ss, as upper-casing makes it). Words without a letter or digit are left out. Tokens are then typed: a number (digits, no
 letters) becomes ``<num>``, a name (capitalised but not in capitals, not at the start of a sentence) ``<name>``, a unit right after
 a number ``<unit>``. A template window is ``WINDOW`` typed tokens with at least ``LITERALS`` untyped ones; an item without one has
-windows of the least doubled size that holds as many, else all its tokens as one template (its first and last tokens, met together), and
-also windows of exact tokens, which are all that an item with fewer than ``LITERALS`` untyped tokens has. A shorter benchmark
+windows of the least doubled size that holds as many, else all its tokens as one template (its first and last tokens, met together). An
+item with fewer than ``LITERALS`` untyped tokens has no template. All items also have windows of exact tokens without regard to case, of
+template windows with names as they are (for copies in lower case or in capitals), and with the first word as a name (for copies that begin
+within a sentence); documents have windows of typed and of exact tokens. A shorter benchmark
 item is one window of all its tokens, and documents have windows of each such item's length too (``WINDOW`` - 1 lengths at most), so
 that a short item is found anywhere in a text. An item of one token is found in every document that holds it.
 
@@ -70,7 +72,7 @@ _SLOT = {1: K.MULT[20], 2: K.MULT[21], 3: K.MULT[22]}
 
 
 def typed(raw: np.ndarray, off: np.ndarray):
-    """(template hash, own hash, type 0..3) of every token, and the number of tokens of each text."""
+    """(template hash, own hash, type 0..3, whether it could be a name) of every token, and the number of tokens of each text."""
     part, own = raw[off[0] : off[-1]], off - off[0]
     starts, ends, counts = K.word_spans(part, own)
     ink = np.flatnonzero(_ALNUM[part])
@@ -94,7 +96,8 @@ def typed(raw: np.ndarray, off: np.ndarray):
     number = (n_digit > 0) & (n_digit == n_mark)
     wide = (part[s] == 0xC3).astype(np.int64)
     starts_up = (upper[s + 1 + wide] - upper[s]) > 0
-    name = starts_up & ~opens & (n_up == 1) & (e - s > 1 + wide) & ~number
+    able = starts_up & (n_up == 1) & (e - s > 1 + wide) & ~number
+    name = able & ~opens
     unit = np.zeros(len(h), bool)
     if len(h):
         spot = np.searchsorted(_UNITS, h)
@@ -104,7 +107,7 @@ def typed(raw: np.ndarray, off: np.ndarray):
     t = h.copy()
     for k, x in _SLOT.items():
         t[kind == k] = x
-    return t, h, kind, np.bincount(text_of, minlength=len(counts))
+    return t, h, kind, able, np.bincount(text_of, minlength=len(counts))
 
 
 def places(counts, size: int, which=None):
@@ -153,8 +156,10 @@ def _item_rows(batches):
         ids = np.asarray(batch.column(0)).astype(np.int64)
         raw, off = text_buffers(batch.column(1))
         for a, b in blocks(off):
-            t, own, kind, counts = typed(raw, off[a : b + 1])
+            t, own, kind, able, counts = typed(raw, off[a : b + 1])
             none = np.zeros(len(kind), np.int64)
+            names = (kind == 2) * 1
+            plain_t, plain_kind = np.where(kind == 2, own, t), np.where(kind == 2, 0, kind)  # names as they are: a copy in one case has none
 
             def rows(t, slot, fixed, at, text, place, size, cover, need=1):
                 return pa.RecordBatch.from_arrays(
@@ -164,16 +169,33 @@ def _item_rows(batches):
                     ["item", "w", "item_at", "size", "cover", "need", "item_slots", "item_fixed"],
                 )
 
+            def templates(at, text, place, size, cover, need=1):
+                cover, need = np.broadcast_to(cover, len(at)), np.broadcast_to(need, len(at))
+                yield rows(t, kind, none, at, text, place, size, cover, need)  # noqa: B023
+                # the first word as a name, for a document where no sentence starts there; it must be the same if literals are few
+                head = (place == 0) & able[at] & (kind[at] == 0)  # noqa: B023
+                x, named_t, named, same = at[head], t.copy(), kind.copy(), none.copy()  # noqa: B023
+                named_t[x], named[x] = _SLOT[2], 2
+                same[x] = literals(named, x, size) < min(LITERALS, size)
+                yield rows(named_t, named, same, x, text[head], place[head], size, cover[head], need[head])
+
+            def uncased(at, text, place, size, cover, need=1):
+                cover, need = np.broadcast_to(cover, len(at)), np.broadcast_to(need, len(at))
+                n, n_plain = literals(kind, at, size), literals(plain_kind, at, size)  # noqa: B023
+                both = (n < n_plain) & (n_plain < size) & (n_plain >= min(LITERALS, size) * (size <= WINDOW))
+                yield rows(plain_t, plain_kind, names, at[both], text[both], place[both], size, cover[both], need[both])  # noqa: B023
+
             poor = counts > 0  # items without a template window yet
             for size in range(1, WINDOW + 1):
                 mine = np.minimum(counts, WINDOW) == size
                 at, text, place = places(counts, size, mine)
                 n = literals(kind, at, size)
                 rich = n >= min(LITERALS, size)
-                yield rows(t, kind, none, at[rich], text[rich], place[rich], size, 3)
+                yield from templates(at[rich], text[rich], place[rich], size, 3)
+                yield from uncased(at, text, place, size, 1 + 2 * rich)
                 poor[text[rich]] = False
-                bare = (n < size) & poor[text]
-                yield rows(own, none, kind, at[bare], text[bare], place[bare], size, 1)
+                bare = n < size
+                yield rows(own, none, kind, at[bare], text[bare], place[bare], size, (1 + 2 * rich)[bare])
             # longer windows where those of WINDOW tokens have too few literals; sizes double, so that documents need few of them
             run = np.concatenate(([0], np.cumsum(kind == 0)))
             edge = np.concatenate(([0], np.cumsum(counts)))
@@ -183,7 +205,8 @@ def _item_rows(batches):
                 at, text, place = places(counts, size, poor)
                 rich = literals(kind, at, size) >= LITERALS
                 at, text, place = at[rich], text[rich], place[rich]
-                yield rows(t, kind, none, at, text, place, size, 2)
+                yield from templates(at, text, place, size, 2)
+                yield from uncased(at, text, place, size, 2)
                 poor[text] = False
                 size *= 2
             # else the whole item, as its first and its last tokens, which must be met together
@@ -191,10 +214,11 @@ def _item_rows(batches):
             while size <= top:
                 text = np.flatnonzero(poor & (counts >= size) & (counts < 2 * size))
                 tail = counts[text] - size
-                need = 1 + (tail > 0)
-                yield rows(t, kind, none, edge[text], text, np.zeros(len(text), np.int64), size, 2, need)
                 more = tail > 0
-                yield rows(t, kind, none, (edge[text] + tail)[more], text[more], tail[more], size, 2, need[more])
+                need = np.concatenate((1 + more, 1 + more[more]))
+                place = np.concatenate((0 * tail, tail[more]))
+                text = np.concatenate((text, text[more]))
+                yield from templates(edge[text] + place, text, place, size, 2, need)
                 size *= 2
 
 
@@ -207,7 +231,7 @@ def _doc_rows(bitmap, sizes: list[int]):
             ids = np.asarray(batch.column(0)).astype(np.int64)
             raw, off = text_buffers(batch.column(1))
             for a, b in blocks(off):
-                t, own, kind, counts = typed(raw, off[a : b + 1])
+                t, own, kind, _, counts = typed(raw, off[a : b + 1])
                 for size in sizes:
                     every = places(counts, size)
                     slotted = literals(kind, every[0], size) < size if size <= WINDOW else np.zeros(len(every[0]), bool)
