@@ -196,6 +196,29 @@ def test_repair_random_access():
     assert (token_store.Block(token_store.pack(np.arange(1), same, np.array([1001]))).all_ids() == same).all()
 
 
+def frequent_pairs(symbols, counts):
+    """The most often that a pair is met in the symbols, without overlap and within documents."""
+    seen, before, at = {}, {}, 0
+    for n in counts:
+        for i in range(at, at + n - 1):
+            pair = (symbols[i], symbols[i + 1])
+            if before.get(pair) != i - 1:
+                seen[pair], before[pair] = seen.get(pair, 0) + 1, i
+        at += n
+    return max(seen.values(), default=0)
+
+
+def test_repair_to_the_end():
+    rnd = np.random.default_rng(5)
+    phrase = rnd.integers(0, 40_000, 500)
+    some = [np.concatenate((rnd.integers(0, 40_000, rnd.integers(0, 9)), phrase)) for _ in range(20)]
+    some += [rnd.choice(12, 3000), np.zeros(1001, np.int64), np.zeros(0, np.int64), np.array([5])]
+    ids, lengths = np.concatenate(some).astype(np.int32), np.array([len(x) for x in some])
+    symbols, counts, left, right, size = token_store.repair(ids, lengths)
+    assert frequent_pairs(symbols.tolist(), counts.tolist()) < token_store.LEAST and size.max() >= 500
+    assert (token_store.expand(symbols, left, right) == ids).all() and len(size) == len(left)
+
+
 def test_encoder_small_blocks():
     from tokenizers import Tokenizer
 

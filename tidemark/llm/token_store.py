@@ -2,7 +2,7 @@
 
 Documents are dealt into shards by ranges of doc_id, sorted, encoded and cut into blocks of about ``BLOCK_IDS``
 ids. In each block, frequent pairs of neighbouring ids are replaced by nonterminals, all frequent pairs of a
-round at once, again and again; no pair crosses a document. A block keeps its rules, the expansion length of every
+round at once, until none is met ``LEAST`` times without overlap; no pair crosses a document. A block keeps its rules, the expansion length of every
 nonterminal, the sequence, and for each document its id, its place in the sequence and its number of ids, so any
 document is decoded alone.
 
@@ -124,11 +124,30 @@ def encoder(path: str) -> Encoder:
 
 
 def repair(ids: np.ndarray, lengths: np.ndarray, rounds: int = ROUNDS, least: int = LEAST):
-    """Re-Pair over one block: (symbols, number of symbols of each document, left, right, expansion lengths)."""
+    """Re-Pair over one block: (symbols, number of symbols of each document, left, right, expansion lengths).
+
+    After ``rounds`` rounds by hash slots, pairs are counted exactly until none is met ``least`` times without overlap."""
     seq = ids.astype(np.int64)
     last = np.zeros(len(seq), bool)
     last[np.cumsum(lengths)[lengths > 0] - 1] = True
     left, right, size = [], [], np.zeros(0, np.int64)
+
+    def put(spots, here, pair, used):
+        """Replace the pairs ``pair[here]`` at ``spots`` by new symbols; the mask of places that are left."""
+        nonlocal seq, last, size
+        name = np.cumsum(used) - 1 + BASE + len(size)
+        a, b = pair[used] >> 32, pair[used] & 0xFFFFFFFF
+        length = lambda s: np.where(s >= BASE, size[np.where(s >= BASE, s - BASE, 0)], 1) if len(size) else np.ones(len(s), np.int64)
+        left.append(a)
+        right.append(b)
+        size = np.concatenate((size, length(a) + length(b)))
+        seq[spots] = name[here]
+        last[spots] = last[spots + 1]
+        gone = np.ones(len(seq), bool)
+        gone[spots + 1] = False
+        seq, last = seq[gone], last[gone]
+        return gone
+
     for turn in range(rounds):
         if len(seq) < 2:
             break
@@ -154,17 +173,41 @@ def repair(ids: np.ndarray, lengths: np.ndarray, rounds: int = ROUNDS, least: in
         spots, here = spots[keep], here[keep]
         if not len(spots):
             break
-        name = np.cumsum(used) - 1 + BASE + len(size)
-        a, b = pair[used] >> 32, pair[used] & 0xFFFFFFFF
-        length = lambda s: np.where(s >= BASE, size[np.where(s >= BASE, s - BASE, 0)], 1) if len(size) else np.ones(len(s), np.int64)  # noqa: B023, E731
-        left.append(a)
-        right.append(b)
-        size = np.concatenate((size, length(a) + length(b)))
-        seq[spots] = name[here]
-        last[spots] = last[spots + 1]
-        gone = np.ones(len(seq), bool)
-        gone[spots + 1] = False
-        seq, last = seq[gone], last[gone]
+        put(spots, here, pair, used)
+    # a pair of old symbols that is too rare stays so: later rounds look at frequent pairs and at new symbols only
+    code = (seq[:-1] << 32) | seq[1:]
+    slot = ((code.view(U) * K.MULT[60]) >> U(64 - PAIR_BITS)).astype(np.int32)
+    spots = np.flatnonzero((np.bincount(slot, minlength=1 << PAIR_BITS) >= least)[slot] & ~last[:-1])
+    while len(spots):
+        twin = seq[spots] == seq[spots + 1]
+        run = np.concatenate(([True], (np.diff(spots) > 1) | ~twin[1:] | ~twin[:-1]))
+        head = spots[np.maximum.accumulate(np.where(run, np.arange(len(spots)), 0))]
+        whole, spots = spots, spots[(spots - head) % 2 == 0]
+        pair, here, n = np.unique((seq[spots] << 32) | seq[spots + 1], return_inverse=True, return_counts=True)
+        often = n >= least
+        if not often.any():
+            break
+        keep = often[here]
+        spots, here = spots[keep], here[keep]
+        # of overlapping spots the more frequent pair's stays, so that the most frequent one always gets its rule
+        rank = np.empty(len(n), np.int64)
+        rank[np.argsort(n, kind="stable")] = np.arange(len(n))
+        r, close = rank[here], np.diff(spots) == 1
+        wins = np.ones(len(spots), bool)
+        wins[1:] &= ~close | (r[1:] > r[:-1])
+        wins[:-1] &= ~close | (r[:-1] > r[1:])
+        used = np.bincount(here[wins], minlength=len(n)) >= least
+        wins &= used[here]
+        again = np.zeros(len(seq), bool)
+        again[spots] = True
+        again[whole[seq[whole] == seq[whole + 1]]] = True
+        new = np.zeros(len(seq), bool)
+        new[spots[wins]] = True
+        gone = put(spots[wins], here[wins], pair, used)
+        again, new = again[gone], new[gone]
+        again |= new
+        again[:-1] |= new[1:]
+        spots = np.flatnonzero(again[:-1] & ~last[:-1])
     ends = np.flatnonzero(last) + 1
     count = np.zeros(len(lengths), np.int64)
     count[lengths > 0] = np.diff(np.concatenate(([0], ends)))
@@ -172,17 +215,32 @@ def repair(ids: np.ndarray, lengths: np.ndarray, rounds: int = ROUNDS, least: in
     return seq, count, cat(left), cat(right), size
 
 
-def expand(seq: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Token ids of symbols."""
-    while True:
+def _sizes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Expansion lengths of rules; a rule's symbols are older than itself."""
+    size = np.zeros(len(left), np.int64)
+    for i, (x, y) in enumerate(zip(left.tolist(), right.tolist())):
+        size[i] = sum(size[z - BASE] if z >= BASE else 1 for z in (x, y))
+    return size
+
+
+def expand(seq: np.ndarray, left: np.ndarray, right: np.ndarray, size: np.ndarray | None = None) -> np.ndarray:
+    """Token ids of symbols. Each round takes only the rules that are left, to their places."""
+    size = _sizes(left, right) if size is None else size
+    n = np.ones(len(seq), np.int64)
+    rule = np.flatnonzero(seq >= BASE)
+    n[rule] = size[seq[rule] - BASE]
+    at = np.cumsum(n) - n
+    out = np.empty(int(n.sum()), seq.dtype)
+    while len(seq):
         rule = seq >= BASE
-        if not rule.any():
-            return seq
-        first = np.arange(len(seq)) + np.concatenate(([0], np.cumsum(rule)[:-1]))
-        out = np.empty(len(seq) + int(rule.sum()), seq.dtype)
-        out[first] = np.where(rule, left[np.where(rule, seq - BASE, 0)], seq)
-        out[first[rule] + 1] = right[seq[rule] - BASE]
-        seq = out
+        out[at[~rule]] = seq[~rule]
+        own, at = seq[rule] - BASE, at[rule]
+        a, b = left[own], right[own]
+        deep = np.flatnonzero(a >= BASE)
+        n = np.ones(len(a), np.int64)
+        n[deep] = size[a[deep] - BASE]
+        seq, at = np.concatenate((a, b)), np.concatenate((at, at + n))
+    return out
 
 
 def pack(doc_ids: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> bytes:
@@ -212,11 +270,11 @@ class Block:
         self.symbols = take("<u4", symbols)
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.symbols, self.left, self.right)
+        return expand(self.symbols, self.left, self.right, self.sizes)
 
     def document(self, i: int) -> np.ndarray:
         """Ids of the i-th document, without decoding any other."""
-        return expand(self.symbols[self.place[i] : self.place[i + 1]], self.left, self.right)
+        return expand(self.symbols[self.place[i] : self.place[i + 1]], self.left, self.right, self.sizes)
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID) -> None:
