@@ -24,6 +24,12 @@ def test_html_without_article():
     assert text.count("\n") == 6 and text.endswith("End.") and "xyz" not in text.replace(" ", "")
 
 
+@pytest.mark.parametrize("name", ["layout with-sidebar", "no-sidebar", "content-with-comments", "has-banner", "search"])
+def test_html_names_around_articles(name):
+    assert html_text.main_text(f'<div class="{name}"><nav>Menu</nav><article><p class="key-notice">One</p><p>Two words</p></article></div>') == "One\nTwo words"
+    assert html_text.main_text(f'<nav><div class="{name}"><article>Menu</article></div></nav><main>Text</main>') == "Text"
+
+
 def test_html_broken_and_odd(spark):
     assert html_text.main_text("<nav><ul><li>Menu<article><p>Text that stays") == "Text that stays"
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain text"), (4, "u", "<!-- open"), (5, "u", "<p>" + "long " * 50_000), (None, "u", "<article>x</article>"), (5, "u", "<p>a")]

@@ -6,7 +6,8 @@ line's ratio of text to tags is smoothed by a Gaussian kernel over its neighbour
 half the standard deviation of the page's smoothed ratios, and regions are kept that hold lines above it and at least half of the
 text above it of the best region. From a kept region all lines are taken, short ones too.
 Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out by
-element, role, class or id, and never count as content.
+element, role, class or id, and never count as content. A class or id counts if one of its words is such a name, not a part
+of it (``with-sidebar``); an article or main inside an element dropped by name is not dropped with it.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by a newline.
 Null and empty pages, and pages without content, give an empty text. A page of any length is parsed whole. Repeated rows
@@ -34,7 +35,6 @@ MARKS = frozenset(
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SPACES = re.compile(r"\s+")
-NAMES = re.compile(r"[^a-z0-9]+")
 SIGMA = 1.0
 
 
@@ -43,7 +43,7 @@ class _Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # element, dropped, region
+        self.stack: list[tuple[str, int, int]] = []  # element, dropped, region
         self.lines: list[list] = []
         self.kinds: list[str] = ["page"]
         self.parts: list[str] = []
@@ -57,27 +57,29 @@ class _Lines(HTMLParser):
                 self.tags = 0
             self.parts = []
 
-    def _drops(self, tag, attrs) -> bool:
+    def _drops(self, tag, attrs) -> int:
+        """2: dropped; 1: dropped by its name, up to an article or main inside."""
         if tag in DROPPED:
-            return True
+            return 2
         if tag == "header" and not any(x[0] in ("article", "main") for x in self.stack):
-            return True
+            return 2
+        found = 0
         for name, value in attrs:
             if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
+                return 2
             if not value:
                 continue
             if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-                if not MARKS.isdisjoint(NAMES.split(value.lower())):
-                    return True
+                if not MARKS.isdisjoint(value.lower().split()):
+                    found = 1
             elif name in ("class", "id") and tag == "article":
-                if not {"comment", "reply", "ad", "advert", "sponsored", "promo", "related"}.isdisjoint(NAMES.split(value.lower())):
-                    return True
+                if not {"comment", "reply", "ad", "advert", "sponsored", "promo", "related"}.isdisjoint(value.lower().split()):
+                    return 2
             elif name == "role" and value.lower() in ROLES:
-                return True
+                return 2
             elif name == "style" and "display:none" in value.replace(" ", "").lower():
-                return True
-        return False
+                return 2
+        return found
 
     def handle_starttag(self, tag, attrs):
         if tag in VOID:
@@ -95,9 +97,11 @@ class _Lines(HTMLParser):
                 self.stack.pop()
         elif tag == "body":
             self.stack = [x for x in self.stack if x[0] == "html"]
-        dropped, region = self.stack[-1][1:] if self.stack else (False, 0)
-        if not dropped:
-            dropped = self._drops(tag, attrs)
+        dropped, region = self.stack[-1][1:] if self.stack else (0, 0)
+        if dropped == 1 and tag in ("article", "main"):
+            dropped = 0
+        if dropped < 2:
+            dropped = max(dropped, self._drops(tag, attrs))
         if not dropped and (tag in ("article", "main") or tag in ("div", "section", "td") and region == 0):
             if not (tag == "article" and self.kinds[region] == "article"):
                 region = len(self.kinds)
