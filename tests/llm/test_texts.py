@@ -30,6 +30,19 @@ def test_html_names_around_articles(name):
     assert html_text.main_text(f'<nav><div class="{name}"><article>Menu</article></div></nav><main>Text</main>') == "Text"
 
 
+def test_html_keeps_all_named_and_clusters_lines():
+    long = "This is a long paragraph of running text with many words in it and hardly a tag. " * 4
+    p = f"<p>{long}</p>"
+    lines = [long.strip()]
+    assert html_text.main_text(f"<main><h1>T</h1><p>lead</p><article>{p * 3}</article></main>").split("\n") == ["T", "lead"] + lines * 3
+    assert html_text.main_text(f"<article>{p * 3}</article><article><p>Short one</p></article>").split("\n") == lines * 3 + ["Short one"]
+    lead, end = "A lead of one sentence that stands in a container of its own, before the text and apart from it.", "A last sentence that also stands in a container of its own, after the text and apart from it."
+    menu = "<div class='top'><a>x</a> <a>y</a> <a>z</a></div>"
+    assert html_text.main_text(f"{menu}<div>{lead}</div><div>{p * 3}</div><div>{end}</div>").split("\n") == [lead] + lines * 3 + [end]
+    bare = "<ul>" + "<li><a>Go</a></li>" * 6 + "</ul>"
+    assert html_text.main_text(f"<div id='wrap'>{menu}{p * 3}<div>{bare}</div></div>").split("\n") == lines * 3
+
+
 def test_html_broken_and_odd(spark):
     assert html_text.main_text("<nav><ul><li>Menu<article><p>Text that stays") == "Text that stays"
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain text"), (4, "u", "<!-- open"), (5, "u", "<p>" + "long " * 50_000), (None, "u", "<article>x</article>"), (5, "u", "<p>a")]

@@ -1,10 +1,10 @@
 """Main text of web pages from streaming parser events and text-to-tag ratios.
 
 The standard library's parser streams events. Text between block boundaries is one line; lines
-carry their region (the nearest article or main, else the outermost container) and their number of tags. Each
-line's ratio of text to tags is smoothed by a Gaussian kernel over its neighbours; the threshold is
-half the standard deviation of the page's smoothed ratios, and regions are kept that hold lines above it and at least half of the
-text above it of the best region. From a kept region all lines are taken, short ones too.
+carry their region (the nearest article or main, else the innermost container) and their number of tags. If a page has
+articles or mains, all of their lines are taken, short ones too, and no others. Else each
+line's ratio of text to tags is smoothed by a Gaussian kernel over its neighbours in the container; the threshold is
+half the standard deviation of the page's smoothed ratios, and all lines are taken that reach it, in whatever container.
 Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out by
 element, role, class or id, and never count as content. A class or id counts if one of its words is such a name, not a part
 of it (``with-sidebar``); an article or main inside an element dropped by name is not dropped with it.
@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 from html.parser import HTMLParser
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -102,7 +103,7 @@ class _Lines(HTMLParser):
             dropped = 0
         if dropped < 2:
             dropped = max(dropped, self._drops(tag, attrs))
-        if not dropped and (tag in ("article", "main") or tag in ("div", "section", "td") and region == 0):
+        if not dropped and (tag in ("article", "main") or tag in ("div", "section", "td") and self.kinds[region] not in ("article", "main")):
             if not (tag == "article" and self.kinds[region] == "article"):
                 region = len(self.kinds)
                 self.kinds.append(tag)
@@ -155,19 +156,15 @@ def main_text(html: str) -> str:
     lines = p.lines
     if not lines:
         return ""
-    ratio = _smooth([len(t) / n for t, n, _ in lines])
+    named = [t for t, _, r in lines if p.kinds[r] in ("article", "main")]
+    if named:  # what the page itself names as content, all of it
+        return "\n".join(named)
+    ratio: list[float] = []
+    for _, group in groupby(lines, key=lambda x: x[2]):  # a menu's container takes nothing from the text beside it
+        ratio += _smooth([len(t) / n for t, n, _ in group])
     mean = sum(ratio) / len(ratio)
     threshold = 0.5 * math.sqrt(sum((x - mean) ** 2 for x in ratio) / len(ratio))
-    found = {r for _, _, r in lines}
-    named = {r for r in found if p.kinds[r] in ("article", "main")}
-    if named:  # what the page itself names as content; a main around articles keeps its own lines
-        lines, ratio = zip(*[(x, y) for x, y in zip(lines, ratio) if x[2] in named])
-    above: dict[int, int] = {}
-    for (text, _, region), y in zip(lines, ratio):
-        above[region] = above.get(region, 0) + (len(text) if y >= threshold else 0)
-    best = max(above.values())
-    kept = {r for r, n in above.items() if n >= 0.5 * best}
-    return "\n".join(t for t, _, r in lines if r in kept)
+    return "\n".join(t for (t, _, _), y in zip(lines, ratio) if y >= threshold)
 
 
 def extract(pages: DataFrame) -> DataFrame:
