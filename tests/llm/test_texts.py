@@ -43,6 +43,36 @@ def test_html_keeps_all_named_and_clusters_lines():
     assert html_text.main_text(f"<div id='wrap'>{menu}{p * 3}<div>{bare}</div></div>").split("\n") == lines * 3
 
 
+def test_html_ratios_decide():
+    long = "This is a long paragraph of running text with many words in it and hardly a tag. " * 4
+    p, text = f"<p>{long}</p>", long.strip()
+    # one wrapper around menu and text
+    menu = "<div><a>Home</a> <a>About us</a> <a>Jobs</a></div>"
+    assert html_text.main_text(f"<div id='wrap'>{menu}{p * 3}</div>").split("\n") == [text] * 3
+    assert html_text.main_text(f"<div id='wrap'><a>Home</a> <a>About us</a> <a>Jobs</a>{p * 3}</div>").split("\n") == [text] * 3
+    # the text's own parts survive their names, a bar of links under such a name does not
+    for part in ('<div class="related-work">{}</div>', '<section id="search">{}</section>', '<div class="notice">{}</div>', '<p class="notice">{}</p>', "<div class='alert'><div>{}</div></div>"):
+        assert html_text.main_text(f"<article>{p}{part.format(long)}{p}</article>").split("\n") == [text] * 3
+    bar = '<div class="share"><a>Send</a> <a>Print</a> <a>Save</a></div>'
+    assert html_text.main_text(f"<article>{p}{bar}{p}<ul><li><a>Source one</a></li><li>Two</li></ul></article>").split("\n") == [text, text, "Source one", "Two"]
+    # cards that lead to other pages are no article
+    card = "<article><a><h3>Other page</h3></a><a>More</a></article>"
+    assert html_text.main_text(f"<article><h1><a>Title</a></h1>{p * 2}</article>{card * 3}").split("\n") == ["Title", text, text]
+    assert html_text.main_text(card) == "Other page\nMore"
+    # notices of the page, outside of its articles
+    assert html_text.main_text(f'<main><div class="notice">{long}</div><article>{p}</article><p>End</p></main>').split("\n") == [text, "End"]
+    assert html_text.main_text("") == html_text.main_text("<br>") == ""
+
+
+def test_html_threshold_matters():
+    p = "<p>" + "Running text with many words. " * 12 + "</p>"
+    page = f"<div>{p * 4}</div><div><b>Half</b> <i>a</i> <b>line</b> <i>of</i> <b>text</b> and then somewhat more of it</div>"
+    lines = [html_text.main_text(page, spread).count("\n") + 1 for spread in (0.0, 0.5)]
+    assert lines == [5, 4]
+    inside = f"<article>{p * 4}<div class='related'>Some <a>words</a> of <a>text</a> and more of <a>it</a></div></article>"
+    assert [html_text.main_text(inside, x).count("\n") for x in (0.0, 0.5)] == [4, 3]
+
+
 def test_html_broken_and_odd(spark):
     assert html_text.main_text("<nav><ul><li>Menu<article><p>Text that stays") == "Text that stays"
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain text"), (4, "u", "<!-- open"), (5, "u", "<p>" + "long " * 50_000), (None, "u", "<article>x</article>"), (5, "u", "<p>a")]

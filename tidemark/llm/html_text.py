@@ -1,17 +1,26 @@
 """Main text of web pages from streaming parser events and text-to-tag ratios.
 
-The standard library's parser streams events. Text between block boundaries is one line; lines
-carry their region (the nearest article or main, else the innermost container) and their number of tags. If a page has
-articles or mains, all of their lines are taken, short ones too, and no others. Else each
-line's ratio of text to tags is smoothed by a Gaussian kernel over its neighbours in the container; the threshold is
-half the standard deviation of the page's smoothed ratios, and all lines are taken that reach it, in whatever container.
-Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out by
-element, role, class or id, and never count as content. A class or id counts if one of its words is such a name, not a part
-of it (``with-sidebar``); an article or main inside an element dropped by name is not dropped with it.
+The standard library's parser streams events. Text between block boundaries is one line; lines carry their region (the innermost
+container: article, main, div, section, table cell, or an element marked by name), their number of tags, and whether all of their text is
+in links.
+
+Each line's ratio of text to tags is smoothed by a Gaussian kernel over its neighbours in the region; a line of nothing but two
+or more links, or a list item that is a link, takes nothing from its neighbours. The threshold is ``SPREAD`` times the standard deviation of
+the page's smoothed ratios. It clusters lines into content and the rest:
+
+* On a page without article or main, lines that reach the threshold are taken, in whatever container.
+* An article or main names the content of a page: its lines are taken, short ones too, and no others; but an article of links only beside one
+  of text, and within an article a container with a name of ``HINTS``, are taken only if the mean of their smoothed ratios reaches the threshold. So cards that
+  lead to other pages and a bar of links to share by go, and a chapter that is named ``related`` stays. The mean weighs lines by their text.
+* Outside of articles, a container with a name of ``HINTS`` needs twice the threshold, or lies in a main and goes.
+
+What no page's text is goes by element, role, or a name of ``MARKS``: menus, headers, footers, sidebars, adverts, forms, reader comments, scripts and styles. A
+class or id counts if one of its words is such a name, not a part of it (``with-sidebar``); an article or main
+inside an element dropped by name is not dropped with it. Names of ``HINTS`` never drop single paragraphs.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by a newline.
-Null and empty pages, and pages without content, give an empty text. A page of any length is parsed whole. Repeated rows
-give repeated results; an empty table gives an empty one; other columns are ignored.
+Null and empty pages, and pages without content, give an empty text. Regions that tie are all taken. A page of any length is parsed whole. Repeated rows
+give repeated results; an empty table gives an empty one; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,57 +39,69 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 DROPPED = frozenset("script style noscript template nav aside footer form button select textarea option iframe object svg canvas head title dialog menu".split())
 ROLES = frozenset("navigation banner complementary contentinfo search form menu menubar alert dialog alertdialog".split())
+#: Names of what is never the text.
 MARKS = frozenset(
-    "ad ads adv advert adverts advertisement adsense sponsor sponsored promo promotion nav navbar navigation menu sidebar aside footer masthead breadcrumb breadcrumbs cookie cookies consent gdpr notice"
-    " alert popup modal overlay newsletter subscribe subscription paywall share sharing social related recommended comment comments commentlist reply replies respond disqus form login signup search widget pagination pager toolbar banner".split()
+    "ad ads adv advert adverts advertisement adsense sponsor sponsored promo nav navbar navigation menu sidebar aside footer masthead breadcrumb breadcrumbs cookie cookies consent gdpr"
+    " popup modal newsletter subscribe paywall comment comments commentlist respond disqus login signup pagination pager".split()
 )
+#: Names that may be the text's own: the ratios decide.
+HINTS = frozenset("notice alert overlay subscription promotion share sharing social related recommended reply replies form search widget toolbar banner links tags meta".split())
+BOXES = frozenset("div section td ul ol dl table details figure header fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SPACES = re.compile(r"\s+")
 SIGMA = 1.0
+SPREAD = 0.5
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: [text parts, number of tags, region]."""
+    """Lines of a page: (text, number of tags, region, kind): kind 1 is all in links, 2 as a menu is, 0 else."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, int]] = []  # element, dropped, region
-        self.lines: list[list] = []
-        self.kinds: list[str] = ["page"]
+        self.lines: list[tuple[str, int, int, int]] = []
+        #: (name of the article or main around, whether marked by HINTS) of each region
+        self.regions: list[tuple[str, bool]] = [("", False)]
         self.parts: list[str] = []
-        self.tags = 0
+        self.tags = self.links = self.linked = self.inked = 0
 
     def _flush(self):
         if self.parts:
             text = SPACES.sub(" ", "".join(self.parts)).strip()
             if text:
-                self.lines.append([text, self.tags + 1, self.stack[-1][2] if self.stack else 0])
+                own, linked = [x[0] for x in self.stack[-2:]], self.linked == self.inked
+                kind = linked + (linked and (self.links > 1 or "li" in own) and not HEADINGS.intersection(own))
+                self.lines.append((text, self.tags + 1, self.stack[-1][2] if self.stack else 0, kind))
                 self.tags = 0
             self.parts = []
+        self.links = self.linked = self.inked = 0
 
-    def _drops(self, tag, attrs) -> int:
-        """2: dropped; 1: dropped by its name, up to an article or main inside."""
+    def _drops(self, tag, attrs) -> tuple[int, bool]:
+        """2: dropped; 1: dropped by its name, up to an article or main inside; and whether it is marked by ``HINTS``."""
         if tag in DROPPED:
-            return 2
+            return 2, False
         if tag == "header" and not any(x[0] in ("article", "main") for x in self.stack):
-            return 2
-        found = 0
+            return 2, False
+        found, hint = 0, False
         for name, value in attrs:
             if name == "hidden" or name == "aria-hidden" and value == "true":
-                return 2
+                return 2, False
             if not value:
                 continue
             if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-                if not MARKS.isdisjoint(value.lower().split()):
+                words = value.lower().split()
+                if not MARKS.isdisjoint(words):
                     found = 1
+                elif tag in BOXES and not HINTS.isdisjoint(words):
+                    hint = True
             elif name in ("class", "id") and tag == "article":
                 if not {"comment", "reply", "ad", "advert", "sponsored", "promo", "related"}.isdisjoint(value.lower().split()):
-                    return 2
+                    return 2, False
             elif name == "role" and value.lower() in ROLES:
-                return 2
+                return 2, False
             elif name == "style" and "display:none" in value.replace(" ", "").lower():
-                return 2
-        return found
+                return 2, False
+        return found, hint
 
     def handle_starttag(self, tag, attrs):
         if tag in VOID:
@@ -93,6 +114,7 @@ class _Lines(HTMLParser):
         if tag not in INLINE:
             self._flush()
         self.tags += 1
+        self.links += tag == "a"
         if tag in ("article", "main"):  # broken markup: content starts outside of menus and headers that were left open
             while self.stack and self.stack[-1][0] in ("nav", "ul", "ol", "li", "a", "header", "head", "p", "b"):
                 self.stack.pop()
@@ -101,12 +123,19 @@ class _Lines(HTMLParser):
         dropped, region = self.stack[-1][1:] if self.stack else (0, 0)
         if dropped == 1 and tag in ("article", "main"):
             dropped = 0
+        hint = False
         if dropped < 2:
-            dropped = max(dropped, self._drops(tag, attrs))
-        if not dropped and (tag in ("article", "main") or tag in ("div", "section", "td") and self.kinds[region] not in ("article", "main")):
-            if not (tag == "article" and self.kinds[region] == "article"):
-                region = len(self.kinds)
-                self.kinds.append(tag)
+            own, hint = self._drops(tag, attrs)
+            dropped = max(dropped, own)
+        if not dropped:
+            within, marked = self.regions[region]
+            if tag in ("article", "main"):
+                if (within, marked) != ("article", False):
+                    region = len(self.regions)
+                    self.regions.append(("article" if within == "article" else tag, False))
+            elif hint and not marked or not within and tag in ("div", "section", "td"):
+                region = len(self.regions)
+                self.regions.append((within, marked or hint))
         self.stack.append((tag, dropped, region))
 
     def handle_startendtag(self, tag, attrs):
@@ -132,13 +161,20 @@ class _Lines(HTMLParser):
         if self.stack and self.stack[-1][1]:
             return
         self.parts.append(data)
+        n = 0 if data.isspace() else len(data)
+        self.inked += n
+        if any(x[0] == "a" for x in self.stack[-4:]):
+            self.linked += n
 
 
-def _smooth(x: list[float]) -> list[float]:
+def _smooth(x: list[float], bare: list[bool]) -> list[float]:
     r = math.ceil(2 * SIGMA)
     kernel = [math.exp(-(d * d) / (2 * SIGMA * SIGMA)) for d in range(-r, r + 1)]
     out = []
     for i in range(len(x)):
+        if bare[i]:
+            out.append(x[i])
+            continue
         total = weight = 0.0
         for d in range(-r, r + 1):
             if 0 <= i + d < len(x):
@@ -148,23 +184,36 @@ def _smooth(x: list[float]) -> list[float]:
     return out
 
 
-def main_text(html: str) -> str:
+def main_text(html: str, spread: float = SPREAD) -> str:
     p = _Lines()
     p.feed(html)
     p.close()
     p._flush()
-    lines = p.lines
+    lines, regions = p.lines, p.regions
     if not lines:
         return ""
-    named = [t for t, _, r in lines if p.kinds[r] in ("article", "main")]
-    if named:  # what the page itself names as content, all of it
-        return "\n".join(named)
+    named = any(regions[r][0] for _, _, r, _ in lines)
+    prose = any(regions[r][0] and not kind for _, _, r, kind in lines)
     ratio: list[float] = []
     for _, group in groupby(lines, key=lambda x: x[2]):  # a menu's container takes nothing from the text beside it
-        ratio += _smooth([len(t) / n for t, n, _ in group])
+        own = list(group)
+        ratio += _smooth([len(t) / n for t, n, _, _ in own], [kind == 2 for _, _, _, kind in own])
     mean = sum(ratio) / len(ratio)
-    threshold = 0.5 * math.sqrt(sum((x - mean) ** 2 for x in ratio) / len(ratio))
-    return "\n".join(t for (t, _, _), y in zip(lines, ratio) if y >= threshold)
+    threshold = spread * math.sqrt(sum((x - mean) ** 2 for x in ratio) / len(ratio))
+    size, total, cards = [0] * len(regions), [0.0] * len(regions), [prose] * len(regions)
+    for (t, _, r, kind), y in zip(lines, ratio):
+        cards[r] &= kind > 0
+        size[r] += len(t)
+        total[r] += len(t) * y
+
+    def taken(r: int, y: float) -> bool:
+        within, marked = regions[r]
+        if named:
+            dense = total[r] >= threshold * size[r]
+            return within == "article" and (dense or not marked and not cards[r]) or within == "main" and not marked
+        return y >= threshold and (not marked or total[r] >= 2 * threshold * size[r])
+
+    return "\n".join(t for (t, _, r, _), y in zip(lines, ratio) if taken(r, y))
 
 
 def extract(pages: DataFrame) -> DataFrame:
