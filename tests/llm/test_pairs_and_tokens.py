@@ -233,6 +233,37 @@ def test_encoder_small_blocks():
     assert got == [tok.encode(t, add_special_tokens=False).ids + [0] for t in tx]
 
 
+def test_encoder_slots_that_collide(monkeypatch):
+    """With two slots for all units, and joined strings of all lengths, ids are those of whole texts."""
+    from tokenizers import Tokenizer
+
+    from tidemark.llm.common import text_buffers
+
+    tok = Tokenizer.from_file(tokenizer())
+    monkeypatch.setattr(token_store, "SLOT_BITS", 1)
+    monkeypatch.setattr(token_store, "CACHE_IDS", 500)
+    some = [*texts(4), "", " ", "a  ", "  x", "\0", "a\0", "a", "a\0\0", " a", " a\0", "x" * 40 + " " + "x" * 41, " " + "y" * 16, " " + "y" * 15, "z " * 70_000]
+    for joined in (1, 2, 7, 256):
+        monkeypatch.setattr(token_store, "JOINED", joined)
+        enc = token_store.Encoder(tokenizer())
+        for part in (some, some[::-1], some[::3]):
+            ids, n = enc.encode(*text_buffers(pa.array(part)), 0)
+            assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [tok.encode(t, add_special_tokens=False).ids + [0] for t in part]
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    from tidemark.llm.common import text_buffers
+
+    tok = Tokenizer(models.WordLevel({"a": 1, "b": 2, "?": 3}, unk_token="?"))
+    tok.pre_tokenizer = pre_tokenizers.Whitespace()
+    tok.save(str(tmp_path / "words.json"))
+    enc = token_store.Encoder(str(tmp_path / "words.json"))
+    ids, n = enc.encode(*text_buffers(pa.array(["a b", "", None, "b c a"])), 0)
+    assert ids.tolist() == [1, 2, 0, 0, 0, 2, 3, 1, 0] and n.tolist() == [3, 1, 1, 4]
+
+
 ITEMS = [
     (1, "If Anna buys 12 red apples for 30 dollars and then eats 4 of the apples on the way, how much did each one cost her?"),
     (2, "short item of six words only"),

@@ -12,14 +12,17 @@ of each; u32 place in the sequence of each, and the end; u32 ids of each; u32 le
 Symbols below ``2**24`` are token ids, others rules.
 
 Texts are encoded by units: a text is cut before every single space between two other characters, where the
-byte-level pre-tokenizer always cuts, and each different unit is encoded once for a batch and kept (up to ``CACHE_IDS`` ids). The ids
-are those of the whole text.
+byte-level pre-tokenizer always cuts, and each different unit is encoded once for a batch and kept (up to ``CACHE_IDS`` ids). A kept unit is
+known by its bytes, not by a hash, so a hit can't be another unit's; longer units are encoded each time. Units that are new are joined into
+strings of ``JOINED``, whose ids are dealt out by the tokens' lengths in bytes. The ids
+are those of the whole text. Tokenizers that are not byte-level, or that normalise, encode whole texts.
 
 Null texts are empty: the end id alone. Null ids sort first and are stored as the smallest long. Repeated rows are documents of their own. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from itertools import chain
@@ -38,16 +41,34 @@ BLOCK_IDS = 1 << 20
 BASE = 1 << 24
 END_ID = 0
 SLOT_BITS = 21
-CACHE_IDS = 1 << 24
+CACHE_IDS = 1 << 23
+WORD = 8
+JOINED = 256
 ROUNDS = 3
 LEAST = 6
 PAIR_BITS = 20
 NO_ID = -(2**63)
 U = np.uint64
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(WORD + 1)], U)
+
+
+def _joinable(path: str) -> np.ndarray | None:
+    """Length in bytes of every token id of a byte-level tokenizer without a normaliser, to which ids of joined units are dealt out; else None."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre, vocab = spec.get("pre_tokenizer") or {}, (spec.get("model") or {}).get("vocab")
+    plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
+    if not plain or spec.get("normalizer") or not isinstance(vocab, dict) or any(t["lstrip"] or t["rstrip"] for t in spec.get("added_tokens", [])):
+        return None
+    added = {t["id"]: len(t["content"].encode()) for t in spec.get("added_tokens", [])}
+    size = np.zeros(1 + max([*vocab.values(), *added]), np.int64)
+    size[list(vocab.values())] = list(map(len, vocab))  # in the byte-level alphabet a character is a byte
+    size[list(added)] = list(added.values())
+    return size
 
 
 class Encoder:
-    """Ids of texts by one tokenizer file, with a bounded memory of units."""
+    """Ids of texts by one tokenizer file, with a bounded memory of units of up to ``2 * WORD`` bytes, which are told apart by all their bytes."""
 
     def __init__(self, path: str):
         import os
@@ -56,15 +77,38 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.bytes_of = _joinable(path)
         self._clear()
 
     def _clear(self):
-        self.slots = np.zeros((1 << SLOT_BITS, 2), U)  # hash; place and number of ids. Of units that share a slot, the last stays
+        self.slots = np.zeros((1 << SLOT_BITS, 3), U)  # a unit's bytes; place and number of ids, and its length. Of units that share a slot, the last stays
         self.ids = np.zeros(1 << 20, np.int32)
         self.used = 1
 
+    def _whole(self, raw: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same by whole texts, for other kinds of tokenizers."""
+        texts = [raw[s:e].tobytes().decode() for s, e in zip(off[:-1].tolist(), off[1:].tolist())]
+        got = [[*x.ids, end_id] for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        n = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.int32, int(n.sum())), n
+
+    def _encode_units(self, part: np.ndarray, starts: np.ndarray, ends: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units, how many each has). Units that begin with a single space before another character are joined, as the pre-tokenizer
+        cuts before each whatever it follows; another unit begins a string."""
+        raw = part.tobytes()
+        pieces = [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
+        heads = np.flatnonzero((part[starts] != 32) | (ends - starts < 2) | ~after[np.minimum(starts + 1, len(part) - 1)])
+        cuts = np.unique(np.concatenate((np.arange(0, len(starts), JOINED), heads))).tolist()
+        strings = [b"".join(pieces[x:y]).decode() for x, y in zip(cuts, cuts[1:] + [len(pieces)])]
+        got = [x.ids for x in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(got), np.int32, sum(map(len, got)))
+        edge = np.searchsorted(np.cumsum(self.bytes_of[flat]), np.cumsum(ends - starts)) + 1
+        return flat, np.diff(edge, prepend=0)
+
     def encode(self, raw: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's followed by the end id, and how many each has with it."""
+        if self.bytes_of is None:
+            return self._whole(raw, off, end_id)
         part, own = raw[off[0] : off[-1]], off - off[0]
         if not len(part):
             return np.full(len(off) - 1, end_id, np.int32), np.ones(len(off) - 1, np.int64)
@@ -79,32 +123,35 @@ class Encoder:
         cut[own[own < len(part)]] = True
         cut[0] = True
         starts = np.flatnonzero(cut)
-        ends = np.append(starts[1:], len(part))
-        h = K.span_hash(part, starts, ends, K.BYTE_EXACT)
-        slot = (h >> U(64 - SLOT_BITS)).astype(np.int64)
+        size = np.diff(starts, append=len(part))
+        padded = np.concatenate((part, np.zeros(2 * WORD, np.uint8)))
+        words = np.ndarray(len(part) + WORD, "<u8", padded.data, strides=(1,))  # the WORD bytes from each place
+        low, high = words[starts] & _FIRST[np.minimum(size, WORD)], words[starts + WORD * (size > WORD)] & _FIRST[np.clip(size - WORD, 0, WORD)]
+        short = size <= 2 * WORD
+        h = (low * K.MULT[57] + high * K.MULT[58] + size.astype(U)) * K.MULT[59]
+        slot = ((h ^ (h >> U(31))) * K.MULT[56] >> U(64 - SLOT_BITS)).astype(np.int64)
         if self.used > CACHE_IDS:
             self._clear()
         row = self.slots[slot]
-        miss = np.flatnonzero(row[:, 0] != h)
-        at, n = (row[:, 1] >> U(16)).astype(np.int64), (row[:, 1] & U(0xFFFF)).astype(np.int64)
+        miss = np.flatnonzero((row[:, 0] != low) | (row[:, 1] != high) | ((row[:, 2] & U(0xFF)) != size.astype(U)) | ~short)
+        at, n = (row[:, 2] >> U(24)).astype(np.int64), ((row[:, 2] >> U(8)) & U(0xFFFF)).astype(np.int64)
         if len(miss):
-            unit, where, back = np.unique(h[miss], return_index=True, return_inverse=True)
-            where = miss[where]
-            raw_bytes = part.tobytes()
-            texts = [raw_bytes[s:e].decode() for s, e in zip(starts[where].tolist(), ends[where].tolist())]
-            got = []
-            for i in range(0, len(texts), 20_000):
-                got += [x.ids for x in self.tokenizer.encode_batch_fast(texts[i : i + 20_000], add_special_tokens=False)]
-            new_n = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter(chain.from_iterable(got), np.int32, int(new_n.sum()))
-            new_at = self.used + np.concatenate(([0], np.cumsum(new_n)[:-1]))
+            # equal units once, if their bytes are within reach
+            order = miss[np.argsort(h[miss], kind="stable")]
+            new = np.ones(len(order), bool)
+            new[1:] = (low[order[1:]] != low[order[:-1]]) | (high[order[1:]] != high[order[:-1]]) | (size[order[1:]] != size[order[:-1]]) | ~short[order[1:]]
+            unit = order[new]
+            flat, new_n = self._encode_units(part, starts[unit], starts[unit] + size[unit], after)
+            new_at = self.used + np.cumsum(new_n) - new_n
             while self.used + len(flat) > len(self.ids):
                 self.ids = np.concatenate((self.ids, np.zeros(len(self.ids), np.int32)))
             self.ids[self.used : self.used + len(flat)] = flat
             self.used += len(flat)
-            kept = new_n < 1 << 16
-            self.slots[slot[where[kept]]] = np.column_stack([unit[kept], (new_at[kept] << 16 | new_n[kept]).astype(U)])
-            at[miss], n[miss] = new_at[back], new_n[back]
+            kept = short[unit]
+            own_unit = unit[kept]
+            self.slots[slot[own_unit]] = np.column_stack([low[own_unit], high[own_unit], (new_at[kept] << 24 | new_n[kept] << 8 | size[own_unit]).astype(U)])
+            back = np.cumsum(new) - 1
+            at[order], n[order] = new_at[back], new_n[back]
         lead = np.searchsorted(starts, own)
         self.ids[0] = end_id  # the first place is held for it
         at, n = np.insert(at, lead[1:], 0), np.insert(n, lead[1:], 1)
