@@ -103,7 +103,59 @@ def test_secrets(spark):
     want = sorted((i if i is not None else -1, spans(t or "")) for i, t, _ in rows)
     assert sorted((r.doc_id if r.doc_id is not None else -1, [tuple(s) for s in r.spans]) for r in got) == want
     assert secrets.digest(secrets.scan(spark.createDataFrame([], DOCS))).count() == 0
-    assert all(len(r.trigrams()) == len(r.literals) for r in secrets.RULES)
+    assert {r.kind for r in secrets.RULES if r.query == secrets.ANY} == {"hex"}
+
+
+def holds(query, text):
+    """The Boolean query by hand."""
+    kind = query[0]
+    return kind == "all" or (kind == "has" and query[1] in text.lower()) or (kind in ("and", "or") and (all if kind == "and" else any)(holds(x, text) for x in query[1]))
+
+
+def random_regex(rnd, depth=3):
+    """(an expression, a maker of texts that it matches)"""
+    kind = rnd.choice(["word", "class", "any", "opt", "star", "plus", "times", "or", "seq", "seq"]) if depth else "word"
+    if kind == "word":
+        w = "".join(rnd.choice("abKx-_9") for _ in range(rnd.randint(1, 6)))
+        return re.escape(w), lambda: w
+    if kind == "class":
+        cs = "".join(sorted(set(rnd.choice("abcXYZ019") for _ in range(rnd.randint(1, 5)))))
+        return f"[{cs}]", lambda: rnd.choice(cs)
+    if kind == "any":
+        return rnd.choice([("[^a]", lambda: rnd.choice("bcé ")), (".", lambda: rnd.choice("az. ")), (r"\d", lambda: rnd.choice("123")), (r"[a-z]", lambda: rnd.choice("qwe"))])
+    if kind == "or":
+        parts = [random_regex(rnd, depth - 1) for _ in range(rnd.randint(2, 4))]
+        return "(" + "|".join(x for x, _ in parts) + ")", lambda: rnd.choice(parts)[1]()
+    if kind == "seq":
+        parts = [random_regex(rnd, depth - 1) for _ in range(rnd.randint(2, 4))]
+        return "".join(x for x, _ in parts), lambda: "".join(f() for _, f in parts)
+    x, f = random_regex(rnd, depth - 1)
+    least, most, sign = {"opt": (0, 1, "?"), "star": (0, 4, "*"), "plus": (1, 4, "+"), "times": (2, 6, "{2,6}")}[kind]
+    return f"(?:{x}){sign}", lambda: "".join(f() for _ in range(rnd.randint(least, most)))
+
+
+def test_trigram_queries_lose_no_match():
+    rnd = __import__("random").Random(11)
+    strict = 0
+    for _ in range(1500):
+        regex, make = random_regex(rnd)
+        query = secrets.trigram_query(regex)
+        strict += query != secrets.ANY and not holds(query, "zzz")
+        for _ in range(4):
+            text = make()
+            assert re.search(regex, text, re.S) and holds(query, f"..{text}!!"), (regex, text, query)
+    assert strict > 300
+    assert secrets.trigram_query("(broken") == secrets.trigram_query("a*b?") == secrets.trigram_query("[0-9a-f]{24,}") == secrets.ANY
+    assert secrets.trigram_query("(?i)abc|abd") == ("or", frozenset({("has", "abc"), ("has", "abd")}))
+
+
+def test_secrets_of_other_rules(spark):
+    """Rules that come without literals, and a text of very many matches."""
+    rules = (secrets.Rule("assign", "k(ey|ee)[0-9]{2,}z"), secrets.Rule("hex", "[0-9]+-"))
+    rows = [(1, "key12z kee3z KEY44z keey55z"), (2, "12-" * 60_000 + "kee77z"), (3, None), (4, "")]
+    got = {r.doc_id: [(s.kind, s.start, s.stop) for s in r.spans] for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"), rules).collect()}
+    assert got[1] == [("assign", 0, 6)] and got[3] == got[4] == []
+    assert got[2] == [("hex", 3 * i, 3 * i + 3) for i in range(60_000)] + [("assign", 180_000, 180_006)]
 
 
 def test_chat_linear(spark):
