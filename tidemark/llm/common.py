@@ -1,21 +1,31 @@
-"""Shared pieces of the training-data operators: shared-folder tables and Arrow text access."""
+"""Shared pieces of the training-data operators: shared-folder tables, Arrow text access, and merged arrays of fixed size."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
+import zlib
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+FAN_IN = 64
+CHUNK = 1 << 16
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or with a local master a local one where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -36,13 +46,21 @@ def ship(spark: SparkSession) -> None:
 
 
 class Workspace:
-    """Tables of one query in the shared folder; a written table cuts lineage and survives lost executors."""
+    """Tables of one query in the shared folder; a written table cuts lineage and survives lost executors. What a query does not drop itself, as
+    its result reads it, goes when the session's JVM ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         ship(spark)
         self.spark = spark
         self.root = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
         self.names: set[str] = set()
+        fs, hp = self._fs(self.root)
+        fs.mkdirs(hp)
+        fs.deleteOnExit(hp)
+
+    def _fs(self, path: str):
+        hp = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hp.getFileSystem(self.spark._jsc.hadoopConfiguration()), hp
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -58,8 +76,8 @@ class Workspace:
         """Delete tables that no later step reads."""
         self.names -= set(names)
         for n in names:
-            hp = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(n))
-            hp.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hp, True)
+            fs, hp = self._fs(self.path(n))
+            fs.delete(hp, True)
 
     def keep(self, *names: str) -> None:
         """Delete all other tables written here."""
@@ -92,3 +110,73 @@ def blocks(off: np.ndarray, limit: int = 1 << 20):
         b = max(a + 1, int(np.searchsorted(off, off[a] + limit, side="right")) - 1)
         yield a, min(b, n)
         a = min(b, n)
+
+
+def trimmed(run: Callable) -> Callable:
+    """``run`` over a task's batches; then the worker, which other tasks use again, gives free memory back to the machine."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):
+                pass
+
+    return task
+
+
+def merged(rows: DataFrame, fill: Callable, size: int, dtype, combine: Callable) -> np.ndarray:
+    """One array of ``size`` numbers over all rows: each task's ``fill(batches)`` gives its own, ``combine(a, b)`` puts two together.
+
+    Parts of ``CHUNK`` numbers are merged in levels, ``FAN_IN`` at most in a group, whatever the number of tasks; parts of zeros are not sent.
+    """
+
+    def first(batches):
+        own = np.ascontiguousarray(fill(batches), dtype).reshape(-1, min(CHUNK, size))
+        live = [i for i in range(len(own)) if own[i].any()]
+        part = TaskContext.get().partitionId()
+        yield _parts(live, [part] * len(live), [own[i] for i in live])
+
+    def level(key, table):
+        out = None
+        for x in table.column("blob"):
+            y = np.frombuffer(zlib.decompress(x.as_buffer()), dtype)
+            out = y.copy() if out is None else combine(out, y)
+        return pa.Table.from_batches([_parts([key[0].as_py()], [key[1].as_py()], [out])])
+
+    kind = "chunk int, part int, blob binary"
+    tasks = max(1, rows.rdd.getNumPartitions())
+    found = rows.mapInArrow(trimmed(first), kind)
+    while tasks > 1:
+        tasks = -(-tasks // FAN_IN)
+        found = found.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("chunk", "part").applyInArrow(level, kind)
+    out = np.zeros(size, dtype)
+    each = out.reshape(-1, min(CHUNK, size))
+    for r in found.select("chunk", "blob").collect():  # size numbers at most
+        each[r["chunk"]] = combine(each[r["chunk"]], np.frombuffer(zlib.decompress(bytes(r["blob"])), dtype))
+    return out
+
+
+def _parts(chunks: list[int], parts: list[int], arrays: list[np.ndarray]) -> pa.RecordBatch:
+    blobs = [zlib.compress(x.tobytes(), 1) for x in arrays]
+    return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())], ["chunk", "part", "blob"])
+
+
+def hash_bitmap(rows: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Packed bits of a column's 64-bit hashes: 2**bits of them by their highest bits, whatever the number of rows."""
+
+    def fill(batches):
+        found = np.zeros(1 << bits, bool)
+        for batch in batches:
+            found[(np.asarray(batch.column(0)).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)] = True
+        return np.packbits(found, bitorder="little")
+
+    return merged(rows.select(column), fill, 1 << (bits - 3), np.uint8, np.bitwise_or)
+
+
+def in_bitmap(bitmap: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
+    spot = (h >> np.uint64(64 - bits)).astype(np.int64)
+    return ((bitmap[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1).astype(bool)

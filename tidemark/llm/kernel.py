@@ -19,8 +19,9 @@ BYTE_EXACT = _BYTE
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 _R = 0x9E3779B97F4A7C15 | 1
-_POW = np.ones(1, U)
-_INV = np.ones(1, U)
+#: Bytes that are hashed at once; the tables of powers have this size, whatever the texts' lengths.
+PIECE = 1 << 20
+_TABLES: list[np.ndarray] = []
 MULT = _rng.integers(1, 2**63, size=64, dtype=np.uint64) * U(2) + U(1)
 
 
@@ -33,26 +34,44 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(33))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _POW, _INV
-    if len(_POW) < n:
-        size = 1 << max(21, (n - 1).bit_length())
-        inv = pow(_R, -1, 2**64)
-        for base, name in ((_R, "_POW"), (inv, "_INV")):
-            step = np.full(size, base, dtype=U)
+def _powers() -> list[np.ndarray]:
+    if not _TABLES:
+        for base in (_R, pow(_R, -1, 2**64)):
+            step = np.full(PIECE + 1, base, dtype=U)
             step[0] = 1
-            globals()[name] = np.cumprod(step, dtype=U)
-    return _POW, _INV
+            _TABLES.append(np.cumprod(step, dtype=U))
+    return _TABLES
 
 
-def span_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lut: np.ndarray = BYTE_LOWER) -> np.ndarray:
-    """Hashes of the byte spans [start, end) of ``raw``."""
-    n = len(raw)
-    power, inverse = _powers(n + 1)
-    sums = np.empty(n + 1, U)
+def _polynomials(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lut: np.ndarray) -> np.ndarray:
+    """Of each span of up to PIECE bytes in all: the sum of its bytes' values times powers of their places in the span."""
+    power, inverse = _powers()
+    sums = np.empty(len(raw) + 1, U)
     sums[0] = 0
-    np.cumsum(lut[raw] * power[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+    np.cumsum(lut[raw] * power[: len(raw)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * inverse[starts]
+
+
+def span_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lut: np.ndarray = BYTE_LOWER) -> np.ndarray:
+    """Hashes of the byte spans [start, end) of ``raw``, which come in order. A span's hash is that of its bytes alone."""
+    if len(raw) <= PIECE:
+        found = _polynomials(raw, starts, ends, lut)
+    else:
+        found, i = np.empty(len(starts), U), 0
+        while i < len(starts):
+            a = int(starts[i])
+            j = max(i + 1, int(np.searchsorted(ends, a + PIECE, side="right")))
+            b = int(ends[j - 1])
+            if b - a <= PIECE:
+                found[i:j] = _polynomials(raw[a:b], starts[i:j] - a, ends[i:j] - a, lut)
+            else:  # one long span, piece by piece
+                total = 0
+                for x in range(a, b, PIECE):
+                    y = min(b, x + PIECE)
+                    total += pow(_R, x - a, 2**64) * int(_polynomials(raw[x:y], np.array([0]), np.array([y - x]), lut)[0])
+                found[i] = U(total % 2**64)
+            i = j
+    return mix(found + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 
 def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -17,14 +17,18 @@ A document is the set of its distinct k-word shingles. Two documents link when
    A set of ``SMALL_SET`` or more with enough rare shingles for a prefix longer by ``SHARED - 1`` shares ``SHARED`` of them with
    each partner whose prefix ends later; for other sets one shared signature is enough.
 4. Of lists of sets with one signature of up to ``SMALL_LIST`` all pairs are counted, and those with enough shared signatures are
-   candidates (a pair that shares a longer list is found there as well). In a longer list each member meets pivots, in rounds: first the
-   member of most lists, then those outside the list's largest component, until the members that were no pivot are all in one component. A pair
+   candidates (a pair that shares a longer list is found there as well). In a longer list each member first meets one pivot, the member of most
+   long lists. From then on, a list's largest component is its home; lists with one home are put together, so that two sets meet once and not in each list that they share. Sets
+   outside a home are pivots, in rounds of ``PIVOTS``, and meet all members, each over the lists put together or one by one, whatever are
+   fewer meetings, until the members that were no pivot are all in one component. A pair
    within one component needs no comparison, as only components are asked for; no other pair is left out. Sizes and 256-bit
    parity bitmaps rule out pairs inside the joins: they differ in no more bits than the sets differ in items.
-5. Candidates are verified on whole sets (64-bit shingle hashes).
+5. Candidates are verified on whole sets (64-bit shingle hashes). Texts whose sets are needed are picked by a bitmap of fixed size
+   (``WANTED_BITS``) in one more pass, so that no other text is shuffled.
 
-Null, empty and blank texts have no set: n_shingles 0, linked with nothing, each its own component. Repeated rows
-of one id count as one document (their ids are equal). Other columns are ignored, whatever their names.
+Null, empty and blank texts have no set: n_shingles 0, linked with nothing, each its own component. Each row is a node of its own, rows that repeat an
+id and rows without one too; a component's id is the smallest doc_id in it, null if none has one. An empty table gives an empty result. Other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,13 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel as K
-from tidemark.llm.common import Workspace, blocks, text_buffers
+from tidemark.llm.common import Workspace, blocks, hash_bitmap, in_bitmap, merged, text_buffers, trimmed
 from tidemark.llm.graph import components
 
 SKETCH_BITS = 22
-SKETCH_CHUNK = 1 << 16
+WANTED_BITS = 24
 SMALL_LIST = 32
 PIVOTS = 1024
+MEETINGS = 1_000_000
 SHARED = 3
 SMALL_SET = 32
 BITS = ("b0", "b1", "b2", "b3")
@@ -67,36 +72,12 @@ def _count_sketch(docs: DataFrame, k: int) -> np.ndarray:
                 v, _ = _sets(raw, off[a : b + 1], k)
                 at, n = np.unique((v >> U(64 - SKETCH_BITS)).astype(np.int32), return_counts=True)
                 total[at] += n.astype(np.uint32)
-        parts = total.reshape(-1, SKETCH_CHUNK)
-        live = [i for i in range(len(parts)) if parts[i].any()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(live, pa.int32()), pa.array([_pack(parts[i]) for i in live], pa.binary())], ["chunk", "counts"]
-        )
-
-    def merge(key, parts):
-        total = np.zeros(SKETCH_CHUNK, np.uint64)
-        for x in parts.column("counts"):
-            total += np.frombuffer(_unpack(x.as_py()), np.uint32)
-        small = np.minimum(total, 2**32 - 1).astype(np.uint32)
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([_pack(small)], pa.binary())})
-
-    rows = docs.select("text").mapInArrow(count, "chunk int, counts binary").groupBy("chunk").applyInArrow(merge, "chunk int, counts binary")
-    out = np.zeros(1 << SKETCH_BITS, np.uint32)
-    for chunk, blob in rows.collect():
-        out[chunk * SKETCH_CHUNK : (chunk + 1) * SKETCH_CHUNK] = np.frombuffer(_unpack(bytes(blob)), np.uint32)
-    return out
-
-
-def _pack(x: np.ndarray) -> bytes:
-    import zlib
+        return total
 
-    return zlib.compress(x.tobytes(), 1)
+    def add(a, b):
+        return a + np.minimum(b, ~a)  # up to the largest number
 
-
-def _unpack(x: bytes) -> bytes:
-    import zlib
-
-    return zlib.decompress(x)
+    return merged(docs.select("text"), count, 1 << SKETCH_BITS, np.uint32, add)
 
 
 def levels_of(counts: np.ndarray) -> tuple[np.ndarray, int, int]:
@@ -149,16 +130,21 @@ def signatures(v: np.ndarray, level: np.ndarray, second: int, third: int, percen
                 for j in range(c + 1):
                     h = K.mix(h + m[:, j] * K.MULT[42 + j])
                 out.append(h)
+        if left > 0:
+            raise AssertionError("a set's classes don't cover its prefix")
     return _NONE, np.unique(np.concatenate([K.mix(rare + K.MULT[40]), *out]))
 
 
-def _profile(docs: DataFrame, k: int, percent: int, sketch) -> DataFrame:
-    """(doc_id, n, d1, d2, sigs, combos) of every row."""
+_PROFILE = f"doc_id long, h long, n long, d1 long, d2 long, {', '.join(f'{b} long' for b in BITS)}, sigs array<long>, combos array<long>"
+
+
+def _profile(rows: DataFrame, k: int, percent: int, sketch) -> DataFrame:
+    """(doc_id, h, n, d1, d2, bits, sigs, combos) of every row."""
 
     def run(batches):
         rank, second, third = sketch.value
         for batch in batches:
-            ids, (raw, off) = batch.column(0), text_buffers(batch.column(1))
+            (raw, off) = text_buffers(batch.column(2))
             for a, b in blocks(off):
                 v, m = _sets(raw, off[a : b + 1], k)
                 c = rank[(v >> U(64 - SKETCH_BITS)).astype(np.int64)]
@@ -174,29 +160,34 @@ def _profile(docs: DataFrame, k: int, percent: int, sketch) -> DataFrame:
                 cell = np.repeat(np.arange(b - a), m) * 256 + ((v * K.MULT[51]) >> U(56)).astype(np.int64)
                 odd = (np.bincount(cell, minlength=(b - a) * 256) & 1).astype(np.uint8)
                 bits = np.packbits(odd.reshape(b - a, 256), axis=1).view(np.int64)
+                sums = [pa.array(K.sums(x, m).view(np.int64)) for x in (v, K.mix(v ^ K.MULT[50]))]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(m, pa.int64()), *[pa.array(bits[:, i].copy()) for i in range(4)], pa.array(K.sums(v, m).view(np.int64)), pa.array(K.sums(K.mix(v ^ K.MULT[50]), m).view(np.int64)), *lists],
-                    ["doc_id", "n", *BITS, "d1", "d2", "sigs", "combos"],
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(m, pa.int64()), *sums, *[pa.array(bits[:, i].copy()) for i in range(4)], *lists],
+                    ["doc_id", "h", "n", "d1", "d2", *BITS, "sigs", "combos"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n long, {', '.join(f'{b} long' for b in BITS)}, d1 long, d2 long, sigs array<long>, combos array<long>")
+    return rows.mapInArrow(trimmed(run), _PROFILE)
 
 
-def _set_table(docs: DataFrame, k: int) -> DataFrame:
-    """(id, n, items): the sorted hashes of each set as bytes."""
+def _set_table(rows: DataFrame, k: int, bitmap) -> DataFrame:
+    """(doc_id, h, items): the sorted shingle hashes, as bytes, of the rows whose key is in the bitmap."""
 
     def run(batches):
         for batch in batches:
-            ids, (raw, off) = batch.column(0), text_buffers(batch.column(1))
+            due = in_bitmap(bitmap.value, np.asarray(batch.column(3)).view(U), WANTED_BITS)
+            batch = batch.filter(pa.array(due))
+            raw, off = text_buffers(batch.column(2))
             for a, b in blocks(off):
                 v, m = _sets(raw, off[a : b + 1], k)
                 edge = np.concatenate(([0], np.cumsum(m))).tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(m, pa.int64()), pa.array([v[x:y].tobytes() for x, y in zip(edge[:-1], edge[1:])], pa.binary())],
-                    ["id", "n", "items"],
-                )
+                items = pa.array([v[x:y].tobytes() for x, y in zip(edge[:-1], edge[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), items], ["doc_id", "h", "items"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, n long, items binary")
+    return rows.select("doc_id", "h", "text", _row_key("doc_id", "h").alias("key")).mapInArrow(trimmed(run), "doc_id long, h long, items binary")
+
+
+def _row_key(doc_id: str, h: str):
+    return F.xxhash64(F.col(doc_id), F.col(h))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -219,33 +210,35 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(trimmed(run), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id) for every row of ``docs`` (doc_id long, text string).
+    """(doc_id, text_hash, n_shingles, component_id, class_id, component) for every row of ``docs`` (doc_id long, text string).
 
-    class_id is the smallest id with an equal set. ``percent`` from 80 to 100: below, a small
+    class_id is the smallest id with an equal set, and component a number of the component, null for a row without a set. ``percent`` from 80 to 100: below, a small
     set's classes may leave too little coverage.
     """
     if not 80 <= percent <= 100:
         raise ValueError("percent must be from 80 to 100")
     spark = docs.sparkSession
     ws = Workspace(spark, "ngram_join")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"), F.col("text").cast("string").alias("text"))
     sketch = spark.sparkContext.broadcast(levels_of(_count_sketch(rows, k)))
     profile = ws.put(_profile(rows, k, percent, sketch), "profile")
+    sketch.destroy()
 
     key = ["n", "d1", "d2"]
-    live = profile.where("n > 0 and doc_id is not null")
-    classes = ws.put(live.groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
-    reps = classes.join(live.select("doc_id", "sigs", "combos"), F.col("rep") == F.col("doc_id")).dropDuplicates(["rep"])
+    # Equal sets have equal signatures, so any row of a class gives them. A node is a class; its number is fixed once it is written.
+    who = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "h")).alias("who")
+    classes = profile.where("n > 0").groupBy(*key).agg(who, *[F.first(c).alias(c) for c in (*BITS, "sigs", "combos")])
+    classes = ws.put(classes.select(F.monotonically_increasing_id().alias("rep"), "who", *key, *BITS, "sigs", "combos"), "classes")
     signed = F.concat(F.transform("sigs", lambda x: F.struct(x.alias("sig"), F.lit(1).alias("w"))), F.transform("combos", lambda x: F.struct(x.alias("sig"), F.lit(SHARED).alias("w"))))
-    posts = reps.withColumn("n", F.col("n").cast("int")).select("rep", "n", F.inline(signed))
+    posts = classes.select("rep", F.col("n").cast("int").alias("n"), F.inline(signed))
     lists = posts.groupBy("sig").agg(F.count("*").alias("members")).where("members > 1")
     posts = ws.put(posts.join(lists, "sig"), "posts")
 
-    bits = ws.put(classes.join(live.select("doc_id", *BITS), F.col("rep") == F.col("doc_id")).select("rep", *BITS).dropDuplicates(["rep"]), "bits")
+    bits = classes.select("rep", *BITS)
     near = _near(percent)
     small = posts.where(f"members <= {SMALL_LIST}").select("sig", "rep", "n", "w").join(bits, "rep")
     other = small.select("sig", F.col("rep").alias("other"), F.col("n").alias("m"), F.col("w").alias("w2"), *[F.col(b).alias(f"c{b}") for b in BITS])
@@ -258,42 +251,65 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     degree = large.groupBy("rep").agg(F.count("*").alias("degree"))
     large = ws.put(large.join(degree, "rep").join(bits, "rep").select("sig", "rep", "n", "degree", *BITS), "large0")
     ws.drop("posts")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(large.select("rep")).distinct()
-    wanted = ws.put(wanted, "wanted")
-    sets = ws.put(_set_table(rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), k), "sets")
-    links, rnd, comp = None, 0, None
-    while True:
-        # Members of a long list meet its pivots: the smallest hashes among those that are still open.
-        if rnd:
-            large = ws.put(_open(large, comp), f"large{rnd}")
-            ws.drop(f"large{rnd - 1}", f"pivots{rnd - 1}")
-        if large.isEmpty():
-            pivots = None
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(large.select("rep")).distinct()
+    wanted = ws.put(wanted.join(classes.select("rep", "who"), "rep").select("rep", "who.doc_id", "who.h", _row_key("who.doc_id", "who.h").alias("key")), "wanted")
+    bitmap = spark.sparkContext.broadcast(hash_bitmap(wanted, "key", WANTED_BITS))
+    sets = _set_table(rows, k, bitmap).withColumnsRenamed({"doc_id": "doc_id2", "h": "h2"})
+    sets = sets.join(wanted, F.col("doc_id2").eqNullSafe(F.col("doc_id")) & (F.col("h2") == F.col("h"))).groupBy(F.col("rep").alias("id")).agg(F.first("items").alias("items"))
+    sets = ws.put(sets, "sets")
+    bitmap.destroy()
+    ws.drop("wanted")
+
+    comp = None
+    for rnd in range(1 << 30):
+        if not rnd:
+            met = large.join(_first_pivots(large), "sig").where(near & (F.col("rep") != F.col("pivot")))
+            met = pairs.union(_ordered(met))
         else:
-            pivots = ws.put(_pivots(large, rnd), f"pivots{rnd}")
-            met = large.join(pivots, "sig").where(near & (F.col("rep") != F.col("pivot")))
-            met = met.where("c <> pc") if rnd else met
-            met = met.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
-            pairs = met if rnd else pairs.union(met)
-        if rnd and pivots is None:
-            break
-        found = ws.put(_verify(pairs.distinct(), sets, percent), f"links{rnd}")
-        links = found if links is None else links.union(found)
-        comp = ws.put(components(ws, links, f"cc{rnd}_"), f"comp{rnd}")
-        if pivots is None:
-            break
-        large = large.select("sig", "rep", "n", "degree", *BITS).join(pivots.select("sig", F.col("pivot").alias("rep")), ["sig", "rep"], "left_anti")
-        rnd += 1
-
-    member = profile.select("doc_id", *key).join(classes, key, "left")
-    out = member.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("rep", "doc_id").alias("class_id")
+            large = ws.put(_open(large, comp), f"large{rnd}")
+            ws.drop(f"large{rnd - 1}")
+            if large.isEmpty():
+                break
+            pivots = ws.put(_pivots(large), "pivots")
+            met = _met(large, pivots, near)
+        found = ws.put(_verify(met.distinct(), sets, percent), "links")
+        if rnd:
+            large = ws.put(large.select("sig", "rep", "n", "degree", *BITS).join(pivots.select("sig", "rep"), ["sig", "rep"], "left_anti"), f"rest{rnd}")
+            ws.drop(f"rest{rnd - 1}" if rnd > 1 else "pairs")
+        new = ws.put(_merge(ws, comp, found, rnd), f"comp{rnd}")
+        ws.drop("links", f"comp{rnd - 1}")
+        comp = new
+
+    named = classes.select(F.col("rep").alias("node"), "who").join(comp.withColumnRenamed("id", "node"), "node")
+    named = named.groupBy("component").agg(F.min("who").alias("least"))
+    label = comp.join(named, "component").select(F.col("id").alias("rep"), "component", F.col("least.doc_id").alias("smallest"), F.lit(True).alias("linked"))
+    of = classes.select("rep", *key, F.col("who.doc_id").alias("class_id")).join(label, "rep", "left")
+    of = of.select(*key, "class_id", F.coalesce("component", "rep").alias("component"), F.when(F.col("linked"), F.col("smallest")).otherwise(F.col("class_id")).alias("component_id"), F.lit(True).alias("live"))
+    out = profile.select("doc_id", "h", *key).join(of, key, "left").select(
+        "doc_id", F.col("h").alias("text_hash"), F.col("n").alias("n_shingles"), F.when(F.col("live"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("live"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), "component",
     )
     out = ws.put(out, "result")
     ws.keep("result")
     return out
 
 
+def _ordered(met: DataFrame) -> DataFrame:
+    return met.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
+
+
+def _merge(ws: Workspace, comp: DataFrame | None, links: DataFrame, rnd: int) -> DataFrame:
+    """(id, component) after new links: they join components that are known by now, so each round's graph holds only what it has found."""
+    if comp is None:
+        return components(ws, links, f"cc{rnd}_")
+    a, b = (comp.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b"))
+    edges = links.join(a, "a", "left").join(b, "b", "left").select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+    moved = ws.put(components(ws, edges.select(F.col("ca").alias("a"), F.col("cb").alias("b")), f"cc{rnd}_"), f"moved{rnd}")
+    moved = moved.select(F.col("component").alias("to"), F.col("id").alias("component"))
+    every = comp.union(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(comp, "id", "left_anti").select("id", F.col("id").alias("component")))
+    return every.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+
+
 def _open(large: DataFrame, comp: DataFrame) -> DataFrame:
     """Members of lists that still span components, with their components."""
     named = large.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
@@ -301,19 +317,44 @@ def _open(large: DataFrame, comp: DataFrame) -> DataFrame:
     return named.join(spans, "sig")
 
 
-def _pivots(large: DataFrame, rnd: int) -> DataFrame:
-    """The pivots of each list: at first the member of most long lists. Later, of those outside the list's largest component, all
-    where they are at most ``PIVOTS``, else the first for each of so many salts."""
-    who = F.struct((-F.col("degree")).alias("d"), F.xxhash64("rep").alias("r"), "rep", "n", *BITS, *(["c"] if rnd else []))
-    cols = [F.col("w.rep").alias("pivot"), F.col("w.n").alias("m"), *[F.col(f"w.{b}").alias(f"c{b}") for b in BITS]]
-    if not rnd:
-        return large.groupBy("sig").agg(F.min(who).alias("w")).select("sig", *cols)
+def _first_pivots(large: DataFrame) -> DataFrame:
+    """(sig, pivot, ...): the member of most long lists."""
+    who = F.struct((-F.col("degree")).alias("d"), F.xxhash64("rep").alias("r"), "rep", "n", *BITS)
+    return large.groupBy("sig").agg(F.min(who).alias("w")).select("sig", *_as_pivot("w"))
+
+
+def _as_pivot(w: str) -> list:
+    return [F.col(f"{w}.rep").alias("pivot"), F.col(f"{w}.n").alias("m"), *[F.col(f"{w}.{b}").alias(f"c{b}") for b in BITS]]
+
+
+def _pivots(large: DataFrame) -> DataFrame:
+    """(sig, home, rep, ..., apart): the pivots of each home, and how many members each would meet list by list. Of the sets outside of their list's
+    largest component, all where they are at most ``PIVOTS``, else the first for each of so many salts."""
     sizes = large.groupBy("sig", "c").agg(F.count("*").alias("k"))
-    main = sizes.groupBy("sig").agg(F.max(F.struct("k", "c")).alias("big"), F.sum("k").alias("all"))
-    main = main.select("sig", F.col("big.c").alias("mc"), (F.col("all") - F.col("big.k")).alias("outside"))
+    home = sizes.groupBy("sig").agg(F.max(F.struct("k", "c")).alias("big"), F.sum("k").alias("members")).select("sig", F.col("big.c").alias("home"), "members")
+    out = large.join(home, "sig").where("c <> home")
+    one = out.groupBy("home", "rep").agg(F.sum("members").alias("apart"), F.max("degree").alias("degree"))
+    outside = one.groupBy("home").agg(F.count("*").alias("outside"))
     salt = F.when(F.col("outside") <= PIVOTS, F.col("rep")).otherwise(F.pmod(F.xxhash64("rep"), F.lit(PIVOTS)))
-    best = large.join(main, "sig").where("c <> mc").groupBy("sig", salt.alias("salt")).agg(F.min(who).alias("w"))
-    return best.select("sig", *cols, F.col("w.c").alias("pc"))
+    best = F.min(F.struct((-F.col("degree")).alias("d"), F.xxhash64("rep").alias("r"), "rep", "apart")).alias("w")
+    chosen = one.join(outside, "home").groupBy("home", salt.alias("salt")).agg(best).select("home", "w.rep", "w.apart")
+    return out.join(chosen, ["home", "rep"]).select("sig", "home", "rep", "n", "c", "degree", *BITS, "apart")
+
+
+def _met(large: DataFrame, pivots: DataFrame, near) -> DataFrame:
+    """Pairs (a, b) of pivots and members of another component, over all lists of a home or list by list, whatever is less."""
+    lists = pivots.select("sig", "home").distinct()
+    together = large.join(lists, "sig").groupBy("home", "rep").agg(*[F.first(c).alias(c) for c in ("n", "c", *BITS)])
+    number = together.groupBy("home").agg(F.count("*").alias("together")).join(pivots.groupBy("home").agg(F.count_distinct("rep").alias("meet")), "home")
+    number = number.select("home", "together", F.least(F.lit(PIVOTS), F.ceil(F.col("meet") * F.col("together") / MEETINGS)).cast("int").alias("parts"))
+    pivots = pivots.join(number, "home").withColumn("wide", F.col("apart") > F.col("together"))
+    who = F.struct("rep", "n", *BITS)
+    wide = pivots.where("wide").groupBy("home", "rep").agg(F.first(who).alias("w"), F.first("c").alias("pc"), F.first("parts").alias("parts"))
+    wide = wide.select("home", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), "pc", *_as_pivot("w"))
+    together = together.join(number, "home").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))  # a home of very many meetings is split
+    narrow = pivots.where("not wide").select("sig", F.col("c").alias("pc"), who.alias("w")).select("sig", "pc", *_as_pivot("w"))
+    apart = near & (F.col("c") != F.col("pc"))
+    return _ordered(together.join(wide, ["home", "part"]).where(apart)).union(_ordered(large.join(narrow, "sig").where(apart)))
 
 
 def _near(percent: int):
