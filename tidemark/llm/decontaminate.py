@@ -4,8 +4,8 @@ A text is a sequence of tokens: words without punctuation at their ends, in lowe
 is ss, as upper-casing makes it). Words without a letter or digit are left out. Tokens are then typed: a number (digits, no
 letters) becomes ``<num>``, a name (capitalised but not in capitals, not at the start of a sentence) ``<name>``, a unit right after
 a number ``<unit>``. A template window is ``WINDOW`` typed tokens with at least ``LITERALS`` untyped ones; an item without one has
-windows of the least doubled size that holds as many, else all its tokens as one template (its first and last tokens, met together). An
-item with fewer than ``LITERALS`` untyped tokens has no template. All items also have windows of exact tokens without regard to case, of
+windows of the least doubled size that holds as many, else all its tokens as one template (its first and last tokens, met together), for which
+``WHOLE`` untyped tokens are enough if it has ``LITERALS`` tokens. An item with fewer has no template and is found by its exact tokens. All items also have windows of exact tokens without regard to case, of
 template windows with names as they are (for copies in lower case or in capitals), and with the first word as a name (for copies that begin
 within a sentence); documents have windows of typed and of exact tokens. A shorter benchmark
 item is one window of all its tokens, and documents have windows of each such item's length too (``WINDOW`` - 1 lengths at most), so
@@ -17,24 +17,23 @@ document and item at one shift are an occurrence; it is consistent if each fille
 document throughout. A document is contaminated by an item if consistent occurrences cover at least half of the item's
 template windows or of its windows of ``WINDOW`` tokens, or ``ENOUGH`` of either; the better of the two covers is reported.
 
-Null and empty texts have no windows. Repeated rows and repeated passages count once. Empty tables give an empty result. Other columns are
-ignored. Rows with a null doc_id are never contaminated.
+Null and empty texts have no windows. Repeated rows and repeated passages count once; rows of one id and different texts are documents (or items) of their
+own, rows without an id too, whose id is null in the result. Empty tables give an empty result. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel as K
-from tidemark.llm.common import Workspace, blocks, text_buffers
+from tidemark.llm.common import Workspace, blocks, hash_bitmap, in_bitmap, text_buffers, trimmed
 
 WINDOW = 8
 LITERALS = 5
+WHOLE = 3
 ENOUGH = 6
 BITMAP_BITS = 24
 U = np.uint64
@@ -145,6 +144,11 @@ def literals(kind, at, size: int):
     return run[at + size] - run[at]
 
 
+def _least(size: int) -> int:
+    """Untyped tokens that a template of this size must have; one below ``WINDOW`` is a whole item."""
+    return size if size < LITERALS else WHOLE if size < WINDOW else LITERALS
+
+
 def _fillers(own, kind, at, size: int) -> list[list[int]]:
     return [[int(x) for x in own[i : i + size][kind[i : i + size] > 0].view(np.int64)] for i in at.tolist()]
 
@@ -176,13 +180,13 @@ def _item_rows(batches):
                 head = (place == 0) & able[at] & (kind[at] == 0)  # noqa: B023
                 x, named_t, named, same = at[head], t.copy(), kind.copy(), none.copy()  # noqa: B023
                 named_t[x], named[x] = _SLOT[2], 2
-                same[x] = literals(named, x, size) < min(LITERALS, size)
+                same[x] = literals(named, x, size) < _least(size)
                 yield rows(named_t, named, same, x, text[head], place[head], size, cover[head], need[head])
 
             def uncased(at, text, place, size, cover, need=1):
                 cover, need = np.broadcast_to(cover, len(at)), np.broadcast_to(need, len(at))
                 n, n_plain = literals(kind, at, size), literals(plain_kind, at, size)  # noqa: B023
-                both = (n < n_plain) & (n_plain < size) & (n_plain >= min(LITERALS, size) * (size <= WINDOW))
+                both = (n < n_plain) & (n_plain < size) & (n_plain >= _least(size) * (size <= WINDOW))
                 yield rows(plain_t, plain_kind, names, at[both], text[both], place[both], size, cover[both], need[both])  # noqa: B023
 
             poor = counts > 0  # items without a template window yet
@@ -190,7 +194,7 @@ def _item_rows(batches):
                 mine = np.minimum(counts, WINDOW) == size
                 at, text, place = places(counts, size, mine)
                 n = literals(kind, at, size)
-                rich = n >= min(LITERALS, size)
+                rich = n >= _least(size)
                 yield from templates(at[rich], text[rich], place[rich], size, 3)
                 yield from uncased(at, text, place, size, 1 + 2 * rich)
                 poor[text[rich]] = False
@@ -199,7 +203,7 @@ def _item_rows(batches):
             # longer windows where those of WINDOW tokens have too few literals; sizes double, so that documents need few of them
             run = np.concatenate(([0], np.cumsum(kind == 0)))
             edge = np.concatenate(([0], np.cumsum(counts)))
-            poor &= (counts >= WINDOW) & (run[edge[1:]] - run[edge[:-1]] >= LITERALS)
+            poor &= (counts >= WINDOW) & (run[edge[1:]] - run[edge[:-1]] >= WHOLE)
             size, top = 2 * WINDOW, int(counts[poor].max(initial=0))
             while size <= top:
                 at, text, place = places(counts, size, poor)
@@ -226,10 +230,8 @@ def _doc_rows(bitmap, sizes: list[int]):
     """Windows of documents, of each size that the benchmark holds, as far as the bitmap has them."""
 
     def run(batches):
-        live = bitmap.value
         for batch in batches:
-            ids = np.asarray(batch.column(0)).astype(np.int64)
-            raw, off = text_buffers(batch.column(1))
+            raw, off = text_buffers(batch.column(2))
             for a, b in blocks(off):
                 t, own, kind, _, counts = typed(raw, off[a : b + 1])
                 for size in sizes:
@@ -238,69 +240,50 @@ def _doc_rows(bitmap, sizes: list[int]):
                     for exact in (False, True):
                         at, text, place = [x[slotted] for x in every] if exact else every
                         w = window_hash(own if exact else t, at, size)
-                        spot = (w >> U(64 - BITMAP_BITS)).astype(np.int64)
-                        hit = np.flatnonzero((live[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1)
+                        hit = np.flatnonzero(in_bitmap(bitmap.value, w, BITMAP_BITS))
                         w, at, text, place = w[hit], at[hit], text[hit], place[hit]
                         if size < WINDOW:  # the whole item: of a text's windows without slots one is enough
                             once = np.zeros(len(at), bool) if exact else literals(kind, at, size) < size
                             once[np.unique(np.column_stack([text.astype(U), w]), axis=0, return_index=True)[1]] = True
                             w, at, text, place = w[once], at[once], text[once], place[once]
                         slots = [[]] * len(at) if exact else _fillers(own, kind, at, size)
+                        own_row = pa.array(a + text)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(ids[a:b][text]), pa.array(w.view(np.int64)), pa.array(place.astype(np.int64)), pa.array(slots, pa.list_(pa.int64()))], ["doc", "w", "doc_at", "doc_slots"]
+                            [batch.column(0).take(own_row), batch.column(1).take(own_row), pa.array(w.view(np.int64)), pa.array(place.astype(np.int64)), pa.array(slots, pa.list_(pa.int64()))], ["doc", "h", "w", "doc_at", "doc_slots"]
                         )
 
     return run
 
 
-def _bitmap(rows: DataFrame) -> np.ndarray:
-    """Bits of all window hashes: 2**BITMAP_BITS of them, whatever the benchmark's size."""
-    chunk = 1 << 16
-
-    def collect(batches):
-        bits = np.zeros(1 << BITMAP_BITS, bool)
-        for batch in batches:
-            bits[(np.asarray(batch.column(0)).view(U) >> U(64 - BITMAP_BITS)).astype(np.int64)] = True
-        packed = np.packbits(bits, bitorder="little").reshape(-1, chunk)
-        live = [i for i in range(len(packed)) if packed[i].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(live, pa.int32()), pa.array([zlib.compress(packed[i].tobytes(), 1) for i in live], pa.binary())], ["chunk", "bits"])
-
-    def merge(key, parts):
-        out = np.zeros(chunk, np.uint8)
-        for x in parts.column("bits"):
-            out |= np.frombuffer(zlib.decompress(x.as_py()), np.uint8)
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([zlib.compress(out.tobytes(), 1)], pa.binary())})
-
-    kind = "chunk int, bits binary"
-    out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    for i, blob in rows.select("w").mapInArrow(collect, kind).groupBy("chunk").applyInArrow(merge, kind).collect():
-        out[i * chunk : (i + 1) * chunk] = np.frombuffer(zlib.decompress(bytes(blob)), np.uint8)
-    return out
-
-
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, matched, windows, coverage) of every contaminated pair."""
+    """(doc_id, item_id, matched, windows, coverage, text_hash) of every contaminated pair."""
     spark = docs.sparkSession
     ws = Workspace(spark, "decontaminate")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
-    bench = ws.put(items.mapInArrow(_item_rows, "item long, w long, item_at long, size int, cover int, need int, item_slots array<long>, item_fixed array<long>"), "bench")
-    bitmap = spark.sparkContext.broadcast(_bitmap(bench))
-    lengths = sorted(r.size for r in bench.select("size").distinct().collect())
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
+    items = ws.put(items.select(F.monotonically_increasing_id().alias("item"), "item_id", "text"), "items")
+    bench = items.select("item", "text").mapInArrow(trimmed(_item_rows), "item long, w long, item_at long, size int, cover int, need int, item_slots array<long>, item_fixed array<long>")
+    bench = ws.put(bench, "bench")
+    bitmap = spark.sparkContext.broadcast(hash_bitmap(bench, "w", BITMAP_BITS))
+    lengths = sorted(r["size"] for r in bench.select("size").distinct().collect())  # up to WINDOW, and doubled ones
     exact, template = (F.when(F.col("cover").bitwiseAND(bit) > 0, F.col("item_at")) for bit in (1, 2))
     sizes = bench.groupBy("item").agg(F.countDistinct(exact).alias("n0"), F.countDistinct(template).alias("n1"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    hits = texts.mapInArrow(_doc_rows(bitmap, lengths), "doc long, w long, doc_at long, doc_slots array<long>")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"), F.col("text").cast("string").alias("text"))
+    hits = texts.mapInArrow(trimmed(_doc_rows(bitmap, lengths)), "doc long, h long, w long, doc_at long, doc_slots array<long>")
     fixed = F.transform("item_fixed", lambda x: F.struct(x.alias("item_slots"), x.alias("doc_slots")))
-    met = hits.join(bench, "w").select("doc", "item", (F.col("doc_at") - F.col("item_at")).alias("shift"), "item_at", "cover", "need", F.concat(F.arrays_zip("item_slots", "doc_slots"), fixed).alias("pairs"))
-    found = met.groupBy("doc", "item", "shift").agg(F.collect_set(exact).alias("p0"), F.collect_set(template).alias("p1"), F.max("need").alias("need"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    met = hits.join(bench, "w").select("doc", "h", "item", (F.col("doc_at") - F.col("item_at")).alias("shift"), "item_at", "cover", "need", F.concat(F.arrays_zip("item_slots", "doc_slots"), fixed).alias("pairs"))
+    found = met.groupBy("doc", "h", "item", "shift").agg(F.collect_set(exact).alias("p0"), F.collect_set(template).alias("p1"), F.max("need").alias("need"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     fillers = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
     found = found.where(F.size("pairs") == fillers).withColumn("p1", F.when(F.size("p1") >= F.col("need"), F.col("p1")))
     count = lambda p: F.size(F.array_distinct(F.flatten(F.collect_set(p)))).cast("long")
-    whole = found.groupBy("doc", "item").agg(count("p0").alias("m0"), count("p1").alias("m1")).join(sizes, "item")
+    whole = found.groupBy("doc", "h", "item").agg(count("p0").alias("m0"), count("p1").alias("m1")).join(sizes, "item")
 
     def cover(m, n):
         m, n = F.col(m), F.col(n)
         return F.struct(((n > 0) & (m > 0) & ((m * 2 >= n) | (m >= ENOUGH))).alias("enough"), F.when(n > 0, m / n).otherwise(0.0).alias("coverage"), m.alias("matched"), n.alias("windows"))
 
-    best = whole.select("doc", "item", F.greatest(cover("m0", "n0"), cover("m1", "n1")).alias("c")).where("c.enough")
-    return best.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "c.matched", "c.windows", "c.coverage")
+    best = whole.select("doc", "h", "item", F.greatest(cover("m0", "n0"), cover("m1", "n1")).alias("c")).where("c.enough")
+    best = best.join(items.select("item", "item_id"), "item").groupBy(F.col("doc").alias("doc_id"), F.col("h").alias("text_hash"), "item_id").agg(F.max("c").alias("c"))
+    out = ws.put(best.select("doc_id", "item_id", "c.matched", "c.windows", "c.coverage", "text_hash"), "result")
+    bitmap.destroy()
+    ws.keep("result")
+    return out
