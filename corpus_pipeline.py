@@ -27,36 +27,62 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _documents(quality.scores(_documents(docs), table(spark, sf_dir, "labels")).where("kept"))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row, (doc_id, hash of the text): rows of one key are copies of each other."""
+    return docs.withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose key is not in ``keys`` (doc_id, text_hash), rows without an id too."""
+    keyed = _keyed(docs)
+    gone = (keyed["key"]["doc_id"].eqNullSafe(keys["doc_id"])) & (keyed["key"]["text_hash"] == keys["text_hash"])
+    return _documents(keyed.join(keys, gone, "left_anti"))
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each component of documents whose 5-word shingles have a Jaccard similarity of 0.8 or more. Of rows that repeat
-    an id one stays; documents without words have no partner and stay."""
+    """One document of each component of documents whose 5-word shingles have a Jaccard similarity of 0.8 or more: the one of the smallest id (none
+    counts as largest), then of the smallest text hash. Rows of one id and different texts are different documents; documents without words have no partner and stay."""
     docs = _documents(docs)
     ws = Workspace(spark, "near_duplicates")
-    gone = ngram_join.jaccard_components(docs, k=5, percent=80).where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(ws.put(gone, "gone"), "doc_id", "left_anti")
-    again = ws.put(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id"), "again")
+    found = ngram_join.jaccard_components(docs, k=5, percent=80).where("component is not null")
+    key = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_hash")
+    groups = found.groupBy("component").agg(F.min(key).alias("first"), F.count("*").alias("n")).where("n > 1")
+    members = ws.put(found.join(groups, "component").select("doc_id", "text_hash", (key == F.col("first")).alias("stays")), "members")
+    kept = _without(docs, members.where("not stays").select("doc_id", "text_hash").distinct())
+    again = members.where("stays").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_hash")
+    again = ws.put(again, "again")
     if again.isEmpty():
-        return _documents(kept)
-    twice = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return _documents(kept.join(again, "doc_id", "left_anti")).unionByName(_documents(twice))
+        return kept
+    keyed = _keyed(kept)
+    twice = keyed.join(again, keyed["key"]["doc_id"].eqNullSafe(again["doc_id"]) & (keyed["key"]["text_hash"] == again["text_hash"]), "left_semi")
+    return _without(kept, again).unionByName(_documents(twice.dropDuplicates(["key"])))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     docs = _documents(docs)
-    ws = Workspace(spark, "decontamination")
-    hit = decontaminate.matches(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return _documents(docs.join(ws.put(hit, "hit"), "doc_id", "left_anti"))
+    return _without(docs, decontaminate.matches(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "text_hash").distinct())
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of the mix, as often as it takes them."""
+    """Documents of the mix, as often as it takes them. Rows of one id and text are taken as often as all of them together."""
     docs = _documents(docs)
     ws = Workspace(spark, "mixing")
-    taken = mixing.mix(docs).where("taken > 0").groupBy("doc_id").agg(F.max(F.round(F.col("taken") / F.col("size")).cast("int")).alias("times"))
-    taken = ws.put(taken, "times").withColumnRenamed("doc_id", "taken_id")
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["taken_id"]))
-    return _documents(joined.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("times")))))
+    times = F.sum(F.round(F.col("taken") / F.col("size")).cast("int")).alias("times")
+    taken = mixing.mix(docs).where("size > 0").groupBy("doc_id", "text_hash").agg(times, F.count("*").alias("n")).where("times > 0")
+    taken = ws.put(taken, "times")
+    keyed = _keyed(docs)
+
+    def taken_of(of: DataFrame) -> DataFrame:
+        of = of.select(F.col("doc_id").alias("taken_id"), "text_hash", "times")
+        return keyed.join(of, keyed["key"]["doc_id"].eqNullSafe(of["taken_id"]) & (keyed["key"]["text_hash"] == of["text_hash"]))
+
+    def copies(rows: DataFrame) -> DataFrame:
+        return _documents(rows.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("times")))))
+
+    again = taken.where("n > 1")
+    once = copies(taken_of(taken.where("n = 1")))
+    return once if again.isEmpty() else once.unionByName(copies(taken_of(again).dropDuplicates(["key"])))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

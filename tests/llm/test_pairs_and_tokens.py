@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from tests.llm import brute_templates
 from tests.llm.data import DOCS, frame, odd_rows
 from tidemark.llm import decontaminate, exact_dedup, mixing, ngram_join, token_store
 from tidemark.llm.common import Workspace
@@ -69,11 +70,43 @@ def test_jaccard_components(spark, monkeypatch, k, percent, bits):
     # a small sketch makes most shingles frequent, short lists bring pivots into play
     monkeypatch.setattr(ngram_join, "SMALL_LIST", 4 if bits == 12 else 32)
     monkeypatch.setattr(ngram_join, "PIVOTS", 8)
+    monkeypatch.setattr(ngram_join, "MEETINGS", 50 if bits == 12 else 1_000_000)
     rows = odd_rows() + near_copies(k)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(frame(spark, rows), k, percent).collect() if r.doc_id is not None}
     assert got == brute_components({i: t for i, t, _ in rows if i is not None}, k, percent)
 
 
+@pytest.mark.parametrize("small", [2, 32])
+def test_family_of_near_copies(spark, monkeypatch, small):
+    """One large family whose members don't all link, a chain through it, and a passage that many other documents share."""
+    monkeypatch.setattr(ngram_join, "SMALL_LIST", small)
+    rnd = random.Random(small)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    base, passage = [word() for _ in range(120)], [word() for _ in range(60)]
+    rows, chain = [], list(base)
+    for i in range(250):
+        w = list(base)
+        for _ in range(rnd.randint(0, 9)):
+            w[rnd.randrange(len(w))] = word()
+        rows.append((i, " ".join(w), "a"))
+    for i in range(300, 330):
+        chain[rnd.randrange(len(chain))] = word()
+        rows.append((i, " ".join(chain), "a"))
+    for i in range(400, 520):
+        rows.append((i, " ".join([word() for _ in range(rnd.randint(0, 40))] + passage + [word() for _ in range(rnd.randint(0, 40))]), "a"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(frame(spark, rows), 5, 80).collect()}
+    want = brute_components({i: t for i, t, _ in rows}, 5, 80)
+    assert got == want and 30 < len({c for _, c in want.values()}) < 300
+
+
+def test_rows_that_repeat_an_id_or_have_none(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    other, third = base.replace("w7 ", "x7 "), " ".join(f"v{i}" for i in range(60))
+    rows = [(7, base, "a"), (7, third, "a"), (3, third.replace("v5 ", "y "), "a"), (9, other, "a"), (None, other, "a"), (None, "quite alone", "a"), (None, None, "a"), (7, base, "a")]
+    got = sorted(((r.doc_id or 0, r.component_id or 0, r.n_shingles, r.component is None) for r in ngram_join.jaccard_components(frame(spark, rows), 5, 80).collect()))
+    assert got == sorted([(7, 7, 56, False), (7, 3, 56, False), (3, 3, 56, False), (9, 7, 56, False), (0, 7, 56, False), (0, 0, 1, False), (0, 0, 0, True), (7, 7, 56, False)])
+
+
 def test_signatures_lose_no_link():
     """Sets of every class share a signature if they link."""
     rnd = np.random.default_rng(1)
@@ -148,6 +181,45 @@ def test_mix(spark):
     assert sorted(map(key, got)) == sorted(map(key, again))
 
 
+def test_mix_reruns_agree_whatever_the_order(spark):
+    """Rows without an id, rows of one id, and ties: any order and any partitions give the same rows."""
+    rnd = random.Random(6)
+    words = ["ja", "nee", "!!", "wel"]
+    rows = [(None, " ".join(rnd.choices(words, k=rnd.randint(1, 9))), rnd.choice("ab")) for _ in range(60)]
+    rows += [(3, " ".join(rnd.choices(words, k=5)), "a") for _ in range(30)] + [(5, "same text", "b")] * 300 + [(None, None, "a"), (6, "", None)]
+    runs = []
+    for seed in (1, 2, 3):
+        random.Random(seed).shuffle(rows)
+        got = mixing.mix(frame(spark, rows).repartition(seed)).collect()
+        runs.append(sorted((r.doc_id or 0, r.text_hash, r.source or "", r["size"], r.taken) for r in got))
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) == len(rows)
+
+
+def brute_taken(rows, most=2):
+    """taken of each row, in key order, by one loop for each source; rows from ``measure`` and targets by hand."""
+    sizes = {}
+    for r in rows:
+        sizes[r.source] = sizes.get(r.source, 0) + r["size"]
+    want, out = brute_targets(sizes), []
+    for s, target in want.items():
+        epochs = int(target // sizes[s]) if sizes[s] else 0
+        rest, before = target - epochs * sizes[s], 0
+        for r in sorted((r for r in rows if r.source == s), key=lambda r: (r["rank"], r.doc_id is not None, r.doc_id, r["size"], r.h)):
+            out.append((r.doc_id, s, r["size"], epochs * r["size"] + (r["size"] if rest - before >= r["size"] / 2 else 0)))
+            before += r["size"]
+    return out
+
+
+def test_mix_takes_what_brute_force_takes(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    rows = odd_rows(9, 500) + [(77, "one row many times", "b")] * 50
+    df = frame(spark, rows)
+    key = lambda x: tuple(-1 if y is None else y for y in x)
+    got = sorted(((r.doc_id, r.source or "", r["size"], r.taken) for r in mixing.mix(df).collect()), key=key)
+    want = sorted(((i, s or "", n, t) for i, s, n, t in brute_taken(mixing.measure(df).collect())), key=key)
+    assert got == want
+
+
 def test_mix_prefers_quality(spark):
     rows = [(i, ("good words " if i % 2 else "!! ?? ") * 10, "a") for i in range(2000)] + [(10_000, "word " * 200_000, "b")]
     got = mixing.mix(frame(spark, rows), weights=(1, 20)).where("source = 'a'").collect()
@@ -285,7 +357,7 @@ def test_decontaminate(spark):
     ]
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.matches(frame(spark, rows), bench).collect()}
-    assert got == {(1, 1), (2, 1), (3, 1), (4, 5), (5, 2), (10, 1)}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 5), (5, 2), (10, 1), (None, 1)}
 
 
 def test_slots_must_be_consistent(spark):
@@ -311,15 +383,17 @@ def test_short_items_inside_documents(spark):
 def test_items_rich_in_slots(spark):
     filler = "some plain words that belong to nothing in particular and go on for a while"
     items = [
-        "Solve 3 x + 12 = 48 - 6 x", "Anna Smith met Bob Jones in Paris on 12 May 2020",  # too few literals for a template: exact
+        "Solve 3 x + 12 = 48 - 6 x", "Anna Smith met Bob Jones in Paris on 12 May 2020",
         "Count 3 and 4 then 5 and 6 by 7 or 8 now",  # the whole item as a template
         " ".join(f"w{i}a {i} {i + 50} {i + 100} w{i}b {i + 150} {i + 200}" for i in range(7)),  # windows of 16 tokens
-        "Paris has 5 boroughs",
+        "Paris has 5 boroughs",  # too few tokens for a template: exact
+        "What is 12 plus 30?", "Compute 12 times 7 and add 45", "If 3 kg cost 12 euros then 5 kg cost 20 euros",
     ]
     far = " ".join(f"w{i}a {i + 300} {i + 350} {i + 400} w{i}b {i + 450} {i + 500}" for i in range(7))
     docs = [f"{filler}. {x}. {filler}" for x in items]
     docs += [f"{filler}. Solve 4 x + 13 = 49 - 7 x", f"{filler}. Count 13 and 14 then 15 and 16 by 17 or 18 now", f"{filler}. Count 13 and 14 then 15 and 16 by 17 {filler}", f"{filler}. {far}.", f"{filler}. Paris has 6 boroughs"]
-    assert contaminated(spark, items, docs) == {(i, i) for i in range(5)} | {(6, 2), (8, 3)}
+    docs += [f"{filler}. {x}" for x in ("What is 5 plus 7?", "Compute 1 times 2 and add 3", "If 8 kg cost 9 euros then 4 kg cost 1 euros", "What is 5 minus 7?", "If 8 kg cost 9 euros then 4 km cost 1 euros", "If 8 kg cost 9 euros then 8 kg cost 9 euros")]
+    assert contaminated(spark, items, docs) == {(i, i) for i in range(8)} | {(8, 0), (9, 2), (11, 3), (13, 5), (14, 6), (15, 7), (18, 7)}
 
 
 def test_copies_in_another_case(spark):
@@ -330,6 +404,58 @@ def test_copies_in_another_case(spark):
     assert contaminated(spark, items, docs) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 2), (5, 3)}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_decontaminate_against_brute_force(spark, seed):
+    """Short, slot-heavy, long and odd items; documents that hold them verbatim, with other slots, in another case, cut, or mixed."""
+    rnd = random.Random(seed)
+    words, names, units = ["red", "blue", "box", "how", "many", "old", "ship", "lamp", "goes", "über", "to"], ["Anna", "Bob", "Vienna", "Ödön", "X"], ["kg", "km", "hours"]
+
+    def phrase(n, slots):
+        out = []
+        while len(out) < n:
+            x = rnd.random()
+            if x < slots / 2:
+                out += [str(rnd.randint(1, 30))] + ([rnd.choice(units)] if rnd.random() < 0.5 else [])
+            elif x < slots:
+                out.append(rnd.choice(names))
+            else:
+                out.append(rnd.choice(words) + rnd.choice(["", "", "", ",", ".", "?"]))
+        return " ".join(out[:n])
+
+    def other_slots(text):
+        to = {}
+        return " ".join(to.setdefault(w, rnd.choice(names)) if w in names and rnd.random() < 0.9 else to.setdefault(w, str(rnd.randint(31, 60))) if w.isdigit() else w for w in text.split())
+
+    items = [phrase(rnd.randint(1, 7), rnd.choice([0, 0.3, 0.6])) for _ in range(25)] + [phrase(rnd.randint(8, 45), rnd.choice([0, 0.3, 0.6, 0.8, 0.9])) for _ in range(45)]
+    items += ["What is 12 plus 30?", "Compute 12 times 7 and add 45", "If 3 kg cost 12 euros then 5 kg cost 20 euros", "", "--- !!", None, "Solve 3 x + 12 = 48 - 6 x"]
+    docs = []
+    for item in items:
+        item = item or ""
+        w = item.split()
+        for change in (item, other_slots(item), item.lower(), item.upper(), " ".join(w[: len(w) // 2]), " ".join(w[1:]), " ".join(rnd.sample(w, len(w)))):
+            docs.append(f"{phrase(rnd.randint(0, 12), 0.2)} {change} {phrase(rnd.randint(0, 12), 0.2)}".strip())
+    docs += [phrase(rnd.randint(1, 30), 0.4) for _ in range(60)] + [None, ""]
+    want = {(i, j) for i, d in enumerate(docs) for j, x in enumerate(items) if brute_templates.contaminated(d, x)}
+    got = contaminated(spark, items, docs)
+    assert got == want, (sorted(got - want)[:5], sorted(want - got)[:5])
+    # a verbatim copy with the same sentence starts is found, whatever the item
+    assert all((7 * j, j) in got for j, x in enumerate(items) if brute_templates.tokens(x) and docs[7 * j].startswith(x)) and len(got) > 300
+
+
+def test_decontaminate_rows_without_id(spark):
+    bench = spark.createDataFrame([(None, "seven old men sail slowly to the far island"), (1, "two"), (1, "wholly other words of the same id"), (1, "two")], "item_id long, text string")
+    rows = [(None, "say seven old men sail slowly to the far island again", "a"), (None, "nothing here", "a"), (4, "two", "a"), (4, "x wholly other words of the same id", "a")]
+    got = sorted((r.doc_id or 0, r.item_id or 0, r.matched) for r in decontaminate.matches(frame(spark, rows), bench).collect())
+    assert got == [(0, 0, 2), (4, 1, 1), (4, 1, 1)]
+
+
+def test_decontaminate_long_text_and_repeated_passages(spark):
+    item = "why did the seven old men sail slowly to the far island"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, "a b c " * 100_000 + item, "a"), (2, f"{item} " * 3000, "a"), (3, "z" * 1_500_000 + " " + item, "a"), (4, "y" * 3_000_000, "a")]
+    assert sorted(r.doc_id for r in decontaminate.matches(frame(spark, rows), bench).collect()) == [1, 2, 3]
+
+
 def test_exact_dedup(spark, tmp_path):
     rows = odd_rows(5) + [(50, "one ", "a"), (51, "one\n", "a"), (52, " one", "a"), (53, "  one", "a")]
     src = str(tmp_path / "docs.parquet")

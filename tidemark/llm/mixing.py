@@ -1,16 +1,19 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling.
 
-Every document gets the key ``-ln(u) / weight``: u in (0, 1) from a hash of its id and a seed, weight its
+Every document gets the key ``-ln(u) / weight``: u in (0, 1) from a hash of its id, its text and a seed, weight its
 quality weight. Within a source, documents ordered by key are a weighted sample without replacement. A source
 whose target is above its size takes complete epochs first; what is left of the target is filled in key order, up to the
 document whose end is nearest to it.
 
 The order within a source is never sorted in one task: keys are dealt into ``BUCKETS`` ranges of nearly equal
 probability, sums of ranges are prefix-summed (at most BUCKETS numbers for a source), and rows are
-prefix-summed within their range only. Sources are water-filled in closed form over one row for each source.
+prefix-summed within their range only. Rows of one id and text have one key; they are counted before they are ordered and told out again by their count, so
+that any number of them is one row there. Sources are water-filled in closed form over one row for each source: one task
+orders the sources, which are as many as ``source`` has values, not as there are documents.
 
-Null texts have size 0 and are never taken; null sources form one source, the last; a null doc_id hashes as 0. Repeated
-rows are documents of their own. An empty table gives an empty result. Other columns are ignored.
+Null texts have size 0 and are never taken; null sources form one source, the last; rows without an id are told apart by their texts. Ties of keys go by id,
+size and text hash, so that any order of the input gives the same rows. Repeated
+rows are documents of their own. An empty table gives an empty result. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,9 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel as K
-from tidemark.llm.common import Workspace, blocks, text_buffers
+from tidemark.llm.common import Workspace, blocks, text_buffers, trimmed
 
 BUCKETS = 1024
+COPIES = 1 << 14
 WEIGHTS = (5, 2, 1)
 SEED = 7
 _ALNUM = np.zeros(256, np.int64)
@@ -31,14 +35,14 @@ _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 
 
 def measure(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """(doc_id, source, size, weight, rank): words, quality weight and sampling key of every row.
+    """(doc_id, h, source, size, weight, rank): text hash, words, quality weight and sampling key of every row.
 
     The weight is 1 less four times the share of bytes in words that are neither letters nor digits, 0.05 at least.
     """
 
     def run(batches):
         for batch in batches:
-            raw, off = text_buffers(batch.column(2))
+            raw, off = text_buffers(batch.column(3))
             sizes, weights = [], []
             for a, b in blocks(off):
                 part, own = raw[off[a] : off[b]], off[a : b + 1] - off[a]
@@ -51,15 +55,16 @@ def measure(docs: DataFrame, seed: int = SEED) -> DataFrame:
             if not sizes:
                 continue
             ids = np.asarray(batch.column(0).fill_null(0)).astype(np.int64).view(np.uint64)
-            u = ((K.mix(K.mix(ids + K.U(1)) ^ K.U(int(K.MULT[60]) * seed % 2**64)) >> K.U(11)).astype(np.float64) + 0.5) / 2.0**53
+            own = K.mix(ids + K.U(1)) + np.asarray(batch.column(1)).view(np.uint64) * K.MULT[55]
+            u = ((K.mix(own ^ K.U(int(K.MULT[60]) * seed % 2**64)) >> K.U(11)).astype(np.float64) + 0.5) / 2.0**53
             w = np.concatenate(weights)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.concatenate(sizes), pa.int64()), pa.array(w), pa.array(-np.log(u) / w)],
-                ["doc_id", "source", "size", "weight", "rank"],
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(np.concatenate(sizes), pa.int64()), pa.array(w), pa.array(-np.log(u) / w)],
+                ["doc_id", "h", "source", "size", "weight", "rank"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, source string, size long, weight double, rank double")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"), F.col("source").cast("string"), F.col("text").cast("string"))
+    return rows.mapInArrow(trimmed(run), "doc_id long, h long, source string, size long, weight double, rank double")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -86,22 +91,29 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) for every row of ``docs`` (doc_id, source, text)."""
+    """(doc_id, source, size, source_size, target, taken, text_hash) for every row of ``docs`` (doc_id, source, text)."""
     ws = Workspace(docs.sparkSession, "mix")
     rows = ws.put(measure(docs, seed), "rows")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.avg("weight").alias("mean_weight"))
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = ws.put(targets(sizes, weights, share, most), "plan")
     key = [F.col("source").isNull().alias("no"), F.coalesce("source", F.lit("")).alias("name")]
-    plan = plan.select(*key, "source_size", "mean_weight", "target")
+    plan = plan.select(*key, "source_size", "target")
     # The range of a key needs no source: weights are near 1, and any rule that grows with the key serves.
     dealt = rows.select("*", *key).withColumn("bucket", F.floor((1 - F.exp(-F.col("rank") * 0.9)) * BUCKETS).cast("int"))
     sums = dealt.groupBy("no", "name", "bucket").agg(F.sum("size").alias("in_bucket"))
     sums = sums.withColumn("before", F.sum("in_bucket").over(Window.partitionBy("no", "name").orderBy("bucket")) - F.col("in_bucket"))
     sums = ws.put(sums.join(plan, ["no", "name"]).drop("in_bucket"), "sums")
-    inside = Window.partitionBy("no", "name", "bucket").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = dealt.withColumn("inside", F.sum("size").over(inside) - F.col("size")).join(sums, ["no", "name", "bucket"])
+    equal = dealt.groupBy("no", "name", "bucket", "source", "rank", "doc_id", "size", "h").agg(F.count("*").alias("n"))
+    own = F.col("size") * F.col("n")
+    inside = Window.partitionBy("no", "name", "bucket").orderBy("rank", "doc_id", "size", "h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = equal.withColumn("inside", F.sum(own).over(inside) - own).join(sums, ["no", "name", "bucket"])
+    x = x.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))))
+    x = x.withColumn("copy", F.explode(F.sequence(F.col("lot") * COPIES, F.least(F.col("n"), (F.col("lot") + 1) * COPIES) - 1)))
     x = x.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)))
     x = x.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    x = x.withColumn("more", F.when(F.col("rest") - (F.col("before") + F.col("inside")) >= F.col("size") / 2, F.col("size")).otherwise(F.lit(0)))
+    ahead = F.col("before") + F.col("inside") + F.col("copy") * F.col("size")
+    x = x.withColumn("more", F.when(F.col("rest") - ahead >= F.col("size") / 2, F.col("size")).otherwise(F.lit(0)))
     taken = (F.col("epochs") * F.col("size") + F.col("more")).cast("long")
-    return x.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    out = ws.put(x.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), F.col("h").alias("text_hash")), "result")
+    ws.keep("result")
+    return out
