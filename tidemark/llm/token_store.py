@@ -1,7 +1,7 @@
 """Token-ID files with Re-Pair grammar compression.
 
-Documents are dealt into shards by ranges of doc_id, sorted, encoded and cut into blocks of about ``BLOCK_IDS``
-ids. In each block, frequent pairs of neighbouring ids are replaced by nonterminals, all frequent pairs of a
+Documents are dealt into files by ranges of doc_id, sorted, encoded and cut into blocks of about ``BLOCK_IDS``
+ids; a block is the shard that has a grammar of its own, so memory is bounded by a block and any block is read alone. In each block, frequent pairs of neighbouring ids are replaced by nonterminals, all frequent pairs of a
 round at once, until none is met ``LEAST`` times without overlap; no pair crosses a document. A block keeps its rules, the expansion length of every
 nonterminal, the sequence, and for each document its id, its place in the sequence and its number of ids, so any
 document is decoded alone.
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel as K
-from tidemark.llm.common import Workspace, blocks, text_buffers
+from tidemark.llm.common import Workspace, blocks, text_buffers, trimmed
 
 MAGIC = b"TMRP0001"
 BLOCK_IDS = 1 << 20
@@ -363,7 +363,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    out = rows.mapInArrow(run, "shard int, block int, shard_start long, docs long, ids long, payload binary")
+    out = rows.mapInArrow(trimmed(run), "shard int, block int, shard_start long, docs long, ids long, payload binary")
     out.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
@@ -386,10 +386,13 @@ def read(spark, path: str) -> DataFrame:
                 )
 
     rows = files.join(F.broadcast(before), "shard").select((F.col("shard_start") + F.col("before")).alias("first"), "payload")
-    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return rows.mapInArrow(trimmed(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document, as read back from files that are written for it and deleted again."""
     ws = Workspace(docs.sparkSession, "tokens")
     write(docs, ws.path("blocks"), tokenizer_path)
-    return read(docs.sparkSession, ws.path("blocks"))
+    out = ws.put(read(docs.sparkSession, ws.path("blocks")), "result")
+    ws.drop("blocks")
+    return out
