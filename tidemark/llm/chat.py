@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Workspace
+from tidemark.llm.native import starts
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 
@@ -93,16 +94,13 @@ def format_trees(messages: DataFrame, branches: int = 1, loss_roles: tuple[str,
     rows = turns.groupBy("c", "leaf").agg(F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list(turn)).alias("turns"))
     head = lambda x: F.concat(F.lit(START), x["role"], F.lit("\n"))
     whole = F.concat_ws("", F.transform("turns", lambda x: F.concat(head(x), x["text"], F.lit(END))))
-    spans = F.aggregate(
-        "turns",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,length:long>>").alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(head(x)) + F.length(x["text"]) + F.lit(len(END))).alias("at"),
-            F.when(x["loss"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + F.length(head(x))).cast("long").alias("start"), F.length(x["text"]).cast("long").alias("length"))))).otherwise(acc["spans"]).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
-    return rows.select("conv_id", "leaf", F.size("turns").cast("long").alias("n_turns"), whole.alias("formatted"), spans.alias("loss_spans"))
+    begins = starts(F.col("turns"), lambda x: F.length(head(x)) + F.length(x["text"]) + F.lit(len(END)))
+    each = F.zip_with("turns", begins, lambda x, at: F.struct((at + F.length(head(x))).alias("start"), F.length(x["text"]).cast("long").alias("length"), x["loss"].alias("loss")))
+    spans = F.transform(F.filter(each, lambda s: s["loss"]), lambda s: F.struct(s["start"], s["length"])).cast("array<struct<start:long,length:long>>")
+    rows = rows.select("conv_id", "leaf", F.size("turns").cast("long").alias("n_turns"), whole.alias("formatted"), spans.alias("loss_spans"))
+    rows = ws.put(rows, "result")
+    ws.keep("result")
+    return rows
 
 
 def read_turns(formatted: Column) -> Column:
