@@ -68,7 +68,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents of the mix, as often as it takes them. Rows of one id and text are taken as often as all of them together."""
     docs = _documents(docs)
     ws = Workspace(spark, "mixing")
-    times = F.sum(F.round(F.col("taken") / F.col("size")).cast("int")).alias("times")
+    times = F.sum(F.round(F.col("taken") / F.col("size"))).cast("int").alias("times")
     taken = mixing.mix(docs).where("size > 0").groupBy("doc_id", "text_hash").agg(times, F.count("*").alias("n")).where("times > 0")
     taken = ws.put(taken, "times")
     keyed = _keyed(docs)
