@@ -259,6 +259,27 @@ def test_quality_held_out(spark):
     assert not kept[5001] and not kept[5002] and not kept[5003]
 
 
+def test_quality_long_repeated_and_clashing_rows(spark):
+    docs, labels, _ = corpus(600, 12)
+    long = "ra lo miten suka " * 60_000
+    more = [(9001, long, "a"), (9002, "zzgrobal moron scum " * 30_000, "a"), (9003, "lo", "b"), (docs[0][0], docs[0][1], "a"), (docs[0][0], "%%%! " * 40, "a")]
+    lab = spark.createDataFrame([*labels, labels[0], (labels[0][0], 0, 0)], "doc_id long, quality int, toxic int").withColumn("text", F.lit("clash"))
+    df = frame(spark, docs + more)
+    got = quality.scores(df, lab)
+    assert set(got.columns) == set(df.columns) and got.columns[-2:] == ["score", "kept"]
+    rows = got.collect()
+    again = {(r.doc_id, r.text): r.kept for r in quality.scores(df.repartition(2), lab).collect()}
+    assert len(rows) == len(docs) + 5 and all(again[r.doc_id, r.text] == r.kept for r in rows)
+    assert not again[docs[0][0], "%%%! " * 40] and not again[9002, "zzgrobal moron scum " * 30_000]
+
+
+def test_quality_lexicon_is_given(spark):
+    docs, _, _ = corpus(300, 13)
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in quality.scores(frame(spark, docs), none, lexicon=("moron", "scum")).collect()}
+    assert not any(kept[i] for i, t, _ in docs if t.split().count("moron") + t.split().count("scum") > 1)
+
+
 def test_quality_without_labels(spark):
     docs, _, _ = corpus(200, 5)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

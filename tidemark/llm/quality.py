@@ -1,38 +1,40 @@
 """Quality classifier from weak labels.
 
 Heuristic labellers vote reject or abstain on each document (one votes keep), and overlap: shouting, symbol noise, tables of
-fragments, repeated words, abusive words, abusive stems learned from labelled rows, plain prose, and the labels themselves where there are
+fragments, repeated words, words of a lexicon that the caller may give, words and stems learned from toxic labelled rows, plain prose, and the labels themselves where there are
 any. Expectation-maximisation over the counts of vote patterns of all documents (at most 3**8 of them) estimates each
 labeller's rates on documents to keep and to reject, and the share to reject. The posteriors of a bounded sample of labelled
-rows (``SAMPLE``, smallest hashes of doc_id) train a linear scorer over hashed words, hashed word stems and the labellers'
-measures. It then scores every document, over its whole text; a document is rejected if the scorer's probability of rejection is above one half.
+rows (``SAMPLE`` rows, smallest hashes of doc_id, up to ``SAMPLE_BYTES`` of text) train a linear scorer over hashed words, hashed word stems and the labellers'
+measures; executors turn the sample's texts into hashed features, and the driver gets only these. The scorer then scores every document, over its whole text; a document is rejected if the scorer's probability of rejection is above one half.
 
 Null, empty and blank texts have no features and no votes: their score is 1 and they are rejected. Conflicting and repeated labels of one
-document: reject wins. Without any label the other labellers decide. Repeated rows are scored alike; an empty table gives an empty
-result; other columns are kept where ``classify`` returns rows of documents, and ignored otherwise.
+document: reject wins. Without any label nothing is sampled: the score is the posterior of the document's votes. Repeated rows are scored alike; of rows that repeat an id one text is
+sampled, the one with the smallest hash. An empty table gives an empty
+result. ``scores`` keeps all other columns, whatever their names; its own replace columns named score and kept.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel as K
-from tidemark.llm.common import Workspace, blocks, text_buffers
+from tidemark.llm.common import Workspace, blocks, text_buffers, trimmed
 
 SAMPLE = 4000
+SAMPLE_BYTES = 64 << 20
 HASH_BITS = 18
 STEMS = (4, 5)
 EPOCHS = 150
 RIDGE = 3e-4
+COMMON = 0.02
 TF, SURE = 10.0, 5.0
 U = np.uint64
-LABELLERS = ("shout", "symbols", "table", "repeat", "abuse", "stems", "prose", "label")
-#: Abusive words.
-ABUSE = "loser idiot pathetic scum worthless moron trash clown disgusting stupid".split()
+LABELLERS = ("shout", "symbols", "table", "repeat", "lexicon", "stems", "prose", "label")
 N_DENSE = 7
+_NO_WORDS = np.zeros(0, U)
 _UP = np.zeros(256, np.int64)
 _UP[65:91] = 1
 _LETTER = np.zeros(256, np.int64)
@@ -40,14 +42,12 @@ _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 
 
 def _lexicon(words) -> np.ndarray:
+    """Sorted hashes of a list of words."""
     raw = np.frombuffer(" ".join(words).encode(), np.uint8)
     s, e, _ = K.word_spans(raw, np.array([0, len(raw)]))
     return np.sort(K.span_hash(raw, s, e))
 
 
-_ABUSE = _lexicon(ABUSE)
-
-
 def _among(h: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
     if not len(sorted_):
         return np.zeros(len(h), bool)
@@ -59,7 +59,7 @@ def _among(h: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
 class Features:
     """Words of a block of texts: hashed features of each word, and dense measures of each text."""
 
-    def __init__(self, raw: np.ndarray, off: np.ndarray, stems: np.ndarray):
+    def __init__(self, raw: np.ndarray, off: np.ndarray, stems: np.ndarray, lexicon: np.ndarray):
         part, own = raw[off[0] : off[-1]], off - off[0]
         starts, ends, counts = K.word_spans(part, own)
         self.counts = counts
@@ -78,7 +78,7 @@ class Features:
         text = np.repeat(np.arange(len(counts)), counts)
         total = lambda x: np.bincount(text, x, len(counts))
         share = lambda x: total(x) / np.maximum(counts, 1)
-        more = lambda x: np.maximum(total(x) - 1, 0) / np.maximum(counts, 1)  # noqa: E731  one is no evidence
+        more = lambda x, few=1: np.maximum(total(x) - few, 0) / np.maximum(counts, 1)  # noqa: E731  a few are no evidence
         same = np.zeros(len(starts), bool)
         same[1:] = (power[1:] == power[:-1]) & (text[1:] == text[:-1])
         tail = ends - np.maximum(e, starts)
@@ -87,7 +87,7 @@ class Features:
             lex |= _among(x, stems)
         self.dense = np.column_stack([
             share((n_up >= 2) & (n_up * 2 > n_letter)), share(tail >= 3), share((ends - starts == 1) & (part[starts] == 124) if len(starts) else np.zeros(0)),
-            more(same), more(_among(power, _ABUSE)), more(lex), share((n_letter > 0) & (tail <= 1) & (n_up <= 1)),
+            more(same, 2), more(_among(power, lexicon)), more(lex), share((n_letter > 0) & (tail <= 1) & (n_up <= 1)),
         ])
 
     def votes(self) -> np.ndarray:
@@ -95,7 +95,7 @@ class Features:
         d = self.dense
         v = np.column_stack([d[:, 0] > 0.2, d[:, 1] > 0.2, d[:, 2] > 0.1, d[:, 3] > 0.1, d[:, 4] > 0.002, d[:, 5] > 0.002, d[:, 6] > 0.8]).astype(np.int64)
         v[:, 6] *= 2
-        v[:, 6] *= d[:, 3] <= 0.1
+        v[:, 6] *= (v[:, 3:6] == 0).all(1)  # plain prose repeats no words and holds none that are listed
         return v
 
     def hashed(self) -> list[np.ndarray]:
@@ -103,15 +103,15 @@ class Features:
         return [np.where(x == 0, (1 << HASH_BITS) - 1, (K.mix(x ^ K.MULT[30 + i]) >> U(64 - HASH_BITS)).astype(np.int64)) for i, x in enumerate(self.columns)]
 
 
-def learn_stems(features: list[list[np.ndarray]], toxic: np.ndarray) -> np.ndarray:
-    """Words and stems that at least 5 toxic documents of the sample hold and (nearly) no other."""
+def learn_stems(features: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Words and stems that a share ``COMMON`` of the sample's toxic documents hold, 5 at least, and (nearly) no other; ``features`` are distinct and sorted."""
     if not toxic.any():
         return np.zeros(0, U)
-    parts = [np.unique(np.concatenate(f)) for f in features]
-    x, n = np.unique(np.concatenate([p for p, t in zip(parts, toxic) if t]), return_counts=True)
-    x, n = x[n >= 5], n[n >= 5]
+    x, n = np.unique(np.concatenate([p for p, t in zip(features, toxic) if t]), return_counts=True)
+    often = n >= max(5, COMMON * toxic.sum())
+    x, n = x[often], n[often]
     clean = np.zeros(len(x), np.int64)
-    for p, t in zip(parts, toxic):
+    for p, t in zip(features, toxic):
         if not t:
             clean[np.searchsorted(x, p[_among(p, x)])] += 1
     return x[(clean * 50 <= n) & (x != 0)]
@@ -172,93 +172,123 @@ def saturated(dense: np.ndarray) -> np.ndarray:
     return SURE * (1 - np.exp(-dense / _HALF))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> list:
-    """Up to ``bound`` labelled rows: (text, reject, toxic)."""
-    picked = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").where("text is not null").dropDuplicates(["doc_id"]).select("text", "bad", "toxic").orderBy(F.xxhash64("text")).limit(bound).toLocalIterator()
+def _sample(texts: DataFrame, known: DataFrame, rows: int, bytes_: int) -> DataFrame:
+    """(text, bad, toxic) of up to ``rows`` labelled rows, in the order of a hash of their ids, of up to ``bytes_`` in all."""
+    picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    some = texts.join(F.broadcast(picked), "doc_id").where("text is not null")
+    some = some.groupBy("doc_id", "bad", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return some.withColumn("end", F.sum(F.octet_length("text")).over(before)).where(F.col("end") <= bytes_).select("doc_id", "text", "bad", "toxic")
+
+
+def _hashed_rows(sample: DataFrame) -> DataFrame:
+    """(doc_id, bad, toxic, words, features, counts): distinct words and stems, and hashed features, of the sampled texts that have words."""
 
+    def run(batches):
+        for batch in batches:
+            raw, off = text_buffers(batch.column(1))
+            for i in range(batch.num_rows):
+                f = Features(raw, off[i : i + 2], np.zeros(0, U), np.zeros(0, U))
+                if not f.counts[0]:
+                    continue
+                x, n = np.unique(np.concatenate(f.hashed()), return_counts=True)
+                keep = x != (1 << HASH_BITS) - 1
+                lists = [np.unique(np.concatenate(f.columns)).view(np.int64), x[keep].astype(np.int32), (n[keep] * (TF / f.counts[0])).astype(np.float32)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 1), batch.column(2).slice(i, 1), batch.column(3).slice(i, 1), *[pa.array([x]) for x in lists]], ["doc_id", "bad", "toxic", "words", "features", "counts"]
+                )
 
-def train(docs: DataFrame, labels: DataFrame | None, ws: Workspace, bound: int = SAMPLE):
-    """(learned stems, weights, labellers' rates) from vote counts of all documents and a bounded sample of labelled rows."""
+    return sample.mapInArrow(trimmed(run), "doc_id long, bad int, toxic int, words array<long>, features array<int>, counts array<float>")
+
+
+def _voted(rows: DataFrame, stems, lexicon: np.ndarray) -> DataFrame:
+    """(doc_id, code, dense): all votes but the labels' as one number, -1 for texts without words, and the dense measures."""
+
+    def run(batches):
+        for batch in batches:
+            ids, (raw, off) = batch.column(0), text_buffers(batch.column(1))
+            for a, b in blocks(off):
+                f = Features(raw, off[a : b + 1], stems.value, lexicon)
+                code = np.where(f.counts > 0, f.votes() @ (3 ** np.arange(len(LABELLERS) - 1)), -1)
+                dense = pa.FixedSizeListArray.from_arrays(pa.array(f.dense.ravel()), N_DENSE).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(code, pa.int64()), dense], ["doc_id", "code", "dense"])
+
+    return rows.select("doc_id", "text").mapInArrow(trimmed(run), "doc_id long, code long, dense array<double>")
+
+
+def _unpacked(code: int) -> tuple:
+    return tuple((code // 3**j) % 3 for j in range(len(LABELLERS)))
+
+
+def train(docs: DataFrame, labels: DataFrame | None, ws: Workspace, bound: int = SAMPLE, lexicon: np.ndarray = _NO_WORDS):
+    """(learned stems, weights or None, posterior of each vote pattern, labellers' rates) from vote counts of all documents and a bounded sample of labelled rows."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
     known = None
     if labels is not None:
         bad = ((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int")
-        known = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(bad).alias("bad"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
+        known = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(bad).alias("bad"), F.max(F.coalesce("toxic", F.lit(0))).cast("int").alias("toxic"))
         known = ws.put(known, "known")
         if known.isEmpty():
             known = None
-    source = known if known is not None else texts.where("doc_id is not null").select("doc_id").distinct().select("doc_id", F.lit(None).cast("int").alias("bad"), F.lit(0).alias("toxic"))
-    rows, labels_of, toxic, words, feats = [], [], [], [], []
-    for r in _sample(texts, source, bound):
-        raw = np.frombuffer(r["text"].encode(), np.uint8)
-        f = Features(raw, np.array([0, len(raw)]), np.zeros(0, U))
-        if not f.counts[0]:
-            continue
-        labels_of.append({None: 0, 1: 1, 0: 2}[r["bad"]])
-        toxic.append(bool(r["toxic"]))
-        words.append([np.unique(c) for c in f.columns])
-        x, n = np.unique(np.concatenate(f.hashed()), return_counts=True)
-        keep = x != (1 << HASH_BITS) - 1
-        feats.append((x[keep].astype(np.int32), (n[keep] * (TF / f.counts[0])).astype(np.float32)))
-        rows.append(raw)
-    stems = learn_stems(words, np.array(toxic, bool)) if words else np.zeros(0, U)
-    del words
+    rows, sample, stems = [], None, np.zeros(0, U)
+    if known is not None:
+        sample = ws.put(_sample(texts, known, bound, SAMPLE_BYTES), "sample")
+        got = _hashed_rows(sample).toArrow()
+        column = lambda c: got.column(c).combine_chunks()
+        pieces = lambda c: [x.values.to_numpy(zero_copy_only=False) if x.is_valid else None for x in column(c)]
+        rows = list(zip(column("doc_id").to_pylist(), column("bad").to_pylist(), column("toxic").to_pylist(), pieces("words"), pieces("features"), pieces("counts")))
+        rows.sort(key=lambda r: r[0])
+        stems = learn_stems([r[3].view(U) for r in rows], np.array([bool(r[2]) for r in rows], bool)) if rows else stems
 
     shared = spark.sparkContext.broadcast(stems)
-
-    def vote(batches):
-        own = shared.value
-        for batch in batches:
-            ids, (raw, off) = batch.column(0), text_buffers(batch.column(1))
-            for a, b in blocks(off):
-                f = Features(raw, off[a : b + 1], own)
-                code = f.votes() @ (3 ** np.arange(len(LABELLERS) - 1))
-                code = np.where(f.counts > 0, code, -1)
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(code, pa.int64())], ["doc_id", "code"])
-
-    votes = texts.mapInArrow(vote, "doc_id long, code long").where("code >= 0")
+    votes = _voted(texts, shared, lexicon).where("code >= 0").select("doc_id", "code")
     if known is not None:
         votes = votes.join(known.select("doc_id", F.when(F.col("bad") == 1, 1).otherwise(2).alias("said")), "doc_id", "left")
         code = F.col("code") + F.coalesce("said", F.lit(0)) * 3 ** (len(LABELLERS) - 1)
     else:
         code = F.col("code")
-    counts = votes.groupBy(code.alias("code")).agg(F.count("*").alias("n")).collect()
-    unpack = lambda c: tuple((c // 3**j) % 3 for j in range(len(LABELLERS)))
-    patterns = {unpack(r["code"]): r["n"] for r in counts}
-    if not rows or not patterns:
-        return stems, None, None
-    dense = []
-    for raw in rows:
-        dense.append(Features(raw, np.array([0, len(raw)]), stems))
-    mine = [(*f.votes()[0].tolist(), s) for f, s in zip(dense, labels_of)]
-    for p in mine:
-        patterns.setdefault(tuple(p), 1)
-    posterior, rates = fit_votes(patterns)
-    y = np.array([posterior[tuple(p)] for p in mine])
-    weights = fit_linear(feats, saturated(np.concatenate([f.dense for f in dense])), y)
-    return stems, weights, rates
-
-
-def scores(docs: DataFrame, labels: DataFrame | None, bound: int = SAMPLE) -> DataFrame:
+    counts = votes.groupBy(code.alias("code")).agg(F.count("*").alias("n")).collect()  # 3**8 patterns at most
+    patterns = {_unpacked(r["code"]): r["n"] for r in counts}
+    weights = posterior = rates = None
+    if patterns:
+        own = {r["doc_id"]: r for r in _voted(sample, shared, lexicon).collect()} if rows else {}
+        mine = [(*_unpacked(own[r[0]]["code"])[:-1], 1 if r[1] else 2) for r in rows]
+        for p in mine:
+            patterns.setdefault(tuple(p), 1)
+        posterior, rates = fit_votes(patterns)
+        if rows:
+            y = np.array([posterior[tuple(p)] for p in mine])
+            dense = np.array([own[r[0]]["dense"] for r in rows])
+            weights = fit_linear([(r[4], r[5]) for r in rows], saturated(dense), y)
+    shared.destroy()
+    ws.keep()
+    return stems, weights, posterior, rates
+
+
+def scores(docs: DataFrame, labels: DataFrame | None, bound: int = SAMPLE, lexicon: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` with score (probability of rejection) and kept, in place of columns of these names; all others stay."""
     ws = Workspace(docs.sparkSession, "quality")
-    stems, weights, _ = train(docs, labels, ws, bound)
-    model = docs.sparkSession.sparkContext.broadcast((stems, weights))
+    listed = _lexicon(lexicon) if lexicon else _NO_WORDS
+    stems, weights, posterior, _ = train(docs, labels, ws, bound, listed)
+    table = np.ones(3 ** (len(LABELLERS) - 1))  # without a scorer: the posterior of each pattern, the label abstaining
+    if posterior:
+        for i in range(len(table)):
+            table[i] = posterior.get(_unpacked(i), 1.0)
+    model = docs.sparkSession.sparkContext.broadcast((stems, weights, table))
     docs = docs.drop("score", "kept")
     names = docs.columns
     at = names.index("text")
 
     def run(batches):
-        own, w = model.value
+        own, w, by_votes = model.value
         for batch in batches:
             raw, off = text_buffers(batch.column(at).cast(pa.string()))
             out = []
             for a, b in blocks(off):
-                f = Features(raw, off[a : b + 1], own)
+                f = Features(raw, off[a : b + 1], own, listed)
                 if w is None:
-                    out.append(np.where(f.counts > 0, (f.votes() == 1).any(1).astype(float), 1.0))
+                    out.append(np.where(f.counts > 0, by_votes[f.votes() @ (3 ** np.arange(len(LABELLERS) - 1))], 1.0))
                     continue
                 text = np.repeat(np.arange(len(f.counts)), f.counts)
                 each = sum(w[x] for x in f.hashed()) if len(text) else np.zeros(0)
@@ -270,4 +300,4 @@ def scores(docs: DataFrame, labels: DataFrame | None, bound: int = SAMPLE) -> Da
     from pyspark.sql import types as T
 
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("kept", T.BooleanType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
