@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as X
 
+SPREAD = 1024
+RANGES = 256
+
 
 def min_relevance(df: DataFrame, least: int, column: str = "relevance") -> DataFrame:
     """Rows of at least this relevance; missing counts as 0."""
@@ -67,11 +70,17 @@ def changed(stored: DataFrame, current: DataFrame, keys: list[str], value: str =
     return a.join(b, keys).where(~F.col("old_hash").eqNullSafe(F.col("new_hash")))
 
 
+def left_lookup(df: DataFrame, by: DataFrame, key: str) -> DataFrame:
+    """Left equi-join on ``key``. Rows without a key meet nothing; they are dealt over ``SPREAD`` join keys and not to one task."""
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)).cast("int")).otherwise(F.lit(0))
+    return df.withColumn("_spread", spread).join(by.withColumn("_spread", F.lit(0)), [key, "_spread"], "left").drop("_spread")
+
+
 def two_key_match(df: DataFrame, target: DataFrame) -> DataFrame:
     """``df`` with ``id_l`` and ``id_e``: the target's lowest id by legiscan_id, and by non-empty external_id."""
     by_l = target.where("legiscan_id is not null").groupBy("legiscan_id").agg(F.min("id").alias("id_l"))
     by_e = target.where("coalesce(external_id, '') <> ''").groupBy("external_id").agg(F.min("id").alias("id_e"))
-    return df.join(by_l, "legiscan_id", "left").join(by_e, "external_id", "left")
+    return left_lookup(left_lookup(df, by_l, "legiscan_id"), by_e, "external_id")
 
 
 def classify(incoming: DataFrame, stored: DataFrame, key: str, day: str) -> DataFrame:
@@ -130,6 +139,15 @@ def prefix_limit(df: DataFrame, limit: int | None, ord_: str = "ord") -> DataFra
     return df.join(F.broadcast(total), F.col(ord_) < F.col("_most")).drop("_most")
 
 
+def first_rows(df: DataFrame, limit: int | None, *order: str) -> DataFrame:
+    """``prefix_limit`` of a table in an order of its own: the top rows of each task, or places by ranges for a negative limit."""
+    if limit is None:
+        return df
+    if limit >= 0:
+        return df.orderBy(*order).limit(limit)
+    return prefix_limit(with_ordinal(df, *order), limit).drop("ord")
+
+
 def keyset_page(df: DataFrame, key: str, cursor, size: int = 1000) -> DataFrame:
     """The page after the cursor; None starts at the beginning."""
     after = df if cursor is None else df.where(F.col(key) > F.lit(cursor))
@@ -146,5 +164,18 @@ def most_recent(df: DataFrame, day: str, tie: str, k: int) -> DataFrame:
 
 
 def with_ordinal(df: DataFrame, *order: str) -> DataFrame:
-    """A dense 0-based ``ord``. One window over all rows: for result lists, not for tables."""
-    return df.withColumn("ord", F.row_number().over(Window.orderBy(*order)) - 1)
+    """A dense 0-based ``ord``. Rows are dealt into at most ``RANGES`` ranges of the order's first column, whose bounds come from a sample of
+    ``RANGES`` of its values; places are counted within ranges and the ranges' sizes are summed before them."""
+    first = F.col(order[0])
+    bounds = [r[0] for r in df.select(first.alias("_f")).where("_f is not null").distinct().orderBy(F.xxhash64("_f")).limit(RANGES - 1).collect()]
+    bounds.sort()
+    at = F.lit(0)
+    if bounds:
+        kind = dict(df.dtypes)[order[0]]
+        cuts = F.array(*[F.lit(b).cast(kind) for b in bounds])
+        at = F.when(first.isNull(), F.lit(-1)).otherwise(F.aggregate(cuts, F.lit(0), lambda n, b: n + (b <= first).cast("int")))
+    dealt = df.withColumn("_range", at)
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_n"))  # RANGES rows at most
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return dealt.withColumn("_own", own).join(F.broadcast(before), "_range").withColumn("ord", F.col("_before") + F.col("_own")).drop("_range", "_own", "_before")

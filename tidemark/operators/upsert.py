@@ -7,10 +7,10 @@ ones by id. A record met again is patched: status, hash and session where not nu
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.relops import two_key_match
+from tidemark.operators.relops import left_lookup, two_key_match
 from tidemark.plans.schema import PATCHED, RECORD, WRITTEN
 
 
@@ -21,8 +21,8 @@ def plan_store(incoming: DataFrame, target: DataFrame) -> DataFrame:
     Of a group the first row gives the record, later rows patch it, the last of each value wins.
     """
     x = two_key_match(incoming.drop("id"), target)
-    free = F.min(F.when(F.col("id_e").isNull(), F.col("ord"))).over(Window.partitionBy("legiscan_id"))
-    x = x.withColumn("_fi", F.when(F.col("legiscan_id").isNotNull(), free))
+    free = x.where("id_e is null and legiscan_id is not null").groupBy("legiscan_id").agg(F.min("ord").alias("_fi"))
+    x = left_lookup(x, free, "legiscan_id")
     tid = F.coalesce("id_l", F.when(F.col("_fi").isNotNull() & (F.col("ord") >= F.col("_fi")), F.lit(None)).otherwise(F.col("id_e")))
     x = x.withColumn("tid", tid)
     group = F.coalesce(
@@ -63,19 +63,29 @@ def _patched(target: DataFrame, patch: DataFrame, key: str, columns: tuple[str,
     return x.select(*cols)
 
 
-def apply_store(target: DataFrame, plan: DataFrame, run_ts: Column) -> DataFrame:
-    """The snapshot after a store: patched records and inserted ones."""
-    patches = plan.where("action = 'PATCH'")
-    names = target.select("id", F.col("external_id").alias("_old"))
+def store_parts(target: DataFrame, plan: DataFrame, run_ts: Column) -> tuple[DataFrame, DataFrame]:
+    """(patches by ``id`` with the legiscan_id of the record they meet, new records) of a plan."""
+    patches = plan.where("action = 'PATCH'").drop("legiscan_id")
+    names = target.select("id", "legiscan_id", F.col("external_id").alias("_old"))
     patches = patches.withColumnRenamed("tid", "id").join(names, "id")
     patches = patches.withColumn("external_id", F.when((F.coalesce("external_id", F.lit("")) != "") & ~F.col("external_id").eqNullSafe(F.col("_old")), F.col("external_id")))
-    kept = _patched(target, patches, "id", (*PATCHED, "external_id"), run_ts, always=False)
     new = plan.where("action = 'INSERT'")
     # an id that depends on the row alone: a retried task writes the same one
     made = F.sha2(F.concat_ws("|", F.col("legiscan_id").cast("string"), "external_id", F.col("ord").cast("string"), run_ts.cast("string")), 256)
     url = F.coalesce("url", "legiscan_url")
     cols = {"id": F.substring(made, 1, 32), "created_at": run_ts, "updated_at": run_ts, "full_text": F.lit(None), "url": url}
-    return kept.unionByName(new.select(*[cols.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in RECORD]))
+    return patches, new.select(*[cols.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in RECORD])
+
+
+def patched(target: DataFrame, patches: DataFrame, run_ts: Column) -> DataFrame:
+    """Target rows with the patches of a store."""
+    return _patched(target, patches, "id", (*PATCHED, "external_id"), run_ts, always=False)
+
+
+def apply_store(target: DataFrame, plan: DataFrame, run_ts: Column) -> DataFrame:
+    """The snapshot after a store: patched records and inserted ones."""
+    patches, new = store_parts(target, plan, run_ts)
+    return patched(target, patches, run_ts).unionByName(new)
 
 
 def apply_update(target: DataFrame, patch: DataFrame, run_ts: Column, key: str = "legiscan_id", keep_full_text: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as X
-from tidemark.plans.schema import RECORD
+from tidemark.plans.schema import RECORD, REQUIRED
 
 
 def _text(v: Column, path: str) -> Column:
@@ -62,6 +62,13 @@ def parse_documents(docs: DataFrame, run_ts: Column, column: str = "doc") -> Dat
     return x.select(*keep, *cols, reason.alias("reject_reason"))
 
 
+def validated(records: DataFrame) -> DataFrame:
+    """``records`` with a ``reject_reason`` where a required column has no value."""
+    missing = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"no {c}")) for c in REQUIRED])
+    return records.withColumn("reject_reason", F.coalesce("reject_reason", missing) if "reject_reason" in records.columns else missing)
+
+
 def split_rejected(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records, quarantine)."""
+    """(records, quarantine). A record without a required value is rejected, too."""
+    parsed = validated(parsed)
     return parsed.where("reject_reason is null").drop("reject_reason"), parsed.where("reject_reason is not null")

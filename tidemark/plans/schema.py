@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-#: Columns of the stored record; the first seven after the id are required.
+#: Columns of the stored record.
 RECORD = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -29,6 +29,7 @@ RECORD = T.StructType(
         T.StructField("full_text", T.StringType()),
     ]
 )
+#: Without these no record is stored.
 REQUIRED = ("external_id", "title", "state", "year", "bill_number", "body")
 #: Written by an update; ids, stamps and the full text are not.
 WRITTEN = tuple(f.name for f in RECORD if f.name not in ("id", "created_at", "updated_at", "full_text"))
