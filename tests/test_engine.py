@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from tests.service import Service
 from tidemark.operators import relops as R
 from tidemark.operators import upsert as U
 from tidemark.plans import pipelines as P
@@ -139,12 +140,28 @@ def test_client():
         api.Client("")
 
 
-def test_data_source(spark, tmp_path):
-    for i in (1, 2):
-        (tmp_path / f"getBill-{i}.json").write_text(json.dumps({"status": "OK", "bill": {"bill_id": i}}))
-    api.register(spark)
-    df = spark.read.format("record_api").option("operation", "getBill").option("ids", "1,2").option("base", str(tmp_path)).load()
-    assert sorted(r["id"] for r in df.collect()) == [1, 2]
+def test_data_source(spark):
+    with Service(lambda op, params: {"status": "OK", "bill": {"bill_id": int(params["id"])}}) as service:
+        api.register(spark)
+        df = spark.read.format("record_api").option("operation", "getBill").option("ids", "1,2").option("key", "k").option("base", service.base).load()
+        assert sorted(r["id"] for r in df.collect()) == [1, 2]
+
+
+def test_null_keys_and_ties(spark):
+    df = spark.createDataFrame([(i, i if i % 3 else None, f"e{i}" if i % 2 else None) for i in range(60)], "ord int, legiscan_id long, external_id string")
+    target = spark.createDataFrame([record(id=f"a{i}", legiscan_id=i if i % 4 else None, external_id=f"e{i}" if i % 5 else "") for i in range(60)] + [record(id="z", legiscan_id=1, external_id="e1")], RECORD)
+    got = {r["ord"]: (r["id_l"], r["id_e"]) for r in R.two_key_match(df, target).collect()}
+    assert got == {i: (f"a{i}" if i % 3 and i % 4 else None, f"a{i}" if i % 2 and i % 5 else None) for i in range(60)}
+
+
+def test_places_by_ranges(spark, monkeypatch):
+    monkeypatch.setattr(R, "RANGES", 5)
+    rows = [(None if i % 7 == 0 else i % 13, i) for i in range(100)]
+    df = spark.createDataFrame(rows, "k int, i int").repartition(4)
+    want = {i: n for n, (_, i) in enumerate(sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1])))}
+    assert {r["i"]: r["ord"] for r in R.with_ordinal(df, "k", "i").collect()} == want
+    assert R.with_ordinal(df.limit(0), "k").count() == 0
+    assert [R.first_rows(df, n, "k", "i").count() for n in (None, 0, 7, -7, -200)] == [100, 0, 7, 93, 0]
 
 
 def test_stream(spark, tmp_path):

@@ -1,8 +1,8 @@
 """JSON search service as a Spark data source, and flattening of its answers.
 
-``register(spark)`` makes format ``record_api`` readable: options ``operation`` and request parameters, ``key``, ``base`` (address, or a
-folder of recorded answers ``<operation>[-<id>].json`` for use without a network). One partition holds the limiter and the retries, as requests
-must be spaced and counted in one place. Each answer is a row (operation, id, body).
+``register(spark)`` makes format ``record_api`` readable: options ``operation`` and request parameters, ``ids``, ``key`` and ``base`` (address). ``fetch`` does
+the same for the ids of a table, of any number, one by one, and keeps a request that fails as a row with its error. One partition holds the limiter and the retries, as requests
+must be spaced and counted in one place. Each answer is a row (operation, id, body); ``requests`` counts answers. Recorded answers are tables of the same rows.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import time
 from urllib.error import HTTPError
 from urllib.request import Request, urlopen
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -83,17 +84,10 @@ class _Reader(DataSourceReader):
     def read(self, partition):
         o = self.options
         operation, ids = o["operation"], [x for x in o.get("ids", "").split(",") if x] or [None]
-        if o.get("base", BASE).startswith(("http://", "https://")):
-            client = Client(o["key"], o.get("base", BASE))
-            for i in ids:
-                known = {"operation", "ids", "key", "base"}
-                more = {k: v for k, v in o.items() if k not in known}
-                yield operation, None if i is None else int(i), json.dumps(client.request(operation, **({} if i is None else {"id": i}), **more))
-        else:
-            for i in ids:
-                name = operation if i is None else f"{operation}-{i}"
-                with open(f"{o['base']}/{name}.json") as f:
-                    yield operation, None if i is None else int(i), f.read()
+        client = Client(o["key"], o.get("base", BASE))
+        more = {k: v for k, v in o.items() if k not in ("operation", "ids", "key", "base")}
+        for i in ids:
+            yield operation, None if i is None else int(i), json.dumps(client.request(operation, **({} if i is None else {"id": i}), **more))
 
 
 class RecordApi(DataSource):
@@ -112,11 +106,56 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(RecordApi)
 
 
-def search_rows(answers: DataFrame, column: str = "body") -> DataFrame:
-    """(ord, bill_id, relevance, state, bill_number, title) of raw search answers, in their order."""
+def read(spark: SparkSession, operation: str, key: str, base: str = BASE, **params) -> DataFrame:
+    """(operation, id, body) of one request without an id."""
+    register(spark)
+    reader = spark.read.format("record_api").option("operation", operation).option("key", key).option("base", base)
+    for name, value in params.items():
+        reader = reader.option(name, value)
+    return reader.load()
+
+
+def fetch(ids: DataFrame, operation: str, key: str, base: str = BASE) -> DataFrame:
+    """(operation, id, body, error) of a request for each distinct ``id`` of a table; body is null where a request failed. Read it once: reading is requesting."""
+
+    def run(batches):
+        client = Client(key, base)
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                body = error = None
+                try:
+                    body = json.dumps(client.request(operation, id=i))
+                except (ApiError, OSError, ValueError) as e:
+                    error = f"{type(e).__name__}: {e}"
+                yield pa.RecordBatch.from_arrays([pa.array([operation]), pa.array([i], pa.int64()), pa.array([body], pa.string()), pa.array([error], pa.string())], ["operation", "id", "body", "error"])
+
+    return ids.select(F.col("id").cast("long").alias("id")).where("id is not null").distinct().repartition(1).mapInArrow(run, "operation string, id bigint, body string, error string")
+
+
+def requests(answers: DataFrame) -> int:
+    """How many requests were answered, with success or with an error of the service itself."""
+    failed = F.col("error").isNull() | F.col("error").startswith("ApiError") if "error" in answers.columns else F.lit(True)
+    return answers.where(failed).count()
+
+
+def documents(answers: DataFrame) -> DataFrame:
+    """(bill_id, doc, error) of getBill answers; an answer without a document is left out."""
+    error = F.col("error") if "error" in answers.columns else F.lit(None).cast("string")
+    out = answers.where(F.col("operation") == "getBill").select(F.col("id").alias("bill_id"), F.get_json_object("body", "$.bill").alias("doc"), error.alias("error"))
+    return out.where("error is not null or (doc is not null and doc <> '{}')")
+
+
+def text_rows(answers: DataFrame) -> DataFrame:
+    """(id, text_id, mime, doc) of getBillText answers."""
+    at = lambda p: F.get_json_object("body", f"$.text.{p}")
+    return answers.where(F.col("operation") == "getBillText").select("id", X.whole_number(at("doc_id")).alias("text_id"), at("mime").alias("mime"), at("doc").alias("doc"))
+
+
+def search_rows(answers: DataFrame, column: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(ord, bill_id, relevance, state, bill_number, title) of raw search answers, in their order, after the columns to ``keep``."""
     item = "bill_id string, relevance bigint, state string, bill_number string, title string"
     parsed = F.from_json(F.get_json_object(column, "$.searchresult.results"), f"array<struct<{item.replace(' string', ':string').replace(' bigint', ':bigint')}>>")
-    return answers.select(F.posexplode(parsed).alias("ord", "r")).select("ord", "r.*")
+    return answers.select(*keep, F.posexplode(parsed).alias("ord", "r")).select(*keep, "ord", "r.*")
 
 
 def search_summary(answers: DataFrame, column: str = "body") -> DataFrame:
