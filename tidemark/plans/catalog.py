@@ -6,8 +6,10 @@ tracked subset of documents, customers for (state, number), sources for sessions
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +18,11 @@ from tidemark.functions import near as N
 from tidemark.functions import scalar as X
 from tidemark.operators import relops as R
 from tidemark.operators import upsert as U
-from tidemark.plans.parse import parse_documents
+from tidemark.plans import pipelines as P
+from tidemark.plans.parse import parse_documents, validated
 from tidemark.plans.schema import RECORD
+from tidemark.sources import api
+from tidemark.sources.state import Snapshots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,8 +55,7 @@ c AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS ord FROM s WHERE co
 SELECT event_id, user_id AS doc_id, relevance FROM c WHERE ord < 500 AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = c.user_id)""")
 def incremental_candidates(spark, sf):
     """Relevant search rows, in order up to the limit, that are not tracked yet."""
-    x = R.with_ordinal(R.min_relevance(_search(spark, sf), 50), "event_id")
-    x = R.prefix_limit(x, 500).select("event_id", F.col("user_id").alias("doc_id"), "relevance")
+    x = R.first_rows(R.min_relevance(_search(spark, sf), 50), 500, "event_id").select("event_id", F.col("user_id").alias("doc_id"), "relevance")
     return R.new_of(x, t(spark, sf, "labels"), "doc_id").select("event_id", "doc_id", "relevance")
 
 
@@ -62,8 +66,8 @@ def relevance_filter(spark, sf):
 
 @query("SELECT event_id, user_id FROM events WHERE event_type = (SELECT min(event_type) FROM events)")
 def state_filter(spark, sf):
-    first = t(spark, sf, "events").agg(F.min("event_type").alias("event_type"))
-    return t(spark, sf, "events").join(F.broadcast(first), "event_type").select("event_id", "user_id")
+    x = t(spark, sf, "events")
+    return R.state_is(x, x.agg(F.min("event_type")).first()[0] or "", "event_type").select("event_id", "user_id")
 
 
 @query("SELECT c_custkey, upper(c_mktsegment) || ' ' || c_nationkey AS key, (upper(c_mktsegment) || ' ' || c_nationkey) IN (SELECT upper(c_mktsegment) || ' ' || c_nationkey FROM customer WHERE c_acctbal > 9000) AS is_known FROM customer WHERE c_mktsegment <> ''")
@@ -231,14 +235,18 @@ def offset_page(spark, sf):
 
 @query("SELECT conv_id, turn FROM (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS ord FROM conversations) WHERE ord < 100")
 def ordered_limit(spark, sf):
-    x = R.with_ordinal(t(spark, sf, "conversations").select("conv_id", "turn"), "conv_id", "turn")
-    return R.prefix_limit(x, 100).select("conv_id", "turn")
+    return R.first_rows(t(spark, sf, "conversations").select("conv_id", "turn"), 100, "conv_id", "turn")
 
 
 @query("SELECT conv_id, turn FROM (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS ord, count(*) OVER () AS n FROM conversations) WHERE ord <= n - 40")
 def ordered_limit_negative(spark, sf):
-    x = R.with_ordinal(t(spark, sf, "conversations").select("conv_id", "turn"), "conv_id", "turn")
-    return R.prefix_limit(x, -40).select("conv_id", "turn")
+    return R.first_rows(t(spark, sf, "conversations").select("conv_id", "turn"), -40, "conv_id", "turn")
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS ord FROM orders")
+def ordinals(spark, sf):
+    """Places in an order, without one task for all rows (O2)."""
+    return R.with_ordinal(t(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey").select("o_orderkey", "ord")
 
 
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders ORDER BY day DESC NULLS LAST, o_orderkey LIMIT 10")
@@ -247,9 +255,11 @@ def topk_recent(spark, sf):
     return R.most_recent(x, "day", "o_orderkey", 10)
 
 
-@query("SELECT c_custkey, substr(c_name, 1, 6) AS preview FROM customer ORDER BY c_custkey LIMIT 5")
+@query("SELECT c_name AS external_id, substr(repeat(c_name || ' ', 5), 1, 60) AS title FROM customer ORDER BY c_custkey LIMIT 5")
 def dry_run_preview(spark, sf):
-    return t(spark, sf, "customer").select("c_custkey", F.substring("c_name", 1, 6).alias("preview")).orderBy("c_custkey").limit(5)
+    """What a dry run shows of its records."""
+    x = t(spark, sf, "customer").select(F.col("c_custkey").alias("ord"), F.col("c_name").alias("external_id"), F.repeat(F.concat("c_name", F.lit(" ")), 5).alias("title"))
+    return P.preview(x)
 
 
 @query("""SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 'Introduced' WHEN 2 THEN 'Engrossed' WHEN 3 THEN 'Enrolled' WHEN 4 THEN 'Passed' WHEN 5 THEN 'Vetoed' WHEN 6 THEN 'Failed' END AS status,
@@ -258,7 +268,8 @@ def status_decode(spark, sf):
     doc = lambda c: F.parse_json(F.to_json(F.struct(c.alias("status"))))
     x = t(spark, sf, "lineitem")
     said = F.when(F.col("l_returnflag") == "A", F.lit("")).otherwise(F.col("l_returnflag"))
-    return x.select("l_orderkey", "l_linenumber", X.status_of(doc(F.col("l_linenumber"))).alias("status"), X.status_of(doc(said)).alias("passed"))
+    x = x.select("l_orderkey", "l_linenumber", doc(F.col("l_linenumber")).alias("d1"), doc(said).alias("d2"))  # parsed once
+    return x.select("l_orderkey", "l_linenumber", X.status_of(F.col("d1")).alias("status"), X.status_of(F.col("d2")).alias("passed"))
 
 
 @query("""SELECT p_partkey, CASE WHEN contains(c, 'HOUSE') THEN 'house' WHEN contains(c, 'ASSEMBLY') THEN 'assembly' WHEN contains(c, 'SENATE') THEN 'senate'
@@ -295,21 +306,37 @@ def external_id(spark, sf):
     return t(spark, sf, "orders").select("o_orderkey", X.external_id(state, F.col("o_custkey").cast("string"), day, F.col("o_orderkey")).alias("external_id"))
 
 
-_URL = "example\\.[a-z]+/([^/]+)/([0-9]+)"
+_SITE = """CASE page_id % 6 WHEN 0 THEN 'https://legiscan.com/ca/bill/' || page_id WHEN 1 THEN 'see http://legiscan.com/IL/bill/SB' || page_id || '/2025#x' WHEN 2 THEN 'https://legiscan.com/ny/bill/' || page_id || '/20231' WHEN 3 THEN url WHEN 4 THEN 'https://legiscan.com/TX/bill/' || page_id || 'abc' END"""
 
 
-@query(rf"""SELECT page_id, CASE WHEN regexp_matches(url, '{_URL}') THEN upper(regexp_extract(url, '{_URL}', 1)) END AS state, CAST(nullif(regexp_extract(url, '{_URL}', 2), '') AS BIGINT) AS number FROM pages""")
-def url_parse(spark, sf):
-    x = t(spark, sf, "pages")
-    state = F.when(F.col("url").rlike(_URL), F.upper(F.regexp_extract("url", _URL, 1)))
-    return x.select("page_id", state.alias("state"), X.blank_to_null(F.regexp_extract("url", _URL, 2)).try_cast("bigint").alias("number"))
+def _site():
+    k, p = F.col("page_id") % 6, F.col("page_id").cast("string")
+    return (
+        F.when(k == 0, F.concat(F.lit("https://legiscan.com/ca/bill/"), p)).when(k == 1, F.concat(F.lit("see http://legiscan.com/IL/bill/SB"), p, F.lit("/2025#x")))
+        .when(k == 2, F.concat(F.lit("https://legiscan.com/ny/bill/"), p, F.lit("/20231"))).when(k == 3, F.col("url")).when(k == 4, F.concat(F.lit("https://legiscan.com/TX/bill/"), p, F.lit("abc")))
+    )
+
+
+@query(rf"""SELECT page_id, CAST(nullif(regexp_extract(u, 'legiscan\.com/[^/]+/bill/([0-9]+)', 1), '') AS BIGINT) AS number FROM (SELECT page_id, {_SITE} AS u FROM pages)""")
+def url_id(spark, sf):
+    """Address to id (X11)."""
+    return t(spark, sf, "pages").select("page_id", X.url_id(_site()).alias("number"))
+
 
+@query(rf"""SELECT page_id, upper(state) AS state, label, CAST(year AS INTEGER) AS year FROM (SELECT page_id, regexp_extract(u, p, 1) AS state, regexp_extract(u, p, 2) AS label, regexp_extract(u, p, 3) AS year, regexp_matches(u, p) AS hit
+FROM (SELECT page_id, {_SITE} AS u, 'legiscan\.com/([^/]+)/bill/([^/]+)/([0-9]{{4}})' AS p FROM pages)) WHERE hit""")
+def url_parts(spark, sf):
+    """Address to state, label and year."""
+    x = t(spark, sf, "pages").select("page_id", X.url_parts(_site()).alias("p")).where("p is not null")
+    return x.select("page_id", "p.state", "p.label", "p.year")
 
-@query("""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'https://legiscan.com/CA/bill/' || page_id ELSE url END AS site, CASE WHEN page_id % 5 = 0 THEN 'link' WHEN page_id % 3 = 0 THEN 'https://legiscan.com/CA/bill/' || page_id ELSE url END AS url FROM pages WHERE page_id > 0""")
+
+@query("""SELECT page_id, site, CASE WHEN page_id % 5 = 0 AND page_id % 2 = 0 THEN 'link' ELSE site END AS url FROM (SELECT page_id, CASE WHEN page_id = 0 THEN NULL WHEN page_id % 3 = 0 THEN 'https://legiscan.com/CA/bill/' || page_id ELSE url END AS site FROM pages)""")
 def url_fallback(spark, sf):
-    x = t(spark, sf, "pages").where("page_id > 0")
+    """Addresses of a record (X8, X9). An id of 0 counts as absent."""
+    x = t(spark, sf, "pages")
     site = X.page_url(F.when(F.col("page_id") % 3 != 0, F.col("url")), F.lit("CA"), F.col("page_id"))
-    return x.select("page_id", site.alias("site"), X.first_true(F.when(F.col("page_id") % 5 == 0, "link"), site).alias("url"))
+    return x.select("page_id", site.alias("site"), X.first_true(F.when(F.col("page_id") % 10 == 0, "link").when(F.col("page_id") % 10 == 5, ""), site).alias("url"))
 
 
 @query("""SELECT c_custkey, upper(c_mktsegment) = upper('building') AS hit FROM customer""")
@@ -323,6 +350,7 @@ def _doc_json():
     return F.to_json(
         F.struct(
             k.alias("bill_id"), F.col("lang").alias("state"), F.concat(F.lit("HB"), k.cast("string")).alias("bill_number"), F.md5("text").alias("title"), F.col("source").alias("description"),
+            F.when(k % 5 == 1, "Senate").when(k % 5 == 3, "").alias("chamber"), F.when(k % 5 == 2, "Assembly").when(k % 5 == 3, "SENATE").when(k % 5 == 1, "House").alias("body"),
             F.when(k % 3 == 0, F.lit(2020)).alias("year"), F.when(k % 4 == 0, F.lit("2024-01-15")).alias("status_date"), (k % 8).alias("status"), F.md5("text").alias("change_hash"),
             F.struct((k % 20).alias("session_id"), F.lit("2023-2024 Regular Session").alias("session_title")).alias("session"),
             F.array(F.struct(F.lit("2024-2-20").alias("date"), F.lit("read").alias("action"))).alias("history"),
@@ -330,27 +358,27 @@ def _doc_json():
     )
 
 
-@query("""SELECT doc_id, upper(lang) || ' HB' || doc_id || ' ' || CASE WHEN doc_id % 4 = 0 THEN '2024-01-15' ELSE '2024-02-20' END || ' ' || doc_id AS external_id, md5(text) AS title, upper(lang) AS state,
-CASE WHEN doc_id % 3 = 0 THEN 2020 ELSE 2023 END AS year, 'house' AS body, source AS summary, 'https://legiscan.com/' || upper(lang) || '/bill/' || doc_id AS url, doc_id AS legiscan_id,
+@query("""SELECT doc_id, CASE WHEN doc_id = 0 THEN '' ELSE upper(lang) || ' HB' || doc_id || ' ' || CASE WHEN doc_id % 4 = 0 THEN '2024-01-15' ELSE '2024-02-20' END || ' ' || doc_id END AS external_id, md5(text) AS title, upper(lang) AS state,
+CASE WHEN doc_id % 3 = 0 THEN 2020 ELSE 2023 END AS year, CASE doc_id % 5 WHEN 1 THEN 'senate' WHEN 2 THEN 'assembly' WHEN 3 THEN 'senate' ELSE 'house' END AS body, source AS summary, CASE WHEN doc_id > 0 THEN 'https://legiscan.com/' || upper(lang) || '/bill/' || doc_id END AS url, doc_id AS legiscan_id,
 CASE WHEN doc_id % 4 = 0 THEN DATE '2024-01-15' ELSE DATE '2024-02-20' END AS version_date, CASE doc_id % 8 WHEN 1 THEN 'Introduced' WHEN 2 THEN 'Engrossed' WHEN 3 THEN 'Enrolled' WHEN 4 THEN 'Passed' WHEN 5 THEN 'Vetoed' WHEN 6 THEN 'Failed' END AS bill_status,
-md5(text) AS change_hash, doc_id % 20 AS legiscan_session_id FROM documents WHERE doc_id > 0""")
+md5(text) AS change_hash, doc_id % 20 AS legiscan_session_id FROM documents""")
 def parse_record(spark, sf):
-    """Nested JSON to the flat record."""
-    docs = t(spark, sf, "documents").where("doc_id > 0").select("doc_id", _doc_json().alias("doc"))
+    """Nested JSON to the flat record."""
+    docs = t(spark, sf, "documents").select("doc_id", _doc_json().alias("doc"))
     cols = ("external_id", "title", "state", "year", "body", "summary", "url", "legiscan_id", "version_date", "bill_status", "change_hash", "legiscan_session_id")
     return parse_documents(docs, F.lit("2024-06-01").cast("timestamp")).select("doc_id", *cols)
 
 
-@query("""WITH target AS (SELECT doc_id, md5(text) AS h FROM documents WHERE doc_id % 2 = 0),
-inc AS (SELECT doc_id, md5(text || 'x') AS h FROM documents WHERE doc_id % 3 = 0 AND doc_id % 9 <> 0 UNION ALL SELECT doc_id, NULL FROM documents WHERE doc_id % 9 = 0)
+@query("""WITH target AS (SELECT doc_id, md5(text) AS h FROM documents WHERE doc_id % 3 <> 0),
+inc AS (SELECT doc_id, CASE WHEN doc_id % 9 <> 0 THEN md5(text || 'x') END AS h FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0)
 SELECT coalesce(t.doc_id, i.doc_id) AS doc_id, CASE WHEN t.doc_id IS NULL THEN 'INSERT' WHEN i.h IS NOT NULL THEN 'PATCH' ELSE 'NOOP' END AS action, coalesce(i.h, t.h) AS change_hash
 FROM target t FULL JOIN inc i ON t.doc_id = i.doc_id""")
 def upsert_apply(spark, sf):
     """A store of incoming rows over a target (U1, U3): the next snapshot."""
     ts = F.lit("2024-06-01").cast("timestamp")
     d = t(spark, sf, "documents")
-    target = _bills(d, "doc_id % 2 = 0", F.col("doc_id"))
-    new = _bills(d, "doc_id % 3 = 0", F.col("doc_id")).withColumn("change_hash", F.when(F.col("legiscan_id") % 9 != 0, "y"))
+    target = _bills(d, "doc_id % 3 <> 0", F.col("doc_id"))
+    new = _bills(d, "doc_id % 2 = 0 or doc_id % 3 = 0", F.col("doc_id")).withColumn("change_hash", F.when(F.col("legiscan_id") % 9 != 0, "y"))
     texts = d.select(F.col("doc_id").alias("legiscan_id"), F.md5(F.concat("text", F.lit("x"))).alias("_h"))
     new = new.join(texts, "legiscan_id").withColumn("change_hash", F.when(F.col("change_hash").isNotNull(), F.col("_h"))).drop("_h").withColumn("ord", F.col("legiscan_id")).withColumn("external_id", F.lit(None).cast("string"))
     out = U.apply_store(target, U.plan_store(new.select(*RECORD.names, "ord"), target), ts)
@@ -371,11 +399,10 @@ def coalesce_update(spark, sf):
 
 @query("SELECT d.doc_id, d.source FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE l.doc_id IS NULL AND d.doc_id > 0")
 def backfill_targets(spark, sf):
-    """Records that lack a value, with their documents."""
+    """Records without a session, ids above 0, with their documents."""
     d = t(spark, sf, "documents").select("doc_id", "source")
-    bills = d.join(t(spark, sf, "labels").select("doc_id", F.lit(1).alias("session")), "doc_id", "left")
-    due = bills.where("session is null and doc_id > 0").select("doc_id")
-    return R.lookup(due, d, "doc_id")
+    bills = d.join(t(spark, sf, "labels").select("doc_id", F.lit(1).alias("legiscan_session_id")), "doc_id", "left").withColumnRenamed("doc_id", "legiscan_id")
+    return R.lookup(P.backfill_targets(bills).withColumnRenamed("legiscan_id", "doc_id"), d, "doc_id")
 
 
 _NEAR = "(ti NEAR ble) OR (thea NEAR nder) OR (trash)"
@@ -386,3 +413,187 @@ def near_match(spark, sf):
     """Boolean NEAR over local text."""
     d = t(spark, sf, "documents")
     return d.where(N.near(F.col("text"), _NEAR, 3)).select("doc_id")
+
+
+def _answer(d: DataFrame, group, entries, before: str, after: str) -> DataFrame:
+    """(id, body): answers that hold the entries, JSON texts in the order of doc_id, of each group of rows."""
+    rows = d.groupBy(group.alias("id")).agg(F.sort_array(F.collect_list(F.struct("doc_id", entries.alias("e")))).alias("es"))
+    return rows.select("id", F.concat(F.lit(before), F.array_join(F.flatten(F.transform("es", lambda x: x["e"])), ","), F.lit(after)).alias("body"))
+
+
+@query("""SELECT doc_id // 100 AS session_id, doc_id AS bill_id, CASE WHEN doc_id % 5 = 0 THEN 'again' WHEN doc_id % 7 = 0 THEN NULL ELSE md5(text) END AS change_hash FROM documents WHERE doc_id % 11 <> 0""")
+def master_list(spark, sf):
+    """Master lists to maps: entries with both keys, the last of each id."""
+    k = F.col("doc_id")
+    entry = lambda tag, value: F.concat(F.lit('"'), F.lit(tag), k.cast("string"), F.lit('":'), value)
+    hash_ = F.when(k % 7 == 0, "null").otherwise(F.concat(F.lit('"'), F.md5("text"), F.lit('"')))
+    whole = F.concat(F.lit('{"bill_id":'), k.cast("string"), F.lit(',"change_hash":'), hash_, F.lit("}"))
+    first = F.when(k % 11 == 0, entry("", F.concat(F.lit('{"bill_id":'), k.cast("string"), F.lit("}")))).otherwise(entry("", whole))
+    second = F.when((k % 5 == 0) & (k % 11 != 0), entry("b", F.concat(F.lit('{"bill_id":"'), k.cast("string"), F.lit('","change_hash":"again"}')))).otherwise(entry("n", F.lit("5")))
+    lists = _answer(t(spark, sf, "documents"), F.floor(k / 100), F.array(first, second), '{"masterlist":{"session":{"session_id":1},', "}}")
+    return api.master_rows(lists.withColumnRenamed("id", "session_id"))
+
+
+@query("""SELECT doc_id AS bill_id FROM documents WHERE lang = (SELECT min(lang) FROM documents) AND doc_id % 4 <> 3""")
+def keyed_search(spark, sf):
+    """Entries of keyed searches that are one state's label, whatever the case."""
+    d, k = t(spark, sf, "documents"), F.col("doc_id")
+    label = F.when(k % 4 == 0, "HB1").when(k % 4 == 1, "hb1").when(k % 4 == 2, "Hb1").otherwise("HB2")
+    entry = F.concat(F.lit('"'), k.cast("string"), F.lit('":{"state":"'), F.col("lang"), F.lit('","bill_number":"'), label, F.lit('","bill_id":"'), k.cast("string"), F.lit('"}'))
+    found = _answer(d, F.floor(k / 100), F.array(entry, F.concat(F.lit('"n'), k.cast("string"), F.lit('":3'))), '{"searchresult":{"summary":{"state":"x","bill_number":"HB1"},', "}}")
+    return api.resolve_key(found, (d.agg(F.min("lang")).first()[0] or "").upper(), "hB1")
+
+
+@query("""SELECT doc_id // 100 AS page, row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) - 1 AS ord, doc_id AS bill_id, doc_id % 101 AS relevance FROM documents QUALIFY relevance >= 60""")
+def search_scan(spark, sf):
+    """Raw search answers to rows in their order, above a relevance."""
+    k = F.col("doc_id").cast("string")
+    entry = F.concat(F.lit('{"bill_id":"'), k, F.lit('","relevance":'), (F.col("doc_id") % 101).cast("string"), F.lit("}"))
+    found = _answer(t(spark, sf, "documents"), F.floor(F.col("doc_id") / 100), F.array(entry), '{"searchresult":{"summary":{"count":1},"results":[', "]}}")
+    rows = api.search_rows(found.withColumnRenamed("id", "page"), keep=("page",))
+    return R.valid_ids(R.min_relevance(rows, 60)).select("page", F.col("ord").cast("long").alias("ord"), "bill_id", "relevance")
+
+
+@query("""SELECT doc_id AS bill_id, CASE WHEN doc_id % 6 <> 4 THEN '{"title":"' || md5(text) || '"}' END AS doc, CASE WHEN doc_id % 6 = 4 THEN 'ApiError: no' END AS error FROM documents WHERE doc_id % 6 NOT IN (0, 5)""")
+def document_scan(spark, sf):
+    """Answers to point lookups: empty and missing documents go, failed requests stay with their error."""
+    k = F.col("doc_id") % 6
+    doc = F.concat(F.lit('{"title":"'), F.md5("text"), F.lit('"}'))
+    body = F.when(k == 0, '{"status":"OK"}').when(k == 5, '{"bill":{}}').when(k != 4, F.concat(F.lit('{"status":"OK","bill":'), doc, F.lit("}")))
+    rows = t(spark, sf, "documents").select(F.lit("getBill").alias("operation"), F.col("doc_id").alias("id"), body.alias("body"), F.when(k == 4, "ApiError: no").alias("error"))
+    return api.documents(rows)
+
+
+@query("SELECT doc_id AS id, doc_id + 7 AS text_id, 'text/html' AS mime, md5(text) AS doc FROM documents")
+def text_scan(spark, sf):
+    """Answers with texts of records."""
+    body = F.to_json(F.struct(F.struct((F.col("doc_id") + 7).alias("doc_id"), F.lit("text/html").alias("mime"), F.md5("text").alias("doc")).alias("text")))
+    return api.text_rows(t(spark, sf, "documents").select(F.lit("getBillText").alias("operation"), F.col("doc_id").alias("id"), body.alias("body")))
+
+
+@query("""SELECT count(*) AS rows, count(*) FILTER (doc_id % 5 <> 4) AS requests FROM documents""")
+def request_count(spark, sf):
+    """Answered requests."""
+    k = F.col("doc_id") % 5
+    x = t(spark, sf, "documents").select(F.when(k == 3, "ApiError: no").when(k == 4, "URLError: gone").alias("error"))
+    return spark.createDataFrame([(x.count(), api.requests(x))], "rows long, requests long")
+
+
+@query("""SELECT p_partkey, 'op=getSearch&query=' || replace(url_encode(p_name || ' & ' || p_partkey), '%20', '+') || CASE WHEN p_partkey % 2 = 0 THEN '&state=' || p_partkey ELSE '' END AS parameters FROM part""")
+def request_parameters(spark, sf):
+    """URL-encoded parameters, without those that are null."""
+    k = F.col("p_partkey")
+    text = X.query_text({"op": F.lit("getSearch"), "query": F.concat("p_name", F.lit(" & "), k.cast("string")), "state": F.when(k % 2 == 0, k)})
+    return t(spark, sf, "part").select("p_partkey", text.alias("parameters"))
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS version_date FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1997-03-04'")
+def since_argument(spark, sf):
+    """The lower bound as it comes from the command line."""
+    x = t(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("version_date"))
+    return R.since(x, X.since_day(" 1997-03-04T23:30:00Z "))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') || ' 10:20:30' WHEN 1 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') || ' 08:20:30' END AS at FROM orders""")
+def timestamp_parse(spark, sf):
+    """Instants with a Z, with an offset, and none."""
+    k, day = F.col("o_orderkey") % 3, F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = F.when(k == 0, F.concat(day, F.lit("T10:20:30Z"))).when(k == 1, F.concat(day, F.lit("T10:20:30+02:00"))).otherwise("soon")
+    return t(spark, sf, "orders").select("o_orderkey", F.date_format(X.parse_instant(text), "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+@query("""SELECT doc_id, 'E' || doc_id AS external_id, 'PATCH' AS action, 1 AS rows, 'one' AS change_hash FROM documents WHERE doc_id % 3 = 0
+UNION ALL SELECT doc_id, 'F' || doc_id, 'INSERT', 1, 'two' FROM documents WHERE doc_id % 3 = 0
+UNION ALL SELECT doc_id, 'E' || doc_id, 'INSERT', 2, 'two' FROM documents WHERE doc_id % 3 = 1
+UNION ALL SELECT doc_id, 'E' || doc_id, 'PATCH', 2, 'two' FROM documents WHERE doc_id % 3 = 2""")
+def store_repeated_ids(spark, sf):
+    """A store whose rows repeat each id: an id that was inserted no longer falls back to its external_id."""
+    d, k = t(spark, sf, "documents"), F.col("doc_id")
+    target = _bills(d, "true", F.when(k % 3 == 2, k)).withColumn("external_id", F.concat(F.lit("E"), F.col("bill_number")))
+    e, f = F.concat(F.lit("E"), F.col("bill_number")), F.concat(F.lit("F"), F.col("bill_number"))
+    first = _bills(d, "true", k).withColumn("external_id", F.when(F.col("legiscan_id") % 3 == 0, e).otherwise(f)).withColumn("change_hash", F.lit("one")).withColumn("ord", F.col("legiscan_id") * 2)
+    second = _bills(d, "true", k).withColumn("external_id", F.when(F.col("legiscan_id") % 3 == 0, f).otherwise(e)).withColumn("change_hash", F.lit("two")).withColumn("ord", F.col("legiscan_id") * 2 + 1)
+    plan = U.plan_store(first.unionByName(second), target)
+    return plan.select(F.col("legiscan_id").alias("doc_id"), "external_id", "action", F.col("rows").cast("int").alias("rows"), "change_hash")
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source ELSE md5(text) END AS title, doc_id % 3 = 0 AS hit, NULL::VARCHAR AS full_text FROM documents""")
+def update_by_uuid(spark, sf):
+    """A full update by the record's own id, without its full text (U4)."""
+    return _by_uuid(spark, sf, False)
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source ELSE md5(text) END AS title, doc_id % 3 = 0 AS hit, CASE WHEN doc_id % 3 = 0 THEN md5(text) END AS full_text FROM documents""")
+def update_with_full_text(spark, sf):
+    """The alternate projection of an update, which writes the full text as well."""
+    return _by_uuid(spark, sf, True)
+
+
+def _by_uuid(spark, sf, full: bool) -> DataFrame:
+    d = t(spark, sf, "documents")
+    target = _bills(d, "true", F.col("doc_id"))
+    new = {"id": F.concat(F.lit("u"), F.lpad(F.col("doc_id").cast("string"), 12, "0")), "title": F.col("source"), "full_text": F.md5("text")}
+    patch = d.where("doc_id % 3 = 0").select(*[new.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RECORD])
+    out = U.apply_update(target, patch, F.lit("2024-06-01").cast("timestamp"), key="id", keep_full_text=full)
+    return out.select(F.col("legiscan_id").alias("doc_id"), "title", F.col("updated_at").isNotNull().alias("hit"), "full_text")
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 5 = 1 THEN 'no title' END AS reject_reason FROM documents""")
+def required_values(spark, sf):
+    """Records without a required value are set apart."""
+    x = _bills(t(spark, sf, "documents"), "true", F.col("doc_id")).withColumn("title", F.when(F.col("legiscan_id") % 5 != 1, F.col("title")))
+    return validated(x).select(F.col("legiscan_id").alias("doc_id"), "reject_reason")
+
+
+def _table(spark: SparkSession) -> Snapshots:
+    """A new record table in the folder that driver and executors share; it goes when the session ends."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+    out = Snapshots(spark, f"{root.rstrip('/')}/records-{uuid.uuid4().hex}", buckets=8)
+    fs, hp = out._fs(out.root)
+    fs.mkdirs(hp)
+    fs.deleteOnExit(hp)
+    return out
+
+
+@query("""SELECT doc_id, md5(text) AS title FROM documents WHERE doc_id % 10 <> 3 UNION ALL SELECT doc_id + 1000000000, 'new' FROM documents WHERE doc_id % 4 = 0""")
+def table_append_delete(spark, sf):
+    """A commit, an append and a delete of the record table."""
+    table, d = _table(spark), t(spark, sf, "documents")
+    table.commit(_bills(d, "true", F.col("doc_id")))
+    table.append(_bills(d, "doc_id % 4 = 0", F.col("doc_id") + 1_000_000_000).withColumn("title", F.lit("new")))
+    table.delete((F.col("legiscan_id") % 10 == 3) & (F.col("legiscan_id") < 1_000_000_000))
+    return table.read().select(F.col("legiscan_id").alias("doc_id"), "title")
+
+
+_CHANGED = "doc_id % 20 < 15 AND (doc_id % 4 = 0 OR doc_id % 9 = 0)"
+
+
+@query(f"""SELECT doc_id, CASE WHEN {_CHANGED} THEN 'new ' ELSE '' END || md5(text) AS title, (SELECT count(*) FROM documents WHERE {_CHANGED}) AS tried FROM documents""")
+def sync_run(spark, sf):
+    """A sync of all sessions: changed records are updated in the table, and counted as tried."""
+    table, d, k = _table(spark), t(spark, sf, "documents"), F.col("doc_id")
+    of = F.col("legiscan_id")
+    table.commit(_bills(d, "true", k).withColumn("legiscan_session_id", F.when(of % 20 < 15, of % 20)).withColumn("change_hash", F.when(of % 9 != 0, F.col("change_hash"))))
+    master = d.select((k % 20).alias("session_id"), k.alias("bill_id"), F.when(k % 4 == 0, "changed").otherwise(F.md5("text")).alias("change_hash"))
+    doc = F.to_json(F.struct(k.alias("bill_id"), F.lit("CA").alias("state"), F.lit("HB1").alias("bill_number"), F.concat(F.lit("new "), F.md5("text")).alias("title")))
+    report = P.sync(master, d.select(k.alias("bill_id"), doc.alias("doc")), table, datetime(2024, 6, 1))
+    return table.read().select(F.col("legiscan_id").alias("doc_id"), "title", F.lit(report.count).cast("long").alias("tried"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN 'not fetched: ApiError: no' WHEN doc_id % 6 = 3 THEN 'null state' END AS reject_reason, count(*) FILTER (doc_id % 3 <> 0 AND doc_id % 2 = 0) OVER () AS inserted FROM documents""")
+def ingest_run(spark, sf):
+    """An ingest: new documents are inserted, failed and malformed ones set apart with their reasons."""
+    table, d, k = _table(spark), t(spark, sf, "documents"), F.col("doc_id")
+    table.commit(_bills(d, "doc_id % 3 <> 0 and doc_id % 2 = 1", k))
+    search = d.select(k.alias("ord"), k.cast("string").alias("bill_id"), F.lit(80).alias("relevance"))
+    state = F.when(k % 6 == 3, F.lit(None).cast("string")).otherwise("ca")
+    doc = F.concat(F.lit('{"bill_id":'), k.cast("string"), F.lit(',"bill_number":"HB'), k.cast("string"), F.lit('","title":"T","state":'), F.coalesce(F.concat(F.lit('"'), state, F.lit('"')), F.lit("null")), F.lit("}"))
+    docs = d.select(k.alias("bill_id"), F.when(k % 6 != 0, doc).alias("doc"), F.when(k % 6 == 0, "ApiError: no").alias("error"))
+    report = P.ingest(search, docs, table, datetime(2024, 6, 1))
+    bad = table.rejected().select(F.col("bill_id").alias("doc_id"), "reject_reason")
+    known = table.read().select(F.col("legiscan_id").alias("doc_id"), F.lit(None).cast("string").alias("reject_reason"))
+    return known.unionByName(bad).withColumn("inserted", F.lit(report.count).cast("long"))
