@@ -204,14 +204,28 @@ def judge(url, rules, default="allow"):
     return host, path, (best[0][3] if best and best[2] else None), (best[1] if best else default)
 
 
-def test_url_filter(spark):
+def test_filter_lists(spark, tmp_path):
+    lines = ["! note", "# note", "", "  ||Ads.Example.com^  ", "||a.b/path/x", "@@||a.b/path/x/y", "/banner[0-9]+/", "/open", "||c.d/p$[?]id=[0-9]+", "no rule", "||e.f"]
+    (tmp_path / "list.txt").write_text("\n".join(lines))
+    got = [tuple(r) for r in url_filter.load_rules(spark, f"file://{tmp_path}/list.txt").collect()]
+    assert got == [
+        ("ads.example.com", "", None, "block", False), ("a.b", "/path/x", None, "block", False), ("a.b", "/path/x/y", None, "allow", False), ("", "", "banner[0-9]+", "block", False),
+        ("", "", "open", "block", False), ("c.d", "/p", "[?]id=[0-9]+", "block", False), ("e.f", "", None, "block", False),
+    ]
+    own = url_filter.contract_rules(spark).where("not base").collect()
+    assert sorted(map(repr, map(tuple, own))) == sorted(map(repr, url_filter.own_rules())) and len(own) == len([x for x in url_filter.OWN_LIST.splitlines() if x])
+
+
+@pytest.mark.parametrize("block", [1, 200])
+def test_url_filter(spark, monkeypatch, block):
     urls = [
         None, "", "no scheme", "http://example.org", "http://example.org/", "http://A.EXAMPLE.ORG/es/1", "http://example.org/en/1", "http://example.org/en/12", "http://example.org/en/2", "http://x.com/fr/1?utm_source=feed", "http://x.com/de/1#a", "http://notexample.org/es/", "http://example.organ/es/",
         "http://a.b/c://d.org/e", "ftp://spam-farm.example.net/x", "http://q.example.net/x?utm_source=feed", "http://q.example.net?utm_source=feed", "http://host:80/p", "http://org/", "://org/x", "http://x.com/" + "a/" * 5000, "http://é.org/é",
     ]
-    rules = url_filter.BASE_RULES + url_filter.PATTERN_RULES + [("", "", r"casino[0-9]+", "block", False)]
-    urls += ["http://casino77.info/a", "http://casino.info/a"]
+    rules = url_filter.BASE_RULES + url_filter.own_rules() + [("", "", r"casino[0-9]+", "block", False), ("", "/x", None, "block", False), ("spam.example.net", "", None, "block", False), ("example.net", "/", r"[?&]utm_source=[a-z]+", "block", False)]
+    urls += ["http://casino77.info/a", "http://casino.info/a", "http://a.b/xyz", "http://ad.DoubleClick.net/x", "http://en.wikipedia.org/wiki/Cat", "http://en.wikipedia.org/wiki/Special:Random", "http://en.wikipedia.org/w/index.php?title=Cat&action=edit", "https://shop.x/cart?x=1", "https://shop.x/cartoon", "https://x.y/z?phpsessid=12"]
     df = spark.createDataFrame([(i if i else None, u) for i, u in enumerate(urls)] + [(5, urls[5])], "page_id long, url string").withColumn("host", F.lit(0)).withColumn("tokens", F.lit(0))
+    monkeypatch.setattr(url_filter, "BLOCK", block)
     got = url_filter.judge(df, spark.createDataFrame(rules, url_filter.RULE_SCHEMA)).collect()
     want = [(i if i else None, *judge(u, rules)) for i, u in enumerate(urls)] + [(5, *judge(urls[5], rules))]
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
@@ -303,7 +317,7 @@ def test_em_finds_bad_labellers():
     assert post[(1, 1, 0)] > 0.9 and post[(0, 0, 1)] < 0.3
 
 
-@pytest.mark.parametrize("name", ["op6_secrets", "op7_exact_dedup", "op8_chat", "op9_url_filter"])
+@pytest.mark.parametrize("name", ["op1_ngram_join", "op6_secrets", "op7_exact_dedup", "op8_chat", "op9_url_filter", "op10_html_text"])
 def test_queries_equal_sql(spark, name):
     import os
 

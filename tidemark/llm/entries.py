@@ -86,4 +86,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_exact_dedup": exact_dedup.ORACLE,
         "op8_chat": chat.ORACLE,
         "op9_url_filter": url_filter.oracle(),
+        "op10_html_text": html_text.ORACLE,
     }

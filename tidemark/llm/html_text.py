@@ -231,3 +231,12 @@ def extract(pages: DataFrame) -> DataFrame:
 
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+
+
+#: The query in DuckDB's SQL, for pages of one article each, of headings and paragraphs, as those of the supplied tables are.
+ORACLE = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*?)</article>', 1) AS h FROM pages),
+b AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(h, '(?:[ \t\r\n]|<br[^>]*>)+', ' ', 'g'), '</?(?:p|h[1-6]|ul|ol|li|div|section)(?: [^>]*)?>', chr(10), 'g'), '<[^>]*>', '', 'g') AS t FROM a),
+c AS (SELECT page_id, url, regexp_replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g') AS t FROM b),
+d AS (SELECT page_id, url, array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(regexp_replace(x, ' +', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text FROM c)
+SELECT page_id, url, text, length(text) AS n_chars FROM d"""
