@@ -12,7 +12,7 @@ item is one window of all its tokens, and documents have windows of each such it
 that a short item is found anywhere in a text. An item of one token is found in every document that holds it.
 
 Windows of benchmark and documents are equi-joined by hash. A bitmap of fixed size (``BITMAP_BITS``) of the benchmark's windows is
-broadcast first, so that few other windows are shuffled. A match carries the fillers of its slots. Matches of one
+broadcast first, so that few other windows are shuffled. Pairs come from each item's rarest windows only, as many as a match can't do without. A match carries the fillers of its slots. Matches of one
 document and item at one shift are an occurrence; it is consistent if each filler of the item stands for one filler of the
 document throughout. A document is contaminated by an item if consistent occurrences cover at least half of the item's
 template windows or of its windows of ``WINDOW`` tokens, or ``ENOUGH`` of either; the better of the two covers is reported.
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel as K
@@ -269,21 +269,40 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     sizes = bench.groupBy("item").agg(F.countDistinct(exact).alias("n0"), F.countDistinct(template).alias("n1"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"), F.col("text").cast("string").alias("text"))
     hits = texts.mapInArrow(trimmed(_doc_rows(bitmap, lengths)), "doc long, h long, w long, doc_at long, doc_slots array<long>")
+    hits = ws.put(hits.select(F.struct("doc", "h").alias("d"), "w", "doc_at", "doc_slots"), "hits")
+    bitmap.destroy()
+    pairs = ws.put(_candidates(hits, bench), "pairs")
     fixed = F.transform("item_fixed", lambda x: F.struct(x.alias("item_slots"), x.alias("doc_slots")))
-    met = hits.join(bench, "w").select("doc", "h", "item", (F.col("doc_at") - F.col("item_at")).alias("shift"), "item_at", "cover", "need", F.concat(F.arrays_zip("item_slots", "doc_slots"), fixed).alias("pairs"))
-    found = met.groupBy("doc", "h", "item", "shift").agg(F.collect_set(exact).alias("p0"), F.collect_set(template).alias("p1"), F.max("need").alias("need"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    met = hits.join(pairs, "d").join(bench, ["item", "w"])
+    met = met.select("d", "item", (F.col("doc_at") - F.col("item_at")).alias("shift"), "item_at", "cover", "need", F.concat(F.arrays_zip("item_slots", "doc_slots"), fixed).alias("pairs"))
+    found = met.groupBy("d", "item", "shift").agg(F.collect_set(exact).alias("p0"), F.collect_set(template).alias("p1"), F.max("need").alias("need"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     fillers = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
     found = found.where(F.size("pairs") == fillers).withColumn("p1", F.when(F.size("p1") >= F.col("need"), F.col("p1")))
     count = lambda p: F.size(F.array_distinct(F.flatten(F.collect_set(p)))).cast("long")
-    whole = found.groupBy("doc", "h", "item").agg(count("p0").alias("m0"), count("p1").alias("m1")).join(sizes, "item")
+    whole = found.groupBy("d", "item").agg(count("p0").alias("m0"), count("p1").alias("m1")).join(sizes, "item")
 
     def cover(m, n):
         m, n = F.col(m), F.col(n)
         return F.struct(((n > 0) & (m > 0) & ((m * 2 >= n) | (m >= ENOUGH))).alias("enough"), F.when(n > 0, m / n).otherwise(0.0).alias("coverage"), m.alias("matched"), n.alias("windows"))
 
-    best = whole.select("doc", "h", "item", F.greatest(cover("m0", "n0"), cover("m1", "n1")).alias("c")).where("c.enough")
-    best = best.join(items.select("item", "item_id"), "item").groupBy(F.col("doc").alias("doc_id"), F.col("h").alias("text_hash"), "item_id").agg(F.max("c").alias("c"))
+    best = whole.select("d", "item", F.greatest(cover("m0", "n0"), cover("m1", "n1")).alias("c")).where("c.enough")
+    best = best.join(items.select("item", "item_id"), "item").groupBy(F.col("d.doc").alias("doc_id"), F.col("d.h").alias("text_hash"), "item_id").agg(F.max("c").alias("c"))
     out = ws.put(best.select("doc_id", "item_id", "c.matched", "c.windows", "c.coverage", "text_hash"), "result")
-    bitmap.destroy()
     ws.keep("result")
     return out
+
+
+def _candidates(hits: DataFrame, bench: DataFrame) -> DataFrame:
+    """(d, item): pairs of a document and an item that may match. A match holds ``min(half, ENOUGH)`` of an item's n windows of either kind, so one at least of any n + 1
+    less these; those that the fewest documents' windows meet are taken. A template that very many items and documents share is so left out unless an item has little else."""
+    seen = hits.groupBy("w").agg(F.count("*").alias("f"))
+    probes = None
+    for bit in (1, 2):
+        spots = bench.where(F.col("cover").bitwiseAND(bit) > 0).join(seen, "w", "left").groupBy("item", "item_at").agg(F.sum(F.coalesce("f", F.lit(0))).alias("f"))
+        every = Window.partitionBy("item")
+        n = F.count("*").over(every)
+        spots = spots.withColumn("most", n - F.least(F.ceil(n / 2), F.lit(ENOUGH)) + 1).withColumn("rank", F.row_number().over(every.orderBy("f", "item_at")))
+        few = spots.where("rank <= most").select("item", "item_at", F.lit(bit).alias("bit"))
+        probes = few if probes is None else probes.union(few)
+    probes = bench.join(probes, ["item", "item_at"]).where(F.col("cover").bitwiseAND(F.col("bit")) > 0).select("w", "item").distinct()
+    return hits.select("d", "w").distinct().join(probes, "w").select("d", "item").distinct()
