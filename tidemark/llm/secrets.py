@@ -258,7 +258,9 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             found.append(F.when(due, find(F.col("text"), r)).otherwise(empty))
         else:
             found.append(F.when(F.col("text").rlike(r.regex), find(F.col("text"), r)).otherwise(empty))
-    return joined.select("doc_id", F.array_sort(F.concat(*found)).alias("spans"))
+    out = ws.put(joined.select("doc_id", F.array_sort(F.concat(*found)).alias("spans")), "result")
+    ws.keep("result")
+    return out
 
 
 def digest(found: DataFrame) -> DataFrame:
