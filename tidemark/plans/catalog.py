@@ -415,6 +415,21 @@ def near_match(spark, sf):
     return d.where(N.near(F.col("text"), _NEAR, 3)).select("doc_id")
 
 
+_ONE = ", ".join(str(i) for i, c in enumerate(N.parse_query(N.STANDING_QUERY)) if len(c) == 1)
+
+
+@query(f"""SELECT doc_id FROM documents WHERE doc_id % 50 < 48 AND ((doc_id // 50) % 4 <> 2 OR doc_id % 50 IN ({_ONE}))""")
+def near_standing(spark, sf):
+    """The standing query's 48 clauses: each with its terms near, the other way round, too far apart, and as beginnings of words."""
+    far = " ".join(f"w{i}" for i in range(12))
+    ways = [lambda c: " the ".join(c), lambda c: ", so ".join(reversed(c)), lambda c: f" {far} ".join(c), lambda c: " ".join(x.upper() + "s" for x in c)]
+    rows = [(k, v, way(c)) for k, c in enumerate(N.parse_query(N.STANDING_QUERY)) for v, way in enumerate(ways)]
+    said = spark.createDataFrame(rows, "k int, v int, phrase string")
+    d = t(spark, sf, "documents").select("doc_id", "source", (F.col("doc_id") % 50).cast("int").alias("k"), (F.floor(F.col("doc_id") / 50) % 4).cast("int").alias("v"))
+    text = F.concat_ws(" ", F.coalesce("source", F.lit("")), "phrase", F.lit("end"))
+    return d.join(F.broadcast(said), ["k", "v"], "left").where(N.near(text, N.STANDING_QUERY)).select("doc_id")
+
+
 def _answer(d: DataFrame, group, entries, before: str, after: str) -> DataFrame:
     """(id, body): answers that hold the entries, JSON texts in the order of doc_id, of each group of rows."""
     rows = d.groupBy(group.alias("id")).agg(F.sort_array(F.collect_list(F.struct("doc_id", entries.alias("e")))).alias("es"))
