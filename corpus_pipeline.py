@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, mixing, ngram_join, quality, token_store
-from tidemark.llm.common import Workspace, table
+from tidemark.llm.common import Workspace, rest, table, without
 from tidemark.llm.entries import tokenizer_file
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,24 +24,19 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
+    rest(spark)
     return _documents(quality.scores(_documents(docs), table(spark, sf_dir, "labels")).where("kept"))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a key of each row, (doc_id, hash of the text): rows of one key are copies of each other."""
-    return docs.withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
-
-
 def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose key is not in ``keys`` (doc_id, text_hash), rows without an id too."""
-    keyed = _keyed(docs)
-    gone = (keyed["key"]["doc_id"].eqNullSafe(keys["doc_id"])) & (keyed["key"]["text_hash"] == keys["text_hash"])
-    return _documents(keyed.join(keys, gone, "left_anti"))
+    """Rows whose (doc_id, hash of the text) is not in ``keys``, rows without an id too; rows of one key are copies of each other."""
+    return without(docs, lambda: [F.col("doc_id"), F.xxhash64("text")], keys, lambda: [F.col("doc_id"), F.col("text_hash")])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of documents whose 5-word shingles have a Jaccard similarity of 0.8 or more: the one of the smallest id (none
     counts as largest), then of the smallest text hash. Rows of one id and different texts are different documents; documents without words have no partner and stay."""
+    rest(spark)
     docs = _documents(docs)
     ws = Workspace(spark, "near_duplicates")
     found = ngram_join.jaccard_components(docs, k=5, percent=80).where("component is not null")
@@ -53,40 +48,27 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     again = ws.put(again, "again")
     if again.isEmpty():
         return kept
-    keyed = _keyed(kept)
-    twice = keyed.join(again, keyed["key"]["doc_id"].eqNullSafe(again["doc_id"]) & (keyed["key"]["text_hash"] == again["text_hash"]), "left_semi")
-    return _without(kept, again).unionByName(_documents(twice.dropDuplicates(["key"])))
+    keyed = kept.withColumn("h", F.xxhash64("text"))
+    twice = keyed.join(again.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("text_hash")), "left_semi")
+    return _without(kept, again).unionByName(_documents(twice.dropDuplicates(["doc_id", "h"])))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    rest(spark)
     docs = _documents(docs)
     return _without(docs, decontaminate.matches(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "text_hash").distinct())
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of the mix, as often as it takes them. Rows of one id and text are taken as often as all of them together."""
-    docs = _documents(docs)
-    ws = Workspace(spark, "mixing")
-    times = F.sum(F.round(F.col("taken") / F.col("size"))).cast("int").alias("times")
-    taken = mixing.mix(docs).where("size > 0").groupBy("doc_id", "text_hash").agg(times, F.count("*").alias("n")).where("times > 0")
-    taken = ws.put(taken, "times")
-    keyed = _keyed(docs)
-
-    def taken_of(of: DataFrame) -> DataFrame:
-        of = of.select(F.col("doc_id").alias("taken_id"), "text_hash", "times")
-        return keyed.join(of, keyed["key"]["doc_id"].eqNullSafe(of["taken_id"]) & (keyed["key"]["text_hash"] == of["text_hash"]))
-
-    def copies(rows: DataFrame) -> DataFrame:
-        return _documents(rows.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("times")))))
-
-    again = taken.where("n > 1")
-    once = copies(taken_of(taken.where("n = 1")))
-    return once if again.isEmpty() else once.unionByName(copies(taken_of(again).dropDuplicates(["key"])))
+    """Documents of the mix, as often as it takes them."""
+    rest(spark)
+    return _documents(mixing.repeated(_documents(docs)))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix; returns each document's place and checksum as read back from them."""
+    rest(spark)
     return token_store.encode_documents(docs, tokenizer_file())
 
 

@@ -8,7 +8,9 @@ import pytest
 
 from tests.llm import brute_templates
 from tests.llm.data import DOCS, frame, odd_rows
-from tidemark.llm import decontaminate, exact_dedup, mixing, ngram_join, token_store
+from pyspark.sql import functions as F
+
+from tidemark.llm import common, decontaminate, exact_dedup, mixing, ngram_join, token_store
 from tidemark.llm.common import Workspace
 from tidemark.llm.graph import components
 
@@ -220,6 +222,39 @@ def test_mix_takes_what_brute_force_takes(spark, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("seed", [2, 9, 31])
+def test_rows_of_the_mix(spark, monkeypatch, seed):
+    """The repeated rows are those that the mix takes, also where the last key's row stands many times."""
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    rows = odd_rows(seed, 120) + [(77, "one row many times over", "d")] * 40 + [(78, "a b", "d")] * (seed % 3) + [(None, "x y z", "e")] * 9 + [(8000 + i, "w " * 40, "f") for i in range(90)]
+    df = frame(spark, rows)
+    want, got = {}, {}
+    for r in mixing.mix(df).collect():
+        if r["size"]:
+            k = (r.doc_id, r.source, r.text_hash)
+            want[k] = want.get(k, 0) + r.taken // r["size"]
+    out = mixing.repeated(df)
+    assert out.columns == df.columns
+    for r in out.select("doc_id", "source", F.xxhash64("text").alias("h")).collect():
+        k = (r.doc_id, r.source, r.h)
+        got[k] = got.get(k, 0) + 1
+    assert got == {k: n for k, n in want.items() if n}
+    assert mixing.repeated(df.limit(0)).count() == 0
+
+
+def test_rows_that_go(spark, monkeypatch):
+    rows = [(i if i % 7 else None, f"t{i % 40}", "a") for i in range(400)]
+    df = frame(spark, rows)
+    gone = spark.createDataFrame([(r[0], r[1]) for r in rows[::3]] + [(None, "t35"), (5, None), (None, "other")], "id long, t string")
+    left = {(r[0], r[1]) for r in rows} - {tuple(r) for r in gone.collect()}
+    for bits in (15, 16, 24):
+        monkeypatch.setattr(common, "MAYBE_BITS", bits)
+        got = common.without(df, lambda: [F.col("doc_id"), F.col("text")], gone, lambda: [F.col("id"), F.col("t")])
+        assert got.columns == df.columns
+        assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted((i or 0, t) for i, t, _ in rows if (i, t) in left)
+        assert common.without(df, lambda: [F.col("doc_id")], gone.limit(0), lambda: [F.col("id")]).count() == 400
+
+
 def test_mix_prefers_quality(spark):
     rows = [(i, ("good words " if i % 2 else "!! ?? ") * 10, "a") for i in range(2000)] + [(10_000, "word " * 200_000, "b")]
     got = mixing.mix(frame(spark, rows), weights=(1, 20)).where("source = 'a'").collect()
@@ -477,6 +512,25 @@ def test_exact_dedup(spark, tmp_path):
             assert not r.kept or r.doc_id == r.keep_id
 
 
+def test_exact_dedup_goes_on_from_its_state(spark, tmp_path):
+    """A second call reads new files only, and the result is that of all rows; hot digests are joined apart."""
+    src, state = str(tmp_path / "docs.parquet"), f"file://{tmp_path}/state"
+    old, new = [(i, f"text {i % 30}", "a") for i in range(90)], [(i, f"text {i % 37}", "b") for i in range(-3, 60)]
+    frame(spark, old).write.parquet(src)
+    one = exact_dedup.dedup(spark, src, state=state).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in one) == [(i, i % 30, 3, i < 30) for i in range(90)]
+    frame(spark, new).write.mode("append").parquet(src)
+    got = exact_dedup.dedup(spark, src, state=state).collect()
+    groups = {}
+    for i, t, _ in old + new:
+        groups.setdefault(t, []).append(i)
+    of = {i: t for i, t, _ in new}
+    want = sorted((min(v), len(v)) for v in groups.values() for _ in v)
+    assert sorted((r.keep_id, r.group_size) for r in got) == want and sum(r.kept for r in got) == len(groups) and -3 in of
+    assert all(r.doc_id == r.keep_id for r in got if r.kept)
+    assert exact_dedup.dedup(spark, src, state=state).count() == len(old) + len(new)
+
+
 def test_exact_dedup_checks_full_bytes(spark, tmp_path, monkeypatch):
     """With a digest that collides, texts are still told apart."""
     from pyspark.sql import functions as F

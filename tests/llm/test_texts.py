@@ -64,6 +64,17 @@ def test_html_ratios_decide():
     assert html_text.main_text("") == html_text.main_text("<br>") == ""
 
 
+def test_html_ties_and_clashing_names(spark):
+    p = "<p>" + "Equal text in equal regions. " * 9 + "</p>"
+    one = f"<div>{p}</div><div>{p}</div><div>{p}</div>"
+    assert html_text.main_text(one).count("\n") == 2 and html_text.main_text(f"<article>{p}</article>" * 3).count("\n") == 2
+    df = spark.createDataFrame([(1, "u", one), (1, "u", one)], "page_id long, url string, html string")
+    for c in ("text", "n_chars", "lines", "region", "ratio", "kind", "tags"):
+        df = df.withColumn(c, F.lit(None).cast("string"))
+    rows = html_text.extract(df).collect()
+    assert [tuple(r) for r in rows] == [(1, "u", html_text.main_text(one), len(html_text.main_text(one)))] * 2
+
+
 def test_html_threshold_matters():
     p = "<p>" + "Running text with many words. " * 12 + "</p>"
     page = f"<div>{p * 4}</div><div><b>Half</b> <i>a</i> <b>line</b> <i>of</i> <b>text</b> and then somewhat more of it</div>"

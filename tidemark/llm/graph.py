@@ -35,13 +35,13 @@ def components(ws: Workspace, edges: DataFrame, name: str = "cc") -> DataFrame:
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         f"{name}0",
     )
-    old, i = None, 0
+    old, i = None, 0  # a round never has more edges than the one before
     while True:
         stat = tuple(cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if stat == old or stat[0] == 0:
             break
         old, i = stat, i + 1
-        cur = ws.put(_star(_star(cur, True), False), f"{name}{i}")
+        cur = ws.put(_star(_star(cur, True), False), f"{name}{i}", 2 * stat[0])
         ws.drop(f"{name}{i - 1}")
     roots = cur.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
     return cur.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)

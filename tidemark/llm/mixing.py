@@ -35,14 +35,19 @@ _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 
 
 def measure(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """(doc_id, h, source, size, weight, rank): text hash, words, quality weight and sampling key of every row.
+    """(doc_id, h, source, size, rank): text hash, words and sampling key of every row."""
+    return measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")), seed)
+
+
+def measured(rows: DataFrame, seed: int) -> DataFrame:
+    """(..., doc_id, h, source, size, rank) of rows (..., doc_id, h, source, text).
 
     The weight is 1 less four times the share of bytes in words that are neither letters nor digits, 0.05 at least.
     """
 
     def run(batches):
         for batch in batches:
-            raw, off = text_buffers(batch.column(3))
+            raw, off = text_buffers(batch.column(front + 3))
             sizes, weights = [], []
             for a, b in blocks(off):
                 part, own = raw[off[a] : off[b]], off[a : b + 1] - off[a]
@@ -54,17 +59,18 @@ def measure(docs: DataFrame, seed: int = SEED) -> DataFrame:
                 weights.append(np.maximum(0.05, 1 - 4 * (all_ - good) / np.maximum(all_, 1)))
             if not sizes:
                 continue
-            ids = np.asarray(batch.column(0).fill_null(0)).astype(np.int64).view(np.uint64)
-            own = K.mix(ids + K.U(1)) + np.asarray(batch.column(1)).view(np.uint64) * K.MULT[55]
+            ids = np.asarray(batch.column(front).fill_null(0)).astype(np.int64).view(np.uint64)
+            own = K.mix(ids + K.U(1)) + np.asarray(batch.column(front + 1)).view(np.uint64) * K.MULT[55]
             u = ((K.mix(own ^ K.U(int(K.MULT[60]) * seed % 2**64)) >> K.U(11)).astype(np.float64) + 0.5) / 2.0**53
             w = np.concatenate(weights)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(np.concatenate(sizes), pa.int64()), pa.array(w), pa.array(-np.log(u) / w)],
-                ["doc_id", "h", "source", "size", "weight", "rank"],
-            )
+            columns = [*batch.columns[: front + 3], pa.array(np.concatenate(sizes), pa.int64()), pa.array(-np.log(u) / w)]
+            yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
+
+    from pyspark.sql import types as T
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"), F.col("source").cast("string"), F.col("text").cast("string"))
-    return rows.mapInArrow(trimmed(run), "doc_id long, h long, source string, size long, weight double, rank double")
+    front = len(rows.columns) - 4
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("size", T.LongType()), T.StructField("rank", T.DoubleType())])
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -90,10 +96,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return x.withColumn("target", F.least("cap", F.coalesce(F.col("level") * F.col("w"), F.col("cap")))).drop("w", "cap", "total", "left", "open_w", "level", "at")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, text_hash) for every row of ``docs`` (doc_id, source, text)."""
-    ws = Workspace(docs.sparkSession, "mix")
-    rows = ws.put(measure(docs, seed), "rows")
+def _ordered(rows: DataFrame, ws: Workspace, weights: tuple[int, ...], share: float, most: float) -> DataFrame:
+    """Groups of equal rows of ``measure`` in the order of their source: with n, the words before them, and the source's epochs and rest."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = ws.put(targets(sizes, weights, share, most), "plan")
     key = [F.col("source").isNull().alias("no"), F.coalesce("source", F.lit("")).alias("name")]
@@ -107,13 +111,48 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     own = F.col("size") * F.col("n")
     inside = Window.partitionBy("no", "name", "bucket").orderBy("rank", "doc_id", "size", "h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = equal.withColumn("inside", F.sum(own).over(inside) - own).join(sums, ["no", "name", "bucket"])
+    x = x.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)))
+    return x.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")).withColumn("ahead", F.col("before") + F.col("inside"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = SEED) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, text_hash) for every row of ``docs`` (doc_id, source, text)."""
+    ws = Workspace(docs.sparkSession, "mix")
+    x = _ordered(ws.put(measure(docs, seed), "rows"), ws, weights, share, most)
     x = x.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))))
     x = x.withColumn("copy", F.explode(F.sequence(F.col("lot") * COPIES, F.least(F.col("n"), (F.col("lot") + 1) * COPIES) - 1)))
-    x = x.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)))
-    x = x.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    ahead = F.col("before") + F.col("inside") + F.col("copy") * F.col("size")
-    x = x.withColumn("more", F.when(F.col("rest") - ahead >= F.col("size") / 2, F.col("size")).otherwise(F.lit(0)))
+    x = x.withColumn("more", F.when(F.col("rest") - (F.col("ahead") + F.col("copy") * F.col("size")) >= F.col("size") / 2, F.col("size")).otherwise(F.lit(0)))
     taken = (F.col("epochs") * F.col("size") + F.col("more")).cast("long")
     out = ws.put(x.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), F.col("h").alias("text_hash")), "result")
     ws.keep("result")
     return out
+
+
+def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = SEED) -> DataFrame:
+    """The rows of the mix: every row of ``docs`` with words, as often as ``mix`` takes it.
+
+    Rows that are taken once more are those up to one key of each source, as no row behind one that does not fit is taken. So texts are not
+    shuffled: each row is compared with its source's last key, one row for each source, where it lies. Only if that key's row stands
+    several times, these are told out by their number.
+    """
+    ws = Workspace(docs.sparkSession, "mix")
+    x = _ordered(ws.put(measure(docs, seed), "rows"), ws, weights, share, most).where("size > 0")
+    # of the n equal rows of a group, so many fit
+    fit = F.least(F.col("n"), F.greatest(F.lit(0), F.floor((F.col("rest") - F.col("ahead")) / F.col("size") + 0.5)))
+    x = x.withColumn("fit", fit.cast("long"))
+    order = F.struct("rank", F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id"), "size", "h")
+    last = x.groupBy("source").agg(F.first("epochs").cast("int").alias("epochs"), F.max(F.when(F.col("fit") > 0, F.struct(order.alias("key"), "fit", "n"))).alias("last"))
+    last = ws.put(last.select(F.col("source").alias("of"), "epochs", F.col("last.key").alias("last"), F.col("last.fit").alias("fit"), F.col("last.n").alias("n")), "last")
+    names = docs.columns
+    every = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
+    met = measured(every, seed).where("size > 0").withColumn("key", order)
+    met = met.join(last, F.col("source").eqNullSafe(F.col("of")))
+    split = F.coalesce((F.col("key") == F.col("last")) & (F.col("n") > 1), F.lit(False))
+    times = F.col("epochs") + F.coalesce((F.col("key") <= F.col("last")).cast("int"), F.lit(0))
+    out = met.where(~split).select("row.*", F.explode(F.array_repeat(F.lit(1), times)).alias("_copy")).drop("_copy")
+    if not last.where("n > 1").isEmpty():
+        many = met.where(split).dropDuplicates(["source", "key"]).withColumn("all", F.col("epochs") * F.col("n") + F.col("fit"))
+        many = many.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("all") - 1) / COPIES))))
+        many = many.withColumn("_copy", F.explode(F.sequence(F.col("lot") * COPIES, F.least(F.col("all"), (F.col("lot") + 1) * COPIES) - 1)))
+        out = out.unionByName(many.select("row.*"))
+    return out

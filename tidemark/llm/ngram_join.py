@@ -250,9 +250,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     large = posts.where(f"members > {SMALL_LIST}").select("sig", "rep", "n")
     degree = large.groupBy("rep").agg(F.count("*").alias("degree"))
     large = ws.put(large.join(degree, "rep").join(bits, "rep").select("sig", "rep", "n", "degree", *BITS), "large0")
+    most = large.count()  # no later table of members of long lists has more rows
     ws.drop("posts")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(large.select("rep")).distinct()
     wanted = ws.put(wanted.join(classes.select("rep", "who"), "rep").select("rep", "who.doc_id", "who.h", _row_key("who.doc_id", "who.h").alias("key")), "wanted")
+    nodes = wanted.count()  # nor any of components
     bitmap = spark.sparkContext.broadcast(hash_bitmap(wanted, "key", WANTED_BITS))
     sets = _set_table(rows, k, bitmap).withColumnsRenamed({"doc_id": "doc_id2", "h": "h2"})
     sets = sets.join(wanted, F.col("doc_id2").eqNullSafe(F.col("doc_id")) & (F.col("h2") == F.col("h"))).groupBy(F.col("rep").alias("id")).agg(F.first("items").alias("items"))
@@ -266,17 +268,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
             met = large.join(_first_pivots(large), "sig").where(near & (F.col("rep") != F.col("pivot")))
             met = pairs.union(_ordered(met))
         else:
-            large = ws.put(_open(large, comp), f"large{rnd}")
+            large = ws.put(_open(large, comp), f"large{rnd}", most)
             ws.drop(f"large{rnd - 1}")
             if large.isEmpty():
                 break
-            pivots = ws.put(_pivots(large), "pivots")
+            pivots = ws.put(_pivots(large), "pivots", most)
             met = _met(large, pivots, near)
         found = ws.put(_verify(met.distinct(), sets, percent), "links")
         if rnd:
-            large = ws.put(large.select("sig", "rep", "n", "degree", *BITS).join(pivots.select("sig", "rep"), ["sig", "rep"], "left_anti"), f"rest{rnd}")
+            large = ws.put(large.select("sig", "rep", "n", "degree", *BITS).join(pivots.select("sig", "rep"), ["sig", "rep"], "left_anti"), f"rest{rnd}", most)
             ws.drop(f"rest{rnd - 1}" if rnd > 1 else "pairs")
-        new = ws.put(_merge(ws, comp, found, rnd), f"comp{rnd}")
+        new = ws.put(_merge(ws, comp, found, rnd, nodes), f"comp{rnd}", nodes)
         ws.drop("links", f"comp{rnd - 1}")
         comp = new
 
@@ -298,13 +300,13 @@ def _ordered(met: DataFrame) -> DataFrame:
     return met.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
 
 
-def _merge(ws: Workspace, comp: DataFrame | None, links: DataFrame, rnd: int) -> DataFrame:
+def _merge(ws: Workspace, comp: DataFrame | None, links: DataFrame, rnd: int, nodes: int) -> DataFrame:
     """(id, component) after new links: they join components that are known by now, so each round's graph holds only what it has found."""
     if comp is None:
         return components(ws, links, f"cc{rnd}_")
     a, b = (comp.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b"))
     edges = links.join(a, "a", "left").join(b, "b", "left").select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
-    moved = ws.put(components(ws, edges.select(F.col("ca").alias("a"), F.col("cb").alias("b")), f"cc{rnd}_"), f"moved{rnd}")
+    moved = ws.put(components(ws, edges.select(F.col("ca").alias("a"), F.col("cb").alias("b")), f"cc{rnd}_"), f"moved{rnd}", nodes)
     moved = moved.select(F.col("component").alias("to"), F.col("id").alias("component"))
     every = comp.union(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(comp, "id", "left_anti").select("id", F.col("id").alias("component")))
     return every.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel as K
-from tidemark.llm.common import Workspace, blocks, text_buffers, trimmed
+from tidemark.llm.common import Workspace, blocks, give_back, text_buffers, trimmed
 
 SAMPLE = 4000
 SAMPLE_BYTES = 64 << 20
@@ -103,18 +103,12 @@ class Features:
         return [np.where(x == 0, (1 << HASH_BITS) - 1, (K.mix(x ^ K.MULT[30 + i]) >> U(64 - HASH_BITS)).astype(np.int64)) for i, x in enumerate(self.columns)]
 
 
-def learn_stems(features: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """Words and stems that a share ``COMMON`` of the sample's toxic documents hold, 5 at least, and (nearly) no other; ``features`` are distinct and sorted."""
-    if not toxic.any():
-        return np.zeros(0, U)
-    x, n = np.unique(np.concatenate([p for p, t in zip(features, toxic) if t]), return_counts=True)
-    often = n >= max(5, COMMON * toxic.sum())
-    x, n = x[often], n[often]
-    clean = np.zeros(len(x), np.int64)
-    for p, t in zip(features, toxic):
-        if not t:
-            clean[np.searchsorted(x, p[_among(p, x)])] += 1
-    return x[(clean * 50 <= n) & (x != 0)]
+def learn_stems(rows: DataFrame) -> np.ndarray:
+    """Words and stems that a share ``COMMON`` of the sample's toxic documents hold, 5 at least, and (nearly) no other; ``rows`` (toxic, words) have distinct ones."""
+    toxic = rows.agg(F.sum(F.greatest("toxic", F.lit(0)))).first()[0] or 0
+    each = rows.select("toxic", F.explode("words").alias("word")).where("word <> 0").groupBy("word").agg(F.sum((F.col("toxic") > 0).cast("int")).alias("n"), F.sum((F.col("toxic") <= 0).cast("int")).alias("clean"))
+    found = each.where((F.col("n") >= max(5, COMMON * toxic)) & (F.col("clean") * 50 <= F.col("n"))).select("word").collect()  # few: each is common
+    return np.sort(np.array([r["word"] for r in found], np.int64).view(U))
 
 
 def fit_votes(patterns: dict[tuple, int], rounds: int = 200) -> tuple[dict[tuple, float], np.ndarray]:
@@ -143,7 +137,8 @@ def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], dense: np.ndarray, y:
     """Weights of the hashed features, of the dense ones, and the intercept, by full-batch Adam on soft labels."""
     nnz = [len(i) for i, _ in rows]
     idx, val = np.concatenate([i for i, _ in rows]), np.concatenate([x for _, x in rows])
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), nnz)
+    rows.clear()
+    row = np.repeat(np.arange(len(nnz), dtype=np.int32), nnz)
     live = np.flatnonzero(np.bincount(idx, minlength=1 << HASH_BITS))
     spot = np.zeros(1 << HASH_BITS, np.int32)
     spot[live] = np.arange(len(live))
@@ -152,7 +147,7 @@ def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], dense: np.ndarray, y:
     w = np.zeros(len(live) + d.shape[1])
     m1, m2 = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, EPOCHS + 1):
-        z = np.bincount(row, val * w[idx], len(rows)) + d @ w[len(live) :]
+        z = np.bincount(row, val * w[idx], len(y)) + d @ w[len(live) :]
         err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
         g = np.concatenate([np.bincount(idx, val * err[row], len(live)), d.T @ err]) 
         g[: len(live)] += RIDGE * w[: len(live)]
@@ -231,15 +226,15 @@ def train(docs: DataFrame, labels: DataFrame | None, ws: Workspace, bound: int =
         known = ws.put(known, "known")
         if known.isEmpty():
             known = None
-    rows, sample, stems = [], None, np.zeros(0, U)
+    rows, sample, stems, got = [], None, np.zeros(0, U), None
     if known is not None:
         sample = ws.put(_sample(texts, known, bound, SAMPLE_BYTES), "sample")
-        got = _hashed_rows(sample).toArrow()
+        hashed = ws.put(_hashed_rows(sample), "hashed")
+        stems = learn_stems(hashed)
+        got = hashed.select("doc_id", "bad", "features", "counts").toArrow()
         column = lambda c: got.column(c).combine_chunks()
-        pieces = lambda c: [x.values.to_numpy(zero_copy_only=False) if x.is_valid else None for x in column(c)]
-        rows = list(zip(column("doc_id").to_pylist(), column("bad").to_pylist(), column("toxic").to_pylist(), pieces("words"), pieces("features"), pieces("counts")))
-        rows.sort(key=lambda r: r[0])
-        stems = learn_stems([r[3].view(U) for r in rows], np.array([bool(r[2]) for r in rows], bool)) if rows else stems
+        pieces = lambda c: [x.values.to_numpy(zero_copy_only=False) for x in column(c)]
+        rows = sorted(zip(column("doc_id").to_pylist(), column("bad").to_pylist(), pieces("features"), pieces("counts")), key=lambda r: r[0])
 
     shared = spark.sparkContext.broadcast(stems)
     votes = _voted(texts, shared, lexicon).where("code >= 0").select("doc_id", "code")
@@ -260,9 +255,11 @@ def train(docs: DataFrame, labels: DataFrame | None, ws: Workspace, bound: int =
         if rows:
             y = np.array([posterior[tuple(p)] for p in mine])
             dense = np.array([own[r[0]]["dense"] for r in rows])
-            weights = fit_linear([(r[4], r[5]) for r in rows], saturated(dense), y)
+            weights = fit_linear([(r[2], r[3]) for r in rows], saturated(dense), y)
     shared.destroy()
     ws.keep()
+    rows = got = None
+    give_back()
     return stems, weights, posterior, rates
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel as K
-from tidemark.llm.common import Workspace, blocks, text_buffers, trimmed
+from tidemark.llm.common import CACHES, Workspace, blocks, text_buffers, trimmed
 
 MAGIC = b"TMRP0001"
 BLOCK_IDS = 1 << 20
@@ -161,7 +161,7 @@ class Encoder:
         return np.take(self.ids, where), np.diff(first[lead + np.arange(len(lead))])
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = CACHES.setdefault("encoders", {})
 
 
 def encoder(path: str) -> Encoder:
@@ -363,7 +363,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    out = rows.mapInArrow(trimmed(run), "shard int, block int, shard_start long, docs long, ids long, payload binary")
+    out = rows.mapInArrow(trimmed(run, "encoders"), "shard int, block int, shard_start long, docs long, ids long, payload binary")
     out.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
@@ -386,13 +386,11 @@ def read(spark, path: str) -> DataFrame:
                 )
 
     rows = files.join(F.broadcast(before), "shard").select((F.col("shard_start") + F.col("before")).alias("first"), "payload")
-    return rows.mapInArrow(trimmed(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return rows.mapInArrow(trimmed(run, "encoders"), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, as read back from files that are written for it and deleted again."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document, as read back from files that go with the session."""
     ws = Workspace(docs.sparkSession, "tokens")
     write(docs, ws.path("blocks"), tokenizer_path)
-    out = ws.put(read(docs.sparkSession, ws.path("blocks")), "result")
-    ws.drop("blocks")
-    return out
+    return read(docs.sparkSession, ws.path("blocks"))
