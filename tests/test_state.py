@@ -94,6 +94,18 @@ def test_compact(spark, table):
     assert ids(table) == [*range(48)] and all(len(p) == 1 for p in folders(table).values())
 
 
+def test_vacuum(spark, table, monkeypatch):
+    for i in range(4):
+        table.commit(rows(spark, i))
+    with monkeypatch.context() as m:
+        m.setattr(table, "_publish", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            table.append(rows(spark, 9))
+    assert table.vacuum(2) == 0  # all of it is young
+    assert table.vacuum(2, hours=-1) == 3 and ids(table) == [3] and ids(table, 3) == [2]
+    assert table.vacuum(2, hours=-1) == 0 and Snapshots(spark, table.root + "none").vacuum() == 0
+
+
 def test_stream_repeats_nothing(spark, tmp_path):
     from tidemark.streaming.upsert_stream import _time_of, store_stream
 

@@ -9,6 +9,7 @@ another one came between its reading and its writing. Appends write only new fol
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -169,6 +170,19 @@ class Snapshots:
             return None
         return self._commit(number, entry, {b: p for b, p in entry["parts"].items() if b not in many} | self._write(self._frame(many), entry), None)
 
+    def vacuum(self, versions: int = 10, hours: float = 24.0) -> int:
+        """Delete folders that none of the last ``versions`` names and that are older than ``hours``, so that no writer is at them; how many they were. Older versions
+        can't be read any more."""
+        kept = {p.partition("/")[0] for n in self.versions()[-versions:] for paths in self._entry(n)["parts"].values() for p in paths}
+        fs, hp = self._fs(f"{self.root}/data")
+        if not fs.exists(hp):
+            return 0
+        limit, gone = (time.time() - hours * 3600) * 1000, 0
+        for x in fs.listStatus(hp):
+            if x.getPath().getName() not in kept and x.getModificationTime() < limit:
+                gone += bool(fs.delete(x.getPath(), True))
+        return gone
+
     def stage(self, df: DataFrame) -> DataFrame:
         """``df`` written once beside the table, for plans that read it several times; ``unstage`` deletes all that this writer has staged."""
         path = f"{self.root}/staged/{self.own}/{uuid.uuid4().hex}"
