@@ -272,8 +272,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
             ws.drop(f"large{rnd - 1}")
             if large.isEmpty():
                 break
-            pivots = ws.put(_pivots(large), "pivots", most)
-            met = _met(large, pivots, near)
+            pivots = ws.put(_pivots(ws, large, most), "pivots", most)
+            met = _met(ws, large, pivots, near, most)
         found = ws.put(_verify(met.distinct(), sets, percent), "links")
         if rnd:
             large = ws.put(large.select("sig", "rep", "n", "degree", *BITS).join(pivots.select("sig", "rep"), ["sig", "rep"], "left_anti"), f"rest{rnd}", most)
@@ -329,26 +329,27 @@ def _as_pivot(w: str) -> list:
     return [F.col(f"{w}.rep").alias("pivot"), F.col(f"{w}.n").alias("m"), *[F.col(f"{w}.{b}").alias(f"c{b}") for b in BITS]]
 
 
-def _pivots(large: DataFrame) -> DataFrame:
+def _pivots(ws: Workspace, large: DataFrame, most: int) -> DataFrame:
     """(sig, home, rep, ..., apart): the pivots of each home, and how many members each would meet list by list. Of the sets outside of their list's
     largest component, all where they are at most ``PIVOTS``, else the first for each of so many salts."""
     sizes = large.groupBy("sig", "c").agg(F.count("*").alias("k"))
     home = sizes.groupBy("sig").agg(F.max(F.struct("k", "c")).alias("big"), F.sum("k").alias("members")).select("sig", F.col("big.c").alias("home"), "members")
     out = large.join(home, "sig").where("c <> home")
     one = out.groupBy("home", "rep").agg(F.sum("members").alias("apart"), F.max("degree").alias("degree"))
-    outside = one.groupBy("home").agg(F.count("*").alias("outside"))
+    outside = ws.put(one.groupBy("home").agg(F.count("*").alias("outside")), "outside", most)  # of known size, so that members are not dealt by home for it
     salt = F.when(F.col("outside") <= PIVOTS, F.col("rep")).otherwise(F.pmod(F.xxhash64("rep"), F.lit(PIVOTS)))
     best = F.min(F.struct((-F.col("degree")).alias("d"), F.xxhash64("rep").alias("r"), "rep", "apart")).alias("w")
     chosen = one.join(outside, "home").groupBy("home", salt.alias("salt")).agg(best).select("home", "w.rep", "w.apart")
     return out.join(chosen, ["home", "rep"]).select("sig", "home", "rep", "n", "c", "degree", *BITS, "apart")
 
 
-def _met(large: DataFrame, pivots: DataFrame, near) -> DataFrame:
+def _met(ws: Workspace, large: DataFrame, pivots: DataFrame, near, most: int) -> DataFrame:
     """Pairs (a, b) of pivots and members of another component, over all lists of a home or list by list, whatever is less."""
     lists = pivots.select("sig", "home").distinct()
     together = large.join(lists, "sig").groupBy("home", "rep").agg(*[F.first(c).alias(c) for c in ("n", "c", *BITS)])
     number = together.groupBy("home").agg(F.count("*").alias("together")).join(pivots.groupBy("home").agg(F.count_distinct("rep").alias("meet")), "home")
     number = number.select("home", "together", F.least(F.lit(PIVOTS), F.ceil(F.col("meet") * F.col("together") / MEETINGS)).cast("int").alias("parts"))
+    number = ws.put(number, "number", most)
     pivots = pivots.join(number, "home").withColumn("wide", F.col("apart") > F.col("together"))
     who = F.struct("rep", "n", *BITS)
     wide = pivots.where("wide").groupBy("home", "rep").agg(F.first(who).alias("w"), F.first("c").alias("pc"), F.first("parts").alias("parts"))
