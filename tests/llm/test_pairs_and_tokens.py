@@ -222,6 +222,28 @@ def test_mix_takes_what_brute_force_takes(spark, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("file_rows", [200_000, 30])
+def test_mix_writes_no_file_for_each_shuffle_partition(spark, monkeypatch, file_rows):
+    """Many partitions of the shuffle that nothing merges: files by cores and rows, and the rows are those of brute force."""
+    monkeypatch.setattr(mixing, "FILE_ROWS", file_rows, raising=False)
+    rows = odd_rows(9, 500) + [(77, "one row many times", "b")] * 50
+    df = frame(spark, rows)
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = mixing.mix(df)
+        files, got = len(out.inputFiles()), out.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert files <= max(spark.sparkContext.defaultParallelism, 1 + len(rows) // file_rows)
+    key = lambda x: tuple(-1 if y is None else y for y in x)
+    want = sorted(((i, s or "", n, t) for i, s, n, t in brute_taken(mixing.measure(df).collect())), key=key)
+    assert sorted(((r.doc_id, r.source or "", r["size"], r.taken) for r in got), key=key) == want
+
+
 @pytest.mark.parametrize("seed", [2, 9, 31])
 def test_rows_of_the_mix(spark, monkeypatch, seed):
     """The repeated rows are those that the mix takes, also where the last key's row stands many times."""

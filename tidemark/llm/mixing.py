@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel as K
-from tidemark.llm.common import Workspace, blocks, text_buffers, trimmed
+from tidemark.llm.common import FILE_ROWS, Workspace, blocks, text_buffers, trimmed
 
 BUCKETS = 1024
 COPIES = 1 << 14
@@ -118,12 +118,17 @@ def _ordered(rows: DataFrame, ws: Workspace, weights: tuple[int, ...], share: fl
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = SEED) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken, text_hash) for every row of ``docs`` (doc_id, source, text)."""
     ws = Workspace(docs.sparkSession, "mix")
-    x = _ordered(ws.put(measure(docs, seed), "rows"), ws, weights, share, most)
+    rows = ws.put(measure(docs, seed), "rows")
+    x = _ordered(rows, ws, weights, share, most)
     x = x.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))))
     x = x.withColumn("copy", F.explode(F.sequence(F.col("lot") * COPIES, F.least(F.col("n"), (F.col("lot") + 1) * COPIES) - 1)))
     x = x.withColumn("more", F.when(F.col("rest") - (F.col("ahead") + F.col("copy") * F.col("size")) >= F.col("size") / 2, F.col("size")).otherwise(F.lit(0)))
     taken = (F.col("epochs") * F.col("size") + F.col("more")).cast("long")
-    out = ws.put(x.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), F.col("h").alias("text_hash")), "result")
+    x = x.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), F.col("h").alias("text_hash"))
+    # Without Hadoop's native library, each file in a folder of the machine starts processes (chmod), and a process that starts counts the
+    # executor's memory a second time: as many files as there are cores, or as the rows need, and not one for each partition of the shuffle.
+    files = max(docs.sparkSession.sparkContext.defaultParallelism, 1 + rows.count() // FILE_ROWS)
+    out = ws.put(x.coalesce(files), "result")
     ws.keep("result")
     return out
 
